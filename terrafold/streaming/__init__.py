@@ -1,0 +1,5 @@
+"""No unbounded stream exists in this data model.
+
+Arrow IPC streams are finite files and are read and written as batch tables,
+see ``terrafold.sources.arrow_stream``.
+"""
