@@ -54,11 +54,13 @@ def pair_by_position(left: DataFrame, right: DataFrame, ordinal: str) -> DataFra
 
 def completeness(declared: DataFrame, present: DataFrame, key: str) -> DataFrame:
     """Keys that are declared but missing, or present but undeclared."""
-    a = declared.select(key).distinct().withColumn("__d", F.lit(True))
-    b = present.select(key).distinct().withColumn("__p", F.lit(True))
-    joined = a.join(b, key, "full_outer")
-    status = F.when(F.col("__p").isNull(), "missing").when(F.col("__d").isNull(), "undeclared")
-    return joined.select(key, status.alias("status")).filter(F.col("status").isNotNull())
+    both = declared.select(key, F.lit(True).alias("__d"), F.lit(False).alias("__p")).unionByName(
+        present.select(key, F.lit(False).alias("__d"), F.lit(True).alias("__p"))
+    )
+    # Copies of a key merge before the shuffle, so no join is needed.
+    seen = both.groupBy(key).agg(F.bool_or("__d").alias("__d"), F.bool_or("__p").alias("__p"))
+    status = F.when(~F.col("__p"), "missing").when(~F.col("__d"), "undeclared")
+    return seen.select(key, status.alias("status")).filter(F.col("status").isNotNull())
 
 
 def require_all_passed(checks: DataFrame, passed: str) -> DataFrame:
