@@ -81,9 +81,8 @@ def round_coords(geom: Column, kind: str, dims: str, digits: int) -> Column:
 
 def is_empty(geom: Column, kind: str) -> Column:
     """True for an empty value, false for any other, null for null."""
-    if NESTING[kind] == 0:
-        return F.isnan(geom["x"])
-    return F.size(geom) == 0
+    empty = F.isnan(geom["x"]) if NESTING[kind] == 0 else F.size(geom) == 0
+    return F.when(geom.isNotNull(), empty)
 
 
 def make_box(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:

@@ -94,8 +94,13 @@ def point_layer(spark: SparkSession, archives: str | list[str], digits: int = 8)
     footprints = read_geojson(spark, archives)
     points = round_coords(centroid(footprints), digits).select("geometry")
     points = materialized(points, "centroids")
-    # Equal coordinates are equal rows, so any order among them is the same table.
-    return cluster(points.select("*"), ["geometry.x", "geometry.y"])
+    # Many footprints may share a centroid; where a row stands in that table tells them apart.
+    placed = points.select(
+        "geometry",
+        F.col("_metadata.file_name").alias("__file"),
+        F.col("_metadata.row_index").alias("__row"),
+    )
+    return cluster(placed, ["__file", "__row"]).drop("__file", "__row")
 
 
 def convert_table(
