@@ -221,7 +221,7 @@ SELECT fid, hex(ST_AsWKB(CAST(t AS GEOMETRY))) AS wkb, 2 AS rings, 4 AS hole FRO
   round_even(x + y, 8) AS z, round_even(x * y, 8) AS m FROM vertices""",
     "zm_coords": f"""WITH {POINTS} SELECT fid, round_even(x, 8) AS x, round_even(y, 8) AS y, round_even(x + y, 8) AS z,
   round_even(x * y, 8) AS m FROM points WHERE x IS NOT NULL""",
-    "ring_vertices": f"""WITH {RINGS} SELECT fid, ring, i - 1 AS seq, round_even(c[i].x, 8) AS x, round_even(c[i].y, 8) AS y
+    "ring_vertices": f"""WITH {RINGS} SELECT fid, ring, CAST(i - 1 AS INTEGER) AS seq, round_even(c[i].x, 8) AS x, round_even(c[i].y, 8) AS y
 FROM rings, range(1, 8) g(i) WHERE i <= len(c)""",
     "ring_assembly": "SELECT count(*) AS rows, count(*) AS equal_rows FROM part",
     "layout_switch": f"WITH {POINTS} SELECT fid, CASE WHEN is_null THEN NULL ELSE 2 END AS n, x, y FROM points",
@@ -249,7 +249,7 @@ SELECT fid, round_even({_NU1} * cos(phi) * sin(lam), 3) AS x,
     "projection_inverse": """SELECT crs, count(*) AS rows, CAST(0 AS BIGINT) AS beyond
 FROM events, (VALUES ('EPSG:32618'), ('ortho')) c(crs) GROUP BY crs""",
     "footprint_utm": f"""WITH {RINGS}, near AS (
-  SELECT fid, i - 1 AS seq, c[i].x / 60e0 - 75e0 AS lon, c[i].y AS lat
+  SELECT fid, CAST(i - 1 AS INTEGER) AS seq, c[i].x / 60e0 - 75e0 AS lon, c[i].y AS lat
   FROM rings, range(1, 8) g(i) WHERE ring = 0 AND i <= len(c)), {_utm('near')}
 SELECT fid, seq, round_even(e, 3) AS x, round_even(n, 3) AS y FROM utm""",
     "box_override": f"""WITH {EDITED} SELECT name, xmin, ymin, xmax, ymax, 'MULTIPOLYGON (' || CASE WHEN xmax < xmin
@@ -257,13 +257,13 @@ SELECT fid, seq, round_even(e, 3) AS x, round_even(n, 3) AS y FROM utm""",
   ELSE {_box_ring('xmin', 'xmax')} END || ')' AS wkt FROM edited""",
     "box_polygon": f"WITH {REGIONS} SELECT name, 'POLYGON ' || {_box_ring('xmin', 'xmax')} AS wkt FROM boxes",
     "box_wrap_parts": f"""WITH {REGIONS} SELECT name, 0 AS part, xmin AS west, CASE WHEN xmax < xmin THEN 180e0 ELSE xmax END AS east,
-  5 AS corners FROM boxes UNION ALL SELECT name, 1, -180e0, xmax, 5 FROM boxes WHERE xmax < xmin""",
+  CAST(5 AS BIGINT) AS corners FROM boxes UNION ALL SELECT name, 1, -180e0, xmax, 5 FROM boxes WHERE xmax < xmin""",
     "region_filter": f"WITH {REGIONS} SELECT name AS region_name, xmin, ymin, xmax, ymax FROM boxes WHERE name = 'NATION_7'",
     "asset_expand": f'WITH {ASSETS} SELECT "group", name, format, path, url FROM assets',
     "asset_listing": f"""WITH {ASSETS}, bullets AS (
-  SELECT "group", name, min(ordinal) AS at, string_agg('[' || format || '](' || url || ')', ', ' ORDER BY ordinal) AS links
+  SELECT "group", name, min(ordinal) AS place, string_agg('[' || format || '](' || url || ')', ', ' ORDER BY ordinal) AS links
   FROM assets GROUP BY "group", name)
-SELECT "group", '{REF}' AS tag, at, '- ' || name || ' (' || links || ')' AS line FROM bullets
+SELECT "group", '{REF}' AS tag, place, '- ' || name || ' (' || links || ')' AS line FROM bullets
 UNION ALL SELECT DISTINCT "group", '{REF}', CAST(-1 AS BIGINT), '## Files' || chr(10) FROM assets""",
     "manifest_lines": f"""WITH {ASSETS} SELECT "group", name, '{{"ref":"{REF}","group":"' || "group" || '","name":"' || name || '","files":['
   || string_agg('{{"format":"' || format || '","url":"' || url || '"}}', ',' ORDER BY format_pos) || ']}}' AS json

@@ -346,7 +346,8 @@ def asset_expand(spark, sf):
 @query
 def asset_listing(spark, sf):
     files = _ordered_assets(spark, sf).withColumn("tag", F.lit(fixtures.REF))
-    return catalog.listing_lines(files).select("group", "tag", "at", "line")
+    lines = catalog.listing_lines(files)
+    return lines.select("group", "tag", F.col("at").alias("place"), "line")
 
 
 @query
