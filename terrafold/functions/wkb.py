@@ -11,11 +11,12 @@ import struct
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from .batches import arrow_storage, binary_parts, bounds_of, box_array, list_lengths, spread
+from .batches import offsets as _offsets
 from .types import (
     BOX_TYPE,
     DIMENSIONS,
@@ -44,12 +45,6 @@ def split_code(code: int) -> tuple[str, str]:
 # ---------------------------------------------------------------- encoding
 
 
-def _offsets(counts: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(counts) + 1, dtype=np.int64)
-    np.cumsum(counts, out=out[1:])
-    return out
-
-
 def _put(out: np.ndarray, at: np.ndarray, values: np.ndarray) -> None:
     width = values.dtype.itemsize
     spots = at[:, None] + np.arange(width)
@@ -72,7 +67,7 @@ def encode_array(arr: pa.Array, kind: str, dims: str) -> pa.Array:
     counts = []
     for _, counted in levels:
         if counted:
-            counts.append(pc.fill_null(pc.list_value_length(values), 0).to_numpy().astype(np.int64))
+            counts.append(list_lengths(values))
             values = values.flatten()
         else:
             counts.append(np.ones(len(values), dtype=np.int64))
@@ -181,13 +176,6 @@ def _children(read, cursor: np.ndarray, counts: np.ndarray, empty: pa.DataType):
     return _as_list(counts, values), cursor
 
 
-def _arrow_type(kind: str, dims: str) -> pa.DataType:
-    out = pa.struct([(d, pa.float64()) for d in dims])
-    for _ in range(NESTING[kind]):
-        out = pa.list_(out)
-    return out
-
-
 def _read(src: _Bytes, at: np.ndarray, kind: str, dims: str):
     """Values and end positions of the geometries that start at ``at``."""
     big, codes = src.header(at)
@@ -209,7 +197,7 @@ def _read(src: _Bytes, at: np.ndarray, kind: str, dims: str):
             lambda spots, rows: _sequence(src, spots, big[rows], dims),
             at + 9,
             counts,
-            _arrow_type("linestring", dims),
+            arrow_storage("linestring", dims),
         )
     # A single member of a mixed family counts as a collection of one, or of none if empty.
     if single == "point":
@@ -232,45 +220,26 @@ def _read(src: _Bytes, at: np.ndarray, kind: str, dims: str):
         lambda spots, rows: _read(src, spots, single, dims),
         begin,
         counts,
-        _arrow_type(single, dims),
+        arrow_storage(single, dims),
     )
 
 
-def _binary_parts(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and offsets of a binary array without nulls."""
-    if len(arr) == 0:
-        return np.zeros(0, dtype=np.uint8), np.zeros(1, dtype=np.int64)
-    _, offsets, data = arr.buffers()
-    wide = np.dtype(np.int64 if pa.types.is_large_binary(arr.type) else np.int32)
-    starts = np.frombuffer(offsets, dtype=wide)[arr.offset : arr.offset + len(arr) + 1]
-    return np.frombuffer(data, dtype=np.uint8), starts.astype(np.int64)
-
-
-def _spread(values: pa.Array, valid: pa.Array) -> pa.Array:
-    """Put values of the valid rows back among null rows."""
-    if len(values) == len(valid):
-        return values
-    mask = valid.to_numpy(zero_copy_only=False)
-    places = np.cumsum(mask) - 1
-    return values.take(pa.array(places, mask=~mask))
-
-
 def decode_array(arr: pa.Array, kind: str, dims: str) -> pa.Array:
     """WKB to native struct coordinates; singles are promoted where ``kind`` is a multi type."""
     valid = arr.is_valid()
     kept = arr.drop_null()
     if len(kept) == 0:
-        return pa.nulls(len(arr), _arrow_type(kind, dims))
-    data, offsets = _binary_parts(kept)
+        return pa.nulls(len(arr), arrow_storage(kind, dims))
+    data, offsets = binary_parts(kept)
     values, ends = _read(_Bytes(data), offsets[:-1], kind, dims)
     if (ends != offsets[1:]).any():
         raise ValueError("WKB value is shorter or longer than its contents")
-    return _spread(values, valid)
+    return spread(values, valid)
 
 
 def type_codes(arr: pa.Array) -> np.ndarray:
     """WKB type code of each row of an array without nulls."""
-    data, offsets = _binary_parts(arr)
+    data, offsets = binary_parts(arr)
     return _Bytes(data).header(offsets[:-1])[1]
 
 
@@ -292,13 +261,8 @@ def box_rows(arr: pa.Array) -> np.ndarray:
             flat = pa.array([m for row in members for _, m in row], pa.binary())
             inner = box_rows(flat)
         else:
-            native = decode_array(values, kind, dims)
-            owner = np.arange(len(native))
-            for _ in range(NESTING[kind]):
-                owner = np.repeat(owner, pc.list_value_length(native).to_numpy())
-                native = native.flatten()
-            x, y = native.field("x").to_numpy(), native.field("y").to_numpy()
-            inner = np.stack([x, y, x, y], axis=1)
+            inner = bounds_of(decode_array(values, kind, dims), kind)
+            owner = np.arange(len(inner))
         target = rows[where]
         for i in range(4):
             column = out[target, i]
@@ -331,11 +295,7 @@ def wkb_box(wkb: Column) -> Column:
 
     @arrow_udf(BOX_TYPE)
     def bounds(values: pa.Array) -> pa.Array:
-        rows = box_rows(values)
-        mask = pa.array(np.isnan(rows).any(axis=1))
-        fields = [pa.field(f.name, pa.float64(), False) for f in BOX_TYPE.fields]
-        columns = [pa.array(rows[:, i]) for i in range(4)]
-        return pa.StructArray.from_arrays(columns, fields=fields, mask=mask)
+        return box_array(box_rows(values))
 
     return bounds(wkb)
 

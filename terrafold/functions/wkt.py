@@ -1,17 +1,19 @@
-"""WKT text to native columns and back, as Catalyst expressions."""
+"""WKT text to native columns and back."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.functions import arrow_udf
 
-from .coords import NAN, coord_struct, map_coords
-from .types import DIMENSIONS, NESTING, TYPE_NAMES, type_label
+from .batches import arrow_storage, binary_parts, offsets, spread
+from .types import DIMENSIONS, NESTING, TYPE_NAMES, storage_type, type_label
 
 # A tag word and an optional dimension word.
 TAG_PATTERN = r"^\s*([A-Za-z]+)\s*(ZM|Z|M|)\s*(?:EMPTY|\()"
-_NUMBER = r"[-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?|[nN][aA][nN]"
 
 
 def wkt_kind(text: Column) -> Column:
@@ -38,69 +40,137 @@ def strip_tag(text: Column) -> Column:
     return F.regexp_replace(text, r"^\s*[A-Za-z]+\s*(?:ZM|Z|M)?\s*", "")
 
 
-def parse_wkt(text: Column, kind: str, dims: str = "xy") -> Column:
-    """Typed native value; text of another type or malformed text raises an error.
+# Classes of bytes in the body of a text.
+_BLANK, _NUMBER, _COMMA, _OPEN, _CLOSE, _FOREIGN = range(6)
+_CLASSES = np.full(256, _FOREIGN, dtype=np.uint8)
+for _bytes, _class in (
+    (b" \t\r\n", _BLANK), (b"0123456789+-.eEnNaA", _NUMBER),
+    (b",", _COMMA), (b"(", _OPEN), (b")", _CLOSE),
+):
+    _CLASSES[list(_bytes)] = _class
+
+
+def _numbers(data: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start of every run of number bytes, and the numbers."""
+    found = classes == _NUMBER
+    edges = np.flatnonzero(np.diff(found, prepend=False, append=False))
+    starts, ends = edges[::2], edges[1::2]
+    ends_in_packed = offsets(ends - starts).astype(np.int32)
+    packed = pa.StringArray.from_buffers(
+        len(starts), pa.py_buffer(ends_in_packed), pa.py_buffer(data[found])
+    )
+    return starts, packed.cast(pa.float64()).to_numpy(zero_copy_only=False)
 
-    Parentheses become JSON brackets and each run of numbers an inner array, so the
-    JSON reader checks the nesting and parses the numbers.
-    """
-    depth = NESTING[kind]
-    json_type: T.DataType = T.ArrayType(T.DoubleType())
-    # A point body carries one pair of parentheses around its coordinate.
-    brackets = max(depth, 1)
-    if kind == "multipoint":
-        brackets = 2
-    for _ in range(brackets):
-        json_type = T.ArrayType(json_type)
-
-    body = strip_tag(text)
-    # JSON wants digits on both sides of a point, no plus sign and "NaN".
-    body = F.regexp_replace(body, r"(?<![eE0-9.])\+", "")
-    body = F.regexp_replace(body, r"(?<![0-9])\.(?=[0-9])", "0.")
-    body = F.regexp_replace(body, r"\.(?![0-9])", ".0")
-    body = F.regexp_replace(body, r"(?i)\bnan\b", "NaN")
-    if kind == "multipoint":
-        # The short spelling leaves out the inner parentheses.
-        short = F.regexp_replace(body, rf"((?:{_NUMBER})(?:\s+(?:{_NUMBER}))+)", "($1)")
-        body = F.when(body.rlike(r"^\(\s*\("), body).otherwise(short)
-    body = F.regexp_replace(body, rf"((?:{_NUMBER})(?:\s+(?:{_NUMBER}))+)", "[$1]")
-    body = F.regexp_replace(body, r"(?<=[0-9NaN])\s+(?=[-0-9N])", ",")
-    body = F.translate(body, "()", "[]")
-    value = F.from_json(body, json_type)
-
-    def to_coord(c: Column) -> Column:
-        checked = F.when(F.size(c) == len(dims), c).otherwise(
-            F.raise_error(F.lit(f"Coordinate does not have {len(dims)} ordinates"))
-        )
-        return coord_struct({d: checked[i] for i, d in enumerate(dims)})
 
+def parse_array(values: pa.Array, kind: str, dims: str) -> pa.Array:
+    """Texts of one type to native values, all bytes of a batch at a time."""
+    label = type_label(kind, dims)
+    valid = values.is_valid()
+    texts = values.drop_null()
+    if len(texts) == 0:
+        return pa.nulls(len(values), arrow_storage(kind, dims))
+    head = rf"(?i)^\s*{kind}\s*{dims[2:]}\s*"
+    empty = pc.match_substring_regex(texts, head + r"EMPTY\s*$").to_numpy(zero_copy_only=False)
+    known = pc.match_substring_regex(texts, head + r"\(").to_numpy(zero_copy_only=False) | empty
+    data, bounds = binary_parts(texts)
+    row_starts, row_ends = bounds[:-1], bounds[1:]
+
+    def require(ok: np.ndarray, rows: np.ndarray | None = None) -> None:
+        if not ok.all():
+            at = int(np.flatnonzero(~ok)[0])
+            row = at if rows is None else int(rows[at])
+            raise ValueError(f"Not a {label} in WKT: {texts[row].as_py()}")
+
+    def row_of(positions: np.ndarray) -> np.ndarray:
+        return np.searchsorted(row_ends, positions, side="right")
+
+    require(known)
+    first, last = int(bounds[0]), int(bounds[-1])
+    classes = _CLASSES[data[first:last]]
+    row_starts, row_ends = row_starts - first, row_ends - first
+    data = data[first:last]
+    # Blank the words before the first parenthesis, and empty texts altogether.
+    opens = np.flatnonzero(classes == _OPEN)
+    body = row_ends.copy()
+    filled = np.flatnonzero(~empty)
+    body[filled] = opens[np.searchsorted(opens, row_starts[filled])]
+    marks = np.zeros(len(classes) + 1, dtype=np.int64)
+    np.add.at(marks, row_starts, 1)
+    np.add.at(marks, body, -1)
+    classes[np.cumsum(marks[:-1]) > 0] = _BLANK
+    # A leading plus sign is not part of what the number reader takes.
+    plus = np.flatnonzero(data == ord("+"))
+    classes[plus[classes[np.maximum(plus - 1, 0)] != _NUMBER]] = _BLANK
+    foreign = np.flatnonzero(classes == _FOREIGN)
+    require(np.zeros(len(foreign), dtype=bool), row_of(foreign))
+
+    depth = np.cumsum(classes == _OPEN) - np.cumsum(classes == _CLOSE)
+    if kind == "multipoint":
+        # Parentheses around single points are optional.
+        inner = ((classes == _OPEN) & (depth == 2)) | ((classes == _CLOSE) & (depth == 1))
+        classes[inner] = _BLANK
+        depth = np.cumsum(classes == _OPEN) - np.cumsum(classes == _CLOSE)
+    deepest = 1 if kind in ("point", "multipoint") else NESTING[kind]
+    at, numbers = _numbers(data, classes)
+
+    def closings(level: int) -> np.ndarray:
+        return np.flatnonzero((classes == _CLOSE) & (depth == level - 1))
+
+    def commas(level: int) -> np.ndarray:
+        return np.flatnonzero((classes == _COMMA) & (depth == level))
+
+    # Every coordinate ends at a comma or parenthesis of the innermost level.
+    marks_here = np.sort(np.concatenate([commas(deepest), closings(deepest)]))
+    per_coord = np.diff(np.searchsorted(at, marks_here), prepend=0)
+    require(per_coord == len(dims), row_of(marks_here))
+    outside = np.flatnonzero((depth < 0) | (depth > deepest))
+    require(np.zeros(len(outside), dtype=bool), row_of(outside))
+    tops = closings(1)
+    ends_at_row = np.zeros(len(texts), dtype=np.int64)
+    np.add.at(ends_at_row, np.minimum(row_of(tops), len(texts) - 1), 1)
+    require((ends_at_row == 1) == ~empty)
+    require(ends_at_row <= 1)
+    if len(numbers) != len(marks_here) * len(dims):
+        require(np.zeros(1, dtype=bool), row_of(at[-1:]))
+
+    table = numbers.reshape(-1, len(dims))
+    native = pa.StructArray.from_arrays(
+        [pa.array(np.ascontiguousarray(table[:, i])) for i in range(len(dims))], names=list(dims)
+    )
+    children = marks_here
+    for level in range(deepest, 0, -1):
+        ends = closings(level)
+        sizes = np.diff(np.searchsorted(children, ends, side="right"), prepend=0)
+        separators = np.diff(np.searchsorted(commas(level), ends), prepend=0)
+        require(separators == sizes - 1, row_of(ends))
+        if level == 1:
+            break
+        native = pa.ListArray.from_arrays(pa.array(offsets(sizes).astype(np.int32)), native)
+        children = ends
+    counts = np.zeros(len(texts), dtype=np.int64)
+    counts[filled] = sizes
     if kind == "point":
-        parsed = F.when(value.isNotNull(), to_coord(value[0]))
-        empty = coord_struct({d: F.lit(NAN) for d in dims})
+        require(counts == ~empty)
+        nan = pa.StructArray.from_arrays([pa.array([np.nan])] * len(dims), names=list(dims))
+        places = np.where(empty, len(native), np.cumsum(~empty) - 1)
+        native = pa.concat_arrays([native, nan]).take(pa.array(places))
     else:
-        if kind == "multipoint":
-            value = F.flatten(value)
-        parsed = map_coords(value, kind, to_coord)
-        empty = F.from_json(F.lit("[]"), _empty_type(kind, dims))
+        native = pa.ListArray.from_arrays(pa.array(offsets(counts).astype(np.int32)), native)
+    return spread(native, valid)
 
-    label = type_label(kind, dims)
-    is_right = wkt_type(text) == F.lit(label)
-    message = F.concat(F.lit(f"Not a {label} in WKT: "), F.coalesce(text, F.lit("")))
-    return (
-        F.when(text.isNull(), F.lit(None))
-        .when(F.coalesce(is_right, F.lit(False)) & (strip_tag(text).rlike(r"^EMPTY\s*$")), empty)
-        .when(
-            F.coalesce(is_right, F.lit(False)),
-            F.coalesce(parsed, F.raise_error(message)),
-        )
-        .otherwise(F.raise_error(message))
-    )
 
+def parse_wkt(text: Column, kind: str, dims: str = "xy") -> Column:
+    """Typed native value; text of another type or malformed text raises an error.
+
+    Runs on Arrow batches: the same through regular expressions and the JSON reader took
+    ten times as long.
+    """
 
-def _empty_type(kind: str, dims: str) -> T.DataType:
-    from .types import storage_type
+    @arrow_udf(storage_type(kind, dims))
+    def parse(values: pa.Array) -> pa.Array:
+        return parse_array(values, kind, dims)
 
-    return storage_type(kind, dims)
+    return parse(text)
 
 
 def format_number(value: Column) -> Column:

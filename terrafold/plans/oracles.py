@@ -218,9 +218,9 @@ SELECT fid, hex(ST_AsWKB(CAST(t AS GEOMETRY))) AS wkb, 2 AS rings, 4 AS hole FRO
     "track_wkb": f"WITH {TRACKS} SELECT user_id, piece, hex(ST_AsWKB(CAST(wkt AS GEOMETRY))) AS wkb FROM tracks",
     "track_roundtrip": f"WITH {TRACKS} SELECT count(*) AS pieces, CAST(0 AS BIGINT) AS mismatches FROM tracks",
     "vertices_zm": f"""WITH {VERTICES} SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS seq, x, y,
-  round_even(x + y, 8) AS z, round_even(x * y, 8) AS m FROM vertices""",
+  round_even(x + y, 8) AS z, round_even(x * y, 8) + 0e0 AS m FROM vertices""",
     "zm_coords": f"""WITH {POINTS} SELECT fid, round_even(x, 8) AS x, round_even(y, 8) AS y, round_even(x + y, 8) AS z,
-  round_even(x * y, 8) AS m FROM points WHERE x IS NOT NULL""",
+  round_even(x * y, 8) + 0e0 AS m FROM points WHERE x IS NOT NULL""",
     "ring_vertices": f"""WITH {RINGS} SELECT fid, ring, CAST(i - 1 AS INTEGER) AS seq, round_even(c[i].x, 8) AS x, round_even(c[i].y, 8) AS y
 FROM rings, range(1, 8) g(i) WHERE i <= len(c)""",
     "ring_assembly": "SELECT count(*) AS rows, count(*) AS equal_rows FROM part",
@@ -240,18 +240,18 @@ SELECT string_agg(k, ',' ORDER BY k) AS geometry_types FROM (SELECT DISTINCT k F
 SELECT count(*) AS lines, count(*) FILTER (line = '') AS blank, count(*) FILTER (regexp_matches(line, '^[A-Z]+')) AS tagged,
   count(*) FILTER (regexp_replace(line, '^[A-Z]+ ', '') = 'EMPTY') AS empties FROM texts""",
     "utm_forward": f"""WITH {VERTICES}, near AS (SELECT event_id AS fid, x / 60e0 - 75e0 AS lon, y AS lat FROM vertices), {_utm('near')}
-SELECT fid, round_even(e, 3) AS x, round_even(n, 3) AS y FROM utm""",
+SELECT fid, round_even(e, 2) AS x, round_even(n, 2) AS y FROM utm""",
     "ortho_forward": f"""WITH {VERTICES}, near AS (
   SELECT event_id AS fid, radians(x / 6e0 - 72.69e0 - ({ORTHO_LON}e0)) AS lam, radians(43.88e0 + y / 4e0) AS phi FROM vertices)
-SELECT fid, round_even({_NU1} * cos(phi) * sin(lam), 3) AS x,
+SELECT fid, round_even({_NU1} * cos(phi) * sin(lam), 2) AS x,
   round_even({_NU1} * (sin(phi) * cos({_P0}) - cos(phi) * sin({_P0}) * cos(lam))
-    + {_f(_E2)} * ({_NU0} * sin({_P0}) - {_NU1} * sin(phi)) * cos({_P0}), 3) AS y FROM near""",
+    + {_f(_E2)} * ({_NU0} * sin({_P0}) - {_NU1} * sin(phi)) * cos({_P0}), 2) AS y FROM near""",
     "projection_inverse": """SELECT crs, count(*) AS rows, CAST(0 AS BIGINT) AS beyond
 FROM events, (VALUES ('EPSG:32618'), ('ortho')) c(crs) GROUP BY crs""",
     "footprint_utm": f"""WITH {RINGS}, near AS (
   SELECT fid, CAST(i - 1 AS INTEGER) AS seq, c[i].x / 60e0 - 75e0 AS lon, c[i].y AS lat
   FROM rings, range(1, 8) g(i) WHERE ring = 0 AND i <= len(c)), {_utm('near')}
-SELECT fid, seq, round_even(e, 3) AS x, round_even(n, 3) AS y FROM utm""",
+SELECT fid, seq, round_even(e, 2) AS x, round_even(n, 2) AS y FROM utm""",
     "box_override": f"""WITH {EDITED} SELECT name, xmin, ymin, xmax, ymax, 'MULTIPOLYGON (' || CASE WHEN xmax < xmin
   THEN {_box_ring('xmin', '180e0')} || ', ' || {_box_ring('-180e0', 'xmax')}
   ELSE {_box_ring('xmin', 'xmax')} END || ')' AS wkt FROM edited""",

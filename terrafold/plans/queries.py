@@ -251,13 +251,13 @@ def line_tags(spark, sf):
 @query
 def utm_forward(spark, sf):
     near = fixtures.scaled_points(spark, sf, "x / 60e0 - 75e0", "y")
-    return C.reproject(near, "OGC:CRS84", "EPSG:32618").select("fid", *_xy(digits=3))
+    return C.reproject(near, "OGC:CRS84", "EPSG:32618").select("fid", *_xy(digits=2))
 
 
 @query
 def ortho_forward(spark, sf):
     near = fixtures.scaled_points(spark, sf, "x / 6e0 - 72.69e0", "43.88e0 + y / 4e0")
-    return C.reproject(near, "OGC:CRS84", "ortho").select("fid", *_xy(digits=3))
+    return C.reproject(near, "OGC:CRS84", "ortho").select("fid", *_xy(digits=2))
 
 
 @query
@@ -288,7 +288,7 @@ def footprint_utm(spark, sf):
     shapes = C.replace_geometry(shapes, near, geometry_tag(shapes))
     moved = C.reproject(shapes, "OGC:CRS84", "EPSG:32618")
     rows = vertices.explode_coords(moved, ["fid"])
-    return rows.select("fid", "seq", F.bround("x", 3).alias("x"), F.bround("y", 3).alias("y"))
+    return rows.select("fid", "seq", F.bround("x", 2).alias("x"), F.bround("y", 2).alias("y"))
 
 
 # ---------------------------------------------------------------- boxes
