@@ -77,7 +77,7 @@ ALPHA, BETA, DELTA = _series(_ALPHA), _series(_BETA), _series(_DELTA)
 _SPARK = SimpleNamespace(
     sin=F.sin, cos=F.cos, sinh=F.sinh, cosh=F.cosh, asin=F.asin, sqrt=F.sqrt,
     asinh=F.asinh, atanh=F.atanh, atan2=F.atan2, abs=F.abs,
-    where=lambda test, yes, no: F.when(test, yes).otherwise(F.lit(no)),
+    where=lambda test, yes, no: F.when(test, F.lit(yes)).otherwise(no),
 )
 _NUMPY = SimpleNamespace(
     sin=np.sin, cos=np.cos, sinh=np.sinh, cosh=np.cosh, asin=np.arcsin, sqrt=np.sqrt,
@@ -101,10 +101,11 @@ def _utm_forward(m, lon, lat):
         north = north + m.sin(xi * (2.0 * j)) * m.cosh(eta * (2.0 * j)) * a
         east = east + m.cos(xi * (2.0 * j)) * m.sinh(eta * (2.0 * j)) * a
     north, east = yield north, east
-    inside = m.abs(east) <= UTM_LIMIT
+    # Not a number stays that; Spark orders it above infinity, numpy nowhere.
+    outside = (m.abs(east) > UTM_LIMIT) & (m.abs(east) <= math.inf)
     return (
-        m.where(inside, east * (UTM_SCALE * _RECTIFYING) + UTM_EASTING, math.inf),
-        m.where(inside, north * (UTM_SCALE * _RECTIFYING), math.inf),
+        m.where(outside, math.inf, east * (UTM_SCALE * _RECTIFYING) + UTM_EASTING),
+        m.where(outside, math.inf, north * (UTM_SCALE * _RECTIFYING)),
     )
 
 
@@ -142,8 +143,8 @@ def _ortho_forward(m, lon, lat):
         nu * sin_phi * -1.0 + _NU0 * _SIN0
     ) * (_E2 * _COS0)
     # The far side of the globe is not visible from the plane.
-    visible = sin_phi * _SIN0 + cos_phi * cos_lam * _COS0 >= 0
-    return m.where(visible, x, math.inf), m.where(visible, y, math.inf)
+    hidden = sin_phi * _SIN0 + cos_phi * cos_lam * _COS0 < 0
+    return m.where(hidden, math.inf, x), m.where(hidden, math.inf, y)
 
 
 def _ortho_inverse(m, x, y):

@@ -460,9 +460,8 @@ def _text_to_bytes(text: str) -> bytes:
 
 
 def _number(value: float) -> str:
-    if value == int(value) and abs(value) < 1e15 if np.isfinite(value) else False:
-        return str(int(value))
-    return repr(value)
+    whole = np.isfinite(value) and value == int(value) and abs(value) < 1e15
+    return f"{value:.0f}" if whole else repr(value)
 
 
 def _bytes_to_text(buf: bytes, pos: int, bare: bool = False) -> tuple[str, int]:

@@ -176,8 +176,11 @@ def parse_wkt(text: Column, kind: str, dims: str = "xy") -> Column:
 def format_number(value: Column) -> Column:
     """Shortest text: whole numbers without a decimal point, exponents where Java uses them."""
     whole = (value == F.floor(value)) & (F.abs(value) < 1e15)
-    return F.when(whole, F.floor(value).cast("bigint").cast("string")).otherwise(
-        F.regexp_replace(value.cast("string"), r"\.0E", "E")
+    zero = F.when(value.cast("string") == "-0.0", "-0").otherwise("0")
+    return (
+        F.when(value == 0, zero)
+        .when(whole, F.floor(value).cast("bigint").cast("string"))
+        .otherwise(F.regexp_replace(value.cast("string"), r"\.0E", "E"))
     )
 
 

@@ -148,8 +148,8 @@ def read_footer(path: str) -> tuple[dict | None, pa.Schema]:
     """``geo`` object and Arrow schema of one file."""
     files, place = open_fs(path)
     with files.open_input_file(place) as raw:
-        schema = pq.read_schema(raw)
-    stored = (schema.metadata or {}).get(b"geo")
+        file = pq.ParquetFile(raw)
+        schema, stored = file.schema_arrow, (file.metadata.metadata or {}).get(b"geo")
     return (json.loads(stored) if stored else None), schema
 
 
