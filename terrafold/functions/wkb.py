@@ -11,6 +11,7 @@ import struct
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -319,12 +320,39 @@ def wkb_type(wkb: Column) -> Column:
     return F.element_at(F.create_map(*names), wkb_type_code(wkb))
 
 
+def texts_to_wkb(texts: pa.Array, parse) -> pa.Array:
+    """WKT of any mix of types: one batch per type, collections one by one.
+
+    ``parse`` reads texts of one type into native values.
+    """
+    heads = pc.utf8_upper(
+        pc.struct_field(pc.extract_regex(texts, r"^\s*(?P<head>[A-Za-z]+\s*(?:[zZmM]+)?)"), "head")
+    )
+    out, places = [], []
+    for head in pc.unique(heads):
+        rows = pc.indices_nonzero(pc.equal(heads, head) if head.is_valid else pc.is_null(heads))
+        word, _, suffix = (head.as_py() or "").partition(" ")
+        kind, dims = word.lower(), "xy" + suffix.strip().lower()
+        chosen = texts.take(rows)
+        if kind in NESTING and dims in DIMENSIONS:
+            encoded = encode_array(parse(chosen, kind, dims), kind, dims)
+        else:
+            encoded = pa.array([None if v is None else _text_to_bytes(v) for v in chosen.to_pylist()], pa.binary())
+        out.append(encoded)
+        places.append(rows.to_numpy())
+    if not out:
+        return pa.array([], pa.binary())
+    order = np.argsort(np.concatenate(places))
+    return pa.concat_arrays(out).take(pa.array(order))
+
+
 def wkt_to_wkb(text: Column) -> Column:
     """For columns of mixed types and collections; typed columns parse and encode instead."""
+    from .wkt import parse_array
 
     @arrow_udf("binary")
     def convert(values: pa.Array) -> pa.Array:
-        return pa.array([None if v is None else _text_to_bytes(v) for v in values.to_pylist()], pa.binary())
+        return texts_to_wkb(values, parse_array)
 
     return convert(text)
 

@@ -14,7 +14,7 @@ from ..operators.compare import schemas_equal, table_differences
 from ..operators.ordering import cluster
 from ..sources.arrow_stream import read_arrow, write_arrow
 from ..sources.geojson import read_geojson
-from ..sources.parquet import read_geo, write_geo
+from ..sources.parquet import prepared, read_geo, write_geo
 from ..sources.shared import fresh_path, materialized, path_exists
 from ..sources.text import concat_lists, merge_lists, wkt_lists, write_wkt_tsv
 from .catalog import SUFFIXES
@@ -48,6 +48,9 @@ def write_format(df: DataFrame, fmt: str, path: str, compression: str = "zstd")
     encoding, layout = FORMS[fmt]
     if fmt == "tsv":
         write_wkt_tsv(as_encoding(df, "wkt").select("geometry"), path)
+    elif fmt == "arrows/wkb":
+        df, encode = prepared(df, "wkb")
+        write_arrow(df, path, compression=compression, overwrite=True, encode_wkb=encode)
     elif fmt.startswith("arrows"):
         write_arrow(as_encoding(df, encoding, layout), path, compression=compression, overwrite=True)
     else:
@@ -91,7 +94,7 @@ def point_layer(spark: SparkSession, archives: str | list[str], digits: int = 8)
     The centroids are written once: the extent and the sort both read that table, and
     neither reads the archives again.
     """
-    footprints = read_geojson(spark, archives)
+    footprints = read_geojson(spark, archives, rebalance=True)
     points = round_coords(centroid(footprints), digits).select("geometry")
     points = materialized(points, "centroids")
     # Many footprints may share a centroid; where a row stands in that table tells them apart.

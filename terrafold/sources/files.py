@@ -13,13 +13,8 @@ from pyspark import TaskContext
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSourceArrowWriter, WriterCommitMessage
 
-from ..functions.types import (
-    BOX_FIELDS,
-    GEOMETRY,
-    NESTING,
-    GeometryTag,
-    tag_of,
-)
+from ..functions.types import BOX_FIELDS, GEOMETRY, NESTING, GeometryTag, tag_of
+from ..functions.wkb import encode_array
 from .shared import open_fs
 
 EXTENSION_NAME = b"ARROW:extension:name"
@@ -129,17 +124,20 @@ class GeometryFileWriter(DataSourceArrowWriter):
         self.compression = options.get("compression", "zstd")
         self.prefix = options.get("extension_prefix", DEFAULT_PREFIX)
         self.overwrite = overwrite
+        # Native columns that the file holds as WKB cross into Python once, as they are.
+        self.encode = options.get("encode_wkb", "false").lower() == "true"
         self.tags = {GEOMETRY: tag_of(schema[GEOMETRY])} if GEOMETRY in schema.names else {}
         self.run = uuid.uuid4().hex[:12]
 
-    # Subclasses open a sink for (file handle, schema) and may add a footer.
+    # Subclasses open a sink for (file handle, schema) and may gather facts for a footer
+    # from the geometry column as it comes from Spark.
     def open_sink(self, handle, schema: pa.Schema):
         raise NotImplementedError
 
     def write_rows(self, sink, table: pa.Table) -> None:
         raise NotImplementedError
 
-    def observe(self, state: dict, batch: pa.Table) -> None:
+    def observe(self, state: dict, geometry: pa.Array) -> None:
         pass
 
     def finish(self, sink, state: dict) -> None:
@@ -153,6 +151,9 @@ class GeometryFileWriter(DataSourceArrowWriter):
                 columns.append(column)
                 fields.append(pa.field(field.name, column.type, field.nullable))
                 continue
+            if self.encode:
+                column = encode_array(column, tag.kind, tag.dims)
+                tag = tag.with_(encoding="wkb")
             column = to_file_form(column, tag)
             metadata = extension_fields(tag, self.prefix)
             metadata[TAG_KEY] = json.dumps(tag.to_metadata()["terrafold.geometry"]).encode()
@@ -182,10 +183,11 @@ class GeometryFileWriter(DataSourceArrowWriter):
 
         for batch in iterator:
             table = self._convert(batch)
+            if GEOMETRY in self.tags:
+                self.observe(state, batch.column(GEOMETRY))
             if sink is None:
                 handle = files.open_output_stream(f"{temporary}/{name}")
                 sink = self.open_sink(handle, table.schema)
-            self.observe(state, table)
             waiting.append(table)
             count += table.num_rows
             if count >= self.rows:

@@ -18,6 +18,8 @@ from ..functions.types import GEOMETRY, NESTING, TYPE_NAMES, GeometryTag, tagged
 from .shared import list_files, open_fs
 
 LINE_SUFFIXES = (".geojsonl", ".ndjson", ".jsonl")
+# What the line of a feature begins with; its keys may come in any order.
+FEATURE_LINE = r'^\s*\{.*"type"\s*:\s*"Feature"'
 _CHUNK = 1 << 20
 _ROWS = 2000
 _FEATURES = re.compile(r'"features"\s*:\s*\[')
@@ -103,16 +105,27 @@ class FeatureSource(DataSource):
 
 
 def read_geojson(
-    spark: SparkSession, paths: str | list[str], kind: str = "polygon", dims: str = "xy"
+    spark: SparkSession, paths: str | list[str], kind: str = "polygon", dims: str = "xy",
+    feature_per_line: bool = False, rebalance: bool = False,
 ) -> DataFrame:
-    """Features as (properties, geometry); properties stay JSON text."""
+    """Features as (properties, geometry); properties stay JSON text.
+
+    Line-delimited files are split like any text; so are collections that have each
+    feature on a line of its own, if ``feature_per_line`` says so. Other collections and
+    archives are streamed, one per task: compressed members cannot be entered midway.
+    ``rebalance`` then evens out the features, so a huge archive holds up only its scan.
+    """
     paths = [paths] if isinstance(paths, str) else paths
-    if all(p.endswith(LINE_SUFFIXES) for p in paths):
-        features = spark.read.text(paths).filter(F.trim("value") != "")
-        features = features.select(F.col("value").alias("feature"))
+    if feature_per_line or all(p.endswith(LINE_SUFFIXES) for p in paths):
+        lines = spark.read.text(paths)
+        features = lines.filter(F.col("value").rlike(FEATURE_LINE)).select(
+            F.regexp_replace("value", r"\s*,?\s*$", "").alias("feature")
+        )
     else:
         spark.dataSource.register(FeatureSource)
         features = spark.read.format("geojson_features").load(",".join(paths))
+    if rebalance:
+        features = features.hint("rebalance")
     nested: T.DataType = T.ArrayType(T.DoubleType())
     for _ in range(NESTING[kind]):
         nested = T.ArrayType(nested)

@@ -48,26 +48,23 @@ class GeoParquetWriter(GeometryFileWriter):
     def write_rows(self, sink, table):
         sink.write_table(table.combine_chunks(), row_group_size=self.rows)
 
-    def observe(self, state, table):
+    def observe(self, state, geometry):
         tag = self.tags[GEOMETRY]
         if not self.geo:
             return
-        for chunk in table[GEOMETRY].chunks:
-            low, high, kinds = (
-                _native_facts(chunk, tag) if tag.encoding == "native" else _wkb_facts(chunk)
-            )
-            state.setdefault("kinds", set()).update(kinds)
-            for name, pick, values in (("low", _min, low), ("high", _max, high)):
-                old = state.get(name) or [None] * len(values)
-                state[name] = [
-                    o if np.isnan(v) else pick(o, v) for o, v in zip(old, values)
-                ]
+        facts = _native_facts(geometry, tag) if tag.encoding == "native" else _wkb_facts(geometry)
+        low, high, kinds = facts
+        state.setdefault("kinds", set()).update(kinds)
+        for name, pick, values in (("low", _min, low), ("high", _max, high)):
+            old = state.get(name) or [None] * len(values)
+            state[name] = [o if np.isnan(v) else pick(o, v) for o, v in zip(old, values)]
 
     def finish(self, sink, state):
         if self.geo:
             tag = self.tags[GEOMETRY]
+            wkb = self.encode or tag.encoding == "wkb"
             column = {
-                "encoding": "WKB" if tag.encoding == "wkb" else tag.kind,
+                "encoding": "WKB" if wkb else tag.kind,
                 "geometry_types": sorted(state.get("kinds", ())),
                 "crs": self.crs,
             }
@@ -77,7 +74,7 @@ class GeoParquetWriter(GeometryFileWriter):
             elif state.get("low") and None not in state["low"]:
                 column["bbox"] = state["low"] + state["high"]
             footer = {
-                "version": FOOTER_VERSIONS[tag.encoding],
+                "version": FOOTER_VERSIONS["wkb" if wkb else "native"],
                 "primary_column": GEOMETRY,
                 "columns": {GEOMETRY: column},
             }
@@ -129,7 +126,8 @@ def write_geo(
     **options: str,
 ) -> None:
     """One file per partition in the present order, geometry last, with a ``geo`` footer."""
-    df = geometry_last(as_encoding(df, encoding))
+    df, options["encode_wkb"] = prepared(df, encoding)
+    df = geometry_last(df)
     df.sparkSession.dataSource.register(GeoParquet)
     (
         df.write.format("geo_parquet")
@@ -144,6 +142,14 @@ def write_geo(
     )
 
 
+def prepared(df: DataFrame, encoding: str) -> tuple[DataFrame, bool]:
+    """The table a sink takes for an encoding, and whether the sink itself encodes it as WKB."""
+    tag = geometry_tag(df)
+    if encoding == "wkb" and tag.kind in NESTING and tag.encoding in ("native", "box", "wkt"):
+        return as_encoding(df, "native"), True
+    return as_encoding(df, encoding), False
+
+
 def read_footer(path: str) -> tuple[dict | None, pa.Schema]:
     """``geo`` object and Arrow schema of one file."""
     files, place = open_fs(path)

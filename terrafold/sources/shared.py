@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -22,8 +23,29 @@ def shared_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="terrafold-")
 
 
+_working: list[str] = []
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new place in the shared folder, removed when the driver ends.
+
+    Plans that read it may run any time before.
+    """
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _working.append(path)
+    return path
+
+
+@atexit.register
+def _remove_working() -> None:
+    for path in _working:
+        try:
+            files, place = open_fs(path)
+            if files.get_file_info(place).type == fs.FileType.Directory:
+                files.delete_dir(place)
+        except OSError:
+            # The folder's owner clears what an ending driver cannot.
+            pass
 
 
 def materialized(df: DataFrame, label: str) -> DataFrame:

@@ -404,3 +404,28 @@ def test_dispatch_over_assets(spark, tmp_path):
     assert [r.rule for r in found] == ["magic"]
     with pytest.raises(ValueError, match="Unimplemented"):
         validate.check_file(spark, str(tmp_path), "shp")
+
+
+def test_features_on_lines_of_their_own(spark, tmp_path):
+    rows = collection(30)["features"]
+    body = ",\n".join(json.dumps(r) for r in rows)
+    (tmp_path / "lines.geojson").write_text('{"type": "FeatureCollection",\n"features": [\n' + body + "\n]}\n")
+    df = read_geojson(spark, f"{tmp_path}/lines.geojson", feature_per_line=True)
+    assert df.count() == 30 and df.filter("geometry is null").isEmpty()
+
+
+def test_mixed_texts_by_type_and_one_by_one(spark):
+    every = [t for kind in WKT for t in WKT[kind]] + COLLECTIONS + POLYGON_ZM + ["point z (1 2 3)", None]
+    df = C.as_encoding(table(spark, every), "wkb")
+    want = [None if t is None else t.replace("point z", "POINT Z") for t in every]
+    assert [r.geometry for r in C.as_encoding(df, "wkt").orderBy("fid").collect()] == want
+
+
+def test_the_sink_encodes_typed_columns(spark, tmp_path):
+    df = fixtures.footprints(spark, "/root/testdata/sf0.001", courtyard=True)
+    write_geo(df, f"{tmp_path}/sink", "wkb")
+    write_geo(C.as_encoding(df, "wkb"), f"{tmp_path}/column", "wkb")
+    a, b = read_geo(spark, f"{tmp_path}/sink"), read_geo(spark, f"{tmp_path}/column")
+    assert compare.schemas_equal(a, b) and compare.tables_equal(a, b)
+    geo = [read_footer(list_files(f"{tmp_path}/{n}", (".parquet",))[0][0])[0] for n in ("sink", "column")]
+    assert geo[0] == geo[1] and geo[0]["columns"]["geometry"]["encoding"] == "WKB"
