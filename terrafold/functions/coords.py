@@ -102,7 +102,7 @@ def box(geom: Column, kind: str) -> Column:
     """Bounds of each value; null for null and empty values.
 
     Points are a few generated instructions. Nested values go through Arrow batches:
-    Spark interprets lambdas, which took ten times as long here.
+    Spark interprets lambdas, which took three times as long here.
     """
     if NESTING[kind] == 0:
         x = F.when(~F.isnan(geom["x"]), geom["x"])

@@ -49,7 +49,7 @@ def walk_curve(df: DataFrame, cell_x: str, cell_y: str, key: str) -> DataFrame:
     """Add the curve position of two grid columns, which are consumed.
 
     Four levels at a time by one lookup in a constant array: the sixteen levels written
-    out make a method too long for the JVM to compile.
+    out took many times as long.
     """
     kept = [c for c in df.columns if c not in (cell_x, cell_y)]
     # Folded to one constant when the plan is optimised.

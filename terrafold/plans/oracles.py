@@ -186,8 +186,6 @@ _NU = "{a} / sqrt(1 - {e2} * sin({p}) * sin({p}))"
 _NU1 = _NU.format(a=_f(SEMI_MAJOR), e2=_f(_E2), p="phi")
 _NU0 = _NU.format(a=_f(SEMI_MAJOR), e2=_f(_E2), p=_P0)
 
-_STATES = {"t": POINT_TEXT}
-
 ORACLES: dict[str, str] = {
     "hilbert_order": f"WITH {POINT_KEYS} SELECT fid, hilbert_key FROM keyed",
     "hilbert_position": f"""WITH {POINT_KEYS}
@@ -307,6 +305,19 @@ FROM bases WHERE base NOT LIKE '%widget%' AND NOT (base LIKE '%brand-h%' AND bas
   (SELECT count(*) FROM events) + (SELECT count(*) FROM part) AS rows""",
     "table_equality": """SELECT event_id AS fid, CAST(1 AS BIGINT) AS surplus FROM events WHERE event_id % 3 = 0
 UNION ALL SELECT -event_id - 1, CAST(-1 AS BIGINT) FROM events WHERE event_id % 3 = 0""",
+    "manifest_published": f"""WITH {ASSETS} SELECT '{REF}' AS ref, "group", name, format, url FROM assets""",
+    "order_kept": f"""WITH {POINT_KEYS}
+SELECT fid, row_number() OVER (ORDER BY hilbert_key NULLS LAST, fid) - 1 AS position FROM keyed""",
+    "footer_report": f"""WITH {POINTS} SELECT min(x) AS xmin, min(y) AS ymin, max(x) AS xmax, max(y) AS ymax,
+  'Point' AS geometry_types, 'WKB' AS encoding FROM points""",
+    "crs_spellings": """SELECT spelling, crs_type, true AS kept, count(*) AS rows FROM nation,
+  (VALUES ('projjson', 'projjson'), ('wkt2', 'wkt2'), ('auth-code', 'authority_code'), ('unknown', NULL)) s(spelling, crs_type)
+GROUP BY spelling, crs_type""",
+    "published_formats": """SELECT format, count(*) AS rows, CAST(0 AS BIGINT) AS differences FROM events,
+  (VALUES ('tsv'), ('arrows'), ('arrows/interleaved'), ('arrows/wkb'), ('arrows/wkt'), ('parquet'), ('geoparquet'),
+    ('geoparquet/native')) f(format) GROUP BY format""",
+    "line_report": f"""WITH {POINTS} SELECT 'line tag' AS rule, count(*) AS lines FROM points WHERE fid % 11 = 3 AND NOT is_null""",
+    "file_headers": "SELECT 'PAR1' AS head, count(*) > 0 AS within_limit FROM events",
     "validation_report": f"""WITH {POINTS}
 SELECT CAST(fid AS VARCHAR) AS subject, 'line tag' AS rule FROM points WHERE fid % 11 = 3 AND NOT is_null
 UNION ALL SELECT CAST(fid AS VARCHAR), 'wkb header' FROM points WHERE fid % 13 = 4

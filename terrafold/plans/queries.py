@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import coords, wkt
-from ..functions.types import GEOMETRY, GeometryTag, geometry_tag, tagged
+from ..functions.crs import PROJJSON, WKT2_CRS84
+from ..functions.types import GEOMETRY, GeometryTag, geometry_tag
 from ..operators import columns as C
 from ..operators import compare, extent, ordering, vertices
 from ..sources import geojson, text
 from ..sources.arrow_stream import read_arrow, write_arrow
-from ..sources.parquet import write_geo
+from ..sources.parquet import footers, read_geo, write_geo
 from ..sources.shared import fresh_path
 from . import catalog, fixtures, publish, validate
 
@@ -497,9 +498,114 @@ def table_equality(spark, sf):
     return found.select("fid", F.col("surplus").cast("bigint").alias("surplus"))
 
 
+@query
+def manifest_published(spark, sf):
+    path = fresh_path(spark, "manifest")
+    catalog.manifest_lines(_assets(spark, sf), fixtures.REF).select("json").write.text(path)
+    return catalog.read_manifest_lines(spark, path).select("ref", "group", "name", "format", "url")
+
+
+@query
+def order_kept(spark, sf):
+    """Positions by file and row of a written layer are the positions on the curve."""
+    path = fresh_path(spark, "ordered")
+    write_geo(ordering.cluster(fixtures.points(spark, sf), ["fid"]), path, "native")
+    back = read_geo(spark, path, keep_order=True).select("fid", "file_name", "row_index")
+    ranked = ordering.with_rank(back, ["file_name", "row_index"], name="position")
+    return ranked.select("fid", "position")
+
+
+@query
+def footer_report(spark, sf):
+    """Bounds and types of a layer from its files' footers alone."""
+    path = fresh_path(spark, "footers")
+    write_geo(ordering.cluster(fixtures.points(spark, sf), ["fid"]), path, "wkb")
+    column = F.get_json_object("geo", "$.columns.geometry")
+    facts = footers(spark, path).select(
+        F.from_json(F.get_json_object(column, "$.bbox"), "array<double>").alias("b"),
+        F.explode(F.from_json(F.get_json_object(column, "$.geometry_types"), "array<string>")).alias("t"),
+        F.get_json_object(column, "$.encoding").alias("encoding"),
+    )
+    return facts.agg(
+        F.min(F.col("b")[0]).alias("xmin"), F.min(F.col("b")[1]).alias("ymin"),
+        F.max(F.col("b")[2]).alias("xmax"), F.max(F.col("b")[3]).alias("ymax"),
+        F.array_join(F.array_sort(F.collect_set("t")), ",").alias("geometry_types"),
+        F.max("encoding").alias("encoding"),
+    )
+
+
+@query
+def crs_spellings(spark, sf):
+    """The same boxes under four spellings of their system, written and read back."""
+    boxes = fixtures.regions(spark, sf)
+    spellings = {
+        "projjson": (PROJJSON["OGC:CRS84"], "projjson"),
+        "wkt2": (WKT2_CRS84, "wkt2"),
+        "auth-code": ("OGC:CRS84", "authority_code"),
+        "unknown": ("OGC:CRS84", None),
+    }
+    out = None
+    for name, (crs, crs_type) in spellings.items():
+        back = publish.roundtrip(C.with_crs(boxes, crs, crs_type), "arrows/wkb")
+        tag = geometry_tag(back)
+        rows = back.agg(F.count("*").alias("rows")).select(
+            F.lit(name).alias("spelling"),
+            F.lit(tag.crs_type).cast("string").alias("crs_type"),
+            F.lit(tag.crs == crs).alias("kept"),
+            "rows",
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query
+def published_formats(spark, sf):
+    """A layer in every format its manifest lists, each compared with its source."""
+    points = fixtures.points(spark, sf)
+    formats = [f for f in publish.FORMS if f != "arrows/box"]
+    root = fresh_path(spark, "published")
+    paths = publish.publish_layer(points, root, "grid", "points", formats, ["fid"])
+    lines = C.as_encoding(points, "wkt").select(GEOMETRY)
+    out = None
+    for fmt, path in zip(formats, paths):
+        if fmt == "tsv":
+            back, want = text.read_wkt_tsv(spark, path, "point", "xy"), lines
+        else:
+            back = read_arrow(spark, path) if fmt.startswith("arrows") else read_geo(spark, path)
+            want = C.as_encoding(points, *publish.FORMS[fmt])
+        differences = compare.table_differences(want, back).agg(F.count("*").alias("differences"))
+        row = back.agg(F.count("*").alias("rows")).select(
+            F.lit(fmt).alias("format"), "rows", differences.scalar().alias("differences")
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 # ---------------------------------------------------------------- validation
 
 
+@query
+def line_report(spark, sf):
+    """Text files of which known lines lack their upper-case tag."""
+    lines = C.as_encoding(fixtures.points(spark, sf), "wkt")
+    bad = F.when(F.col("fid") % 11 == 3, F.lower(GEOMETRY)).otherwise(F.col(GEOMETRY))
+    path = fresh_path(spark, "lines")
+    text.write_wkt_tsv(C.replace_geometry(lines, bad, geometry_tag(lines)), path, order=["fid"])
+    found = validate.check_lines(spark, path)
+    return found.groupBy("rule").agg(F.sum(F.col("detail").cast("bigint")).alias("lines"))
+
+
+@query
+def file_headers(spark, sf):
+    """First bytes and sizes of written files, without reading their contents."""
+    path = fresh_path(spark, "headers")
+    write_geo(fixtures.points(spark, sf), path, "native")
+    heads = validate.probe_headers(spark, path, 4)
+    return heads.groupBy(F.col("head").cast("string").alias("head")).agg(
+        F.bool_and(F.col("length") <= validate.SIZE_LIMIT).alias("within_limit")
+    )
+
+
 @query
 def validation_report(spark, sf):
     """Point rows of which known ones are broken, checked in each encoding by its rules."""
@@ -542,10 +648,3 @@ def size_check(spark, sf):
         "path", (F.col("ordinal") * 1000003 % 3000000000).alias("length")
     )
     return validate.check_sizes(files).select("subject", "rule", "detail")
-
-
-def entry(spark: SparkSession, sf: str) -> DataFrame:
-    return hilbert_order(spark, sf)
-
-
-__all__ = ["QUERIES", "entry", "tagged"]
