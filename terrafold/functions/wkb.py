@@ -240,6 +240,8 @@ def decode_array(arr: pa.Array, kind: str, dims: str) -> pa.Array:
 
 def type_codes(arr: pa.Array) -> np.ndarray:
     """WKB type code of each row of an array without nulls."""
+    if len(arr) == 0:
+        return np.zeros(0, dtype=np.int64)
     data, offsets = binary_parts(arr)
     return _Bytes(data).header(offsets[:-1])[1]
 
@@ -357,10 +359,38 @@ def wkt_to_wkb(text: Column) -> Column:
     return convert(text)
 
 
+def wkb_to_texts(values: pa.Array, write) -> pa.Array:
+    """WKB of any mix of types to WKT: one batch per type, collections one by one.
+
+    ``write`` turns native values of one type into texts.
+    """
+    valid = values.is_valid()
+    kept = values.drop_null()
+    codes = type_codes(kept)
+    out, places = [], []
+    for code in np.unique(codes):
+        kind, dims = split_code(int(code))
+        rows = np.flatnonzero(codes == code)
+        chosen = kept.take(pa.array(rows))
+        if kind in NESTING:
+            texts = write(decode_array(chosen, kind, dims), kind, dims)
+        else:
+            texts = pa.array([_bytes_to_text(v, 0)[0] for v in chosen.to_pylist()], pa.string())
+        out.append(texts)
+        places.append(rows)
+    if not out:
+        return pa.nulls(len(values), pa.string())
+    order = np.argsort(np.concatenate(places))
+    return spread(pa.concat_arrays(out).take(pa.array(order)), valid)
+
+
 def wkb_to_wkt(wkb: Column) -> Column:
+    """For columns of mixed types and collections; typed columns decode and format instead."""
+    from .wkt import format_array
+
     @arrow_udf("string")
     def convert(values: pa.Array) -> pa.Array:
-        return pa.array([None if v is None else _bytes_to_text(v, 0)[0] for v in values.to_pylist()], pa.string())
+        return wkb_to_texts(values, format_array)
 
     return convert(wkb)
 

@@ -9,8 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .batches import arrow_storage, binary_parts, offsets, spread
-from .types import DIMENSIONS, NESTING, TYPE_NAMES, storage_type, type_label
+from .batches import arrow_storage, binary_parts, list_lengths, offsets, ordinates, spread
+from .types import NESTING, TYPE_NAMES, storage_type, type_label
 
 # A tag word and an optional dimension word.
 TAG_PATTERN = r"^\s*([A-Za-z]+)\s*(ZM|Z|M|)\s*(?:EMPTY|\()"
@@ -211,4 +211,35 @@ def format_wkt(geom: Column, kind: str, dims: str = "xy") -> Column:
     )
 
 
-ALL_TYPE_LABELS = [type_label(kind, dims) for dims in DIMENSIONS for kind in TYPE_NAMES]
+def _number_texts(values: np.ndarray) -> pa.Array:
+    whole = np.isfinite(values) & (values == np.floor(values)) & (np.abs(values) < 1e15)
+    texts = np.empty(len(values), dtype=object)
+    texts[whole] = pa.array(values[whole].astype(np.int64)).cast(pa.string()).to_pylist()
+    texts[~whole] = [repr(v) for v in values[~whole].tolist()]
+    texts[(values == 0) & np.signbit(values)] = "-0"
+    return pa.array(texts, pa.string())
+
+
+def format_array(values: pa.Array, kind: str, dims: str) -> pa.Array:
+    """Native values of one type, none of them null, to texts; for columns of mixed types."""
+
+    def wrap(inner: pa.Array) -> pa.Array:
+        return pc.binary_join_element_wise("(", inner, ")", "")
+
+    lists, coords = [], values
+    for _ in range(NESTING[kind]):
+        lists.append(coords)
+        coords = coords.flatten()
+    numbers = [_number_texts(ordinates(coords, d)) for d in dims]
+    texts = pc.binary_join_element_wise(*numbers, " ")
+    if kind in ("point", "multipoint"):
+        texts = wrap(texts)
+    for level in reversed(lists):
+        joined = pa.ListArray.from_arrays(
+            pa.array(offsets(list_lengths(level)).astype(np.int32)), texts
+        )
+        texts = wrap(pc.binary_join(joined, ", "))
+    empty = np.isnan(ordinates(values, "x")) if kind == "point" else list_lengths(values) == 0
+    texts = pc.if_else(pa.array(empty), pa.scalar("EMPTY"), texts)
+    suffix = dims[2:].upper()
+    return pc.binary_join_element_wise(kind.upper() + " " + (suffix + " " if suffix else ""), texts, "")

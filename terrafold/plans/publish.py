@@ -190,7 +190,7 @@ def publish_example(lists: DataFrame, root: str, group: str, name: str, formats:
     """One named list in every format: a text column beside its encoding, but plain lines in tsv."""
     kind, dims = kind_of_list(name)
     chosen = declare_list(lists.filter(F.col("name") == name), kind, dims)
-    ordered = chosen.repartitionByRange(1, "pos").sortWithinPartitions("pos").select("geometry")
+    ordered = chosen.repartitionByRange("pos").sortWithinPartitions("pos").select("geometry")
     written = []
     for fmt in formats:
         if fmt not in FORMS:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.types import BOX_FIELDS, GEOMETRY, NESTING, GeometryTag, tag_of
 from ..functions.wkb import encode_array
@@ -119,6 +121,7 @@ class GeometryFileWriter(DataSourceArrowWriter):
     suffix = ""
 
     def __init__(self, schema: T.StructType, options, overwrite: bool):
+        self.schema = schema
         self.path = options["path"].rstrip("/")
         self.rows = int(options.get("rows", options.get("row_group_rows", 100_000)))
         self.compression = options.get("compression", "zstd")
@@ -181,19 +184,25 @@ class GeometryFileWriter(DataSourceArrowWriter):
             rest = table.slice(start)
             waiting, count = ([rest], rest.num_rows) if rest.num_rows else ([], 0)
 
-        for batch in iterator:
+        iterator = iter(iterator)
+        first = next(iterator, None)
+        if first is None and part == 0:
+            # So that an empty table leaves a file with its schema.
+            first = pa.RecordBatch.from_pylist([], schema=to_arrow_schema(self.schema))
+        for batch in chain([] if first is None else [first], iterator):
             table = self._convert(batch)
             if GEOMETRY in self.tags:
                 self.observe(state, batch.column(GEOMETRY))
             if sink is None:
                 handle = files.open_output_stream(f"{temporary}/{name}")
                 sink = self.open_sink(handle, table.schema)
-            waiting.append(table)
+            if table.num_rows:
+                waiting.append(table)
             count += table.num_rows
             if count >= self.rows:
                 flush(False)
         if sink is None:
-            return None
+            return FileWritten("", "")
         if count:
             flush(True)
         self.finish(sink, state)
@@ -208,7 +217,7 @@ class GeometryFileWriter(DataSourceArrowWriter):
                 if item.type == fs.FileType.File:
                     files.delete_file(item.path)
         for message in messages:
-            if message is not None:
+            if message is not None and message.temporary:
                 files.move(message.temporary, message.final)
         self._clear(files, place)
         with files.open_output_stream(f"{place}/_SUCCESS") as done:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource
 
+from ..functions.coords import make_box
 from ..functions.crs import footer_crs
 from ..functions.types import GEOMETRY, NESTING, GeometryTag, geometry_tag, tagged, type_label
 from ..functions.wkb import box_rows, split_code, type_codes
@@ -205,10 +206,6 @@ def read_geo(spark: SparkSession, path: str, keep_order: bool = False) -> DataFr
     return df.select(*columns)
 
 
-def is_geo_encoding(df: DataFrame) -> bool:
-    return geometry_tag(df).encoding in FOOTER_VERSIONS
-
-
 def footers(spark: SparkSession, path: str) -> DataFrame:
     """Footer text of every file: path, geo, column names and type of the geometry column."""
     spread = spark.createDataFrame(
@@ -236,3 +233,28 @@ def footers(spark: SparkSession, path: str) -> DataFrame:
 
     schema = "path string, length bigint, geo string, columns array<string>, geometry_type string"
     return spread.mapInArrow(read, schema)
+
+
+def extent_of_files(spark: SparkSession, path: str) -> DataFrame:
+    """Total bounds of a layer from its footers: one row, one box, no data page read.
+
+    Saves the scan that clustering a written layer again would begin with; pass
+    ``extent_of_files(...).scalar()`` as its extent. A file that states no bounds but has
+    rows is an error, since the total would miss it.
+    """
+    column = F.get_json_object("geo", f"$.columns.{GEOMETRY}")
+    listed = footers(spark, path).select(
+        "path",
+        F.from_json(F.get_json_object(column, "$.bbox"), "array<double>").alias("b"),
+        F.from_json(F.get_json_object(column, "$.geometry_types"), "array<string>").alias("kinds"),
+    )
+    missing = F.raise_error(F.concat(F.lit("No bounds in the footer of "), F.col("path")))
+    # Only null rows leave both lists empty.
+    bounds = F.when(F.col("b").isNull() & ~F.size("kinds").eqNullSafe(F.lit(0)), missing.cast("array<double>")).otherwise(F.col("b"))
+    half = F.size("b") / 2
+    rows = listed.select(bounds.alias("b")).select("b", half.cast("int").alias("half"))
+    total = rows.agg(
+        F.min(F.col("b")[0]).alias("xmin"), F.min(F.col("b")[1]).alias("ymin"),
+        F.max(F.col("b")[F.col("half")]).alias("xmax"), F.max(F.col("b")[F.col("half") + 1]).alias("ymax"),
+    )
+    return total.select(make_box(*[F.col(c) for c in total.columns]).alias("extent"))

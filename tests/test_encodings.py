@@ -145,6 +145,7 @@ def test_wkb_kernels_invert_each_other(data):
     again = wkt.parse_array(pa.array(words, pa.string()), kind, dims)
     assert again.to_pylist() == rows.to_pylist()
     assert [None if w is None else wkb._text_to_bytes(w) for w in words] == encoded.to_pylist()
+    assert wkb.wkb_to_texts(encoded, wkt.format_array).to_pylist() == words
 
 
 def test_big_endian_and_damaged_values():

@@ -15,7 +15,8 @@ from terrafold.plans import fixtures, publish, validate
 from terrafold.sources import text
 from terrafold.sources.arrow_stream import read_arrow, write_arrow
 from terrafold.sources.geojson import feature_texts, read_geojson
-from terrafold.sources.parquet import footers, read_footer, read_geo, write_geo
+from terrafold.operators.extent import extent_box
+from terrafold.sources.parquet import extent_of_files, footers, read_footer, read_geo, write_geo
 from terrafold.sources.shared import fresh_path, list_files, path_exists, shared_dir
 
 from .samples import COLLECTIONS, POLYGON_ZM, WKT
@@ -313,7 +314,7 @@ def test_example_grid(spark, tmp_path):
     paths = publish.publish_example(lists, str(tmp_path), "example", "polygon", formats)
     for path, fmt in zip(paths, formats):
         assert validate.check_file(spark, path, fmt).isEmpty(), fmt
-    both = read_arrow(spark, paths[1], row_index=True).orderBy("row_index").collect()
+    both = read_arrow(spark, paths[1], row_index=True).orderBy("file_name", "row_index").collect()
     assert [r.wkt for r in both] == WKT["polygon"]
     mixed = publish.publish_example(lists, str(tmp_path), "example", "geometry-mixed-dimensions", formats)
     assert len(mixed) == 3
@@ -429,3 +430,49 @@ def test_the_sink_encodes_typed_columns(spark, tmp_path):
     assert compare.schemas_equal(a, b) and compare.tables_equal(a, b)
     geo = [read_footer(list_files(f"{tmp_path}/{n}", (".parquet",))[0][0])[0] for n in ("sink", "column")]
     assert geo[0] == geo[1] and geo[0]["columns"]["geometry"]["encoding"] == "WKB"
+
+
+def test_extent_from_footers_is_the_extent(spark, tmp_path):
+    sf = "/root/testdata/sf0.001"
+    for name, df, encoding in (
+        ("points", fixtures.points(spark, sf), "wkb"),
+        ("tracks", fixtures.tracks(spark, sf).repartition(4), "native"),
+        ("solid", C.set_dims(fixtures.points(spark, sf), z=lambda c: c["x"]), "native"),
+    ):
+        path = f"{tmp_path}/{name}"
+        write_geo(df, path, encoding)
+        stated = extent_of_files(spark, path)
+        assert stated.collect() == extent_box(df).collect()
+        keyed = ordering.hilbert_key(df, extent=stated.scalar())
+        assert compare.tables_equal(keyed.drop("geometry"), ordering.hilbert_key(df).drop("geometry"))
+    nothing = table(spark, [None, "POINT EMPTY"], "point", "xy").filter("fid = 0")
+    write_geo(nothing, f"{tmp_path}/nothing")
+    assert extent_of_files(spark, f"{tmp_path}/nothing").first().extent is None
+
+
+def test_empty_partitions_and_tables(spark, tmp_path):
+    sparse = fixtures.points(spark, "/root/testdata/sf0.001").repartition(4).filter("fid = 7")
+    for fmt in ("arrows", "arrows/wkb", "arrows/box", "geoparquet", "geoparquet/native"):
+        for name, df, rows in (("one", sparse, 1), ("none", sparse.filter("fid < 0"), 0)):
+            path = f"{tmp_path}/{name}-{fmt.replace('/', '-')}"
+            publish.write_format(df, fmt, path)
+            back = read_arrow(spark, path) if fmt.startswith("arrows") else read_geo(spark, path)
+            assert back.count() == rows and geometry_tag(back).encoding == publish.FORMS[fmt][0]
+
+
+def test_attributes_pass_through(spark, tmp_path):
+    df = fixtures.points(spark, "/root/testdata/sf0.001").select(
+        "fid",
+        F.timestamp_seconds("fid").alias("seen"),
+        F.to_date(F.lit("2024-02-29")).alias("day"),
+        F.array(F.col("fid").cast("string"), F.lit(None)).alias("words"),
+        F.struct(F.lit(1.5).alias("a"), F.lit("b").alias("b")).alias("pair"),
+        F.lit("12.34").cast("decimal(10,2)").alias("price"),
+        "geometry",
+    )
+    spark.conf.set("spark.sql.session.timeZone", "America/Halifax")
+    try:
+        for fmt in ("arrows", "geoparquet"):
+            assert publish.same_after(df, fmt)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
