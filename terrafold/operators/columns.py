@@ -15,6 +15,7 @@ from ..functions.types import (
     GeometryTag,
     geometry_tag,
     tagged,
+    type_label,
 )
 
 
@@ -180,8 +181,6 @@ def geometry_type(df: DataFrame) -> Column:
         return wkt.wkt_type(geom)
     if tag.encoding == "wkb":
         return wkb.wkb_type(geom)
-    from ..functions.types import type_label
-
     label = "Box" if tag.encoding == "box" else type_label(tag.kind, tag.dims)
     return F.when(geom.isNotNull(), F.lit(label))
 

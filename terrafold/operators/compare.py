@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .columns import same_type
+
 
 def table_differences(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows that occur more often on one side, with the surplus (negative: in ``right``).
@@ -31,18 +33,12 @@ def schemas_equal(left: DataFrame, right: DataFrame, nullability: bool = False)
     return all(
         a.name == b.name
         and (a.metadata or {}) == (b.metadata or {})
-        and (a.dataType == b.dataType if nullability else _same(a, b))
+        and (a.dataType == b.dataType if nullability else same_type(a.dataType, b.dataType))
         and (not nullability or a.nullable == b.nullable)
         for a, b in zip(left.schema.fields, right.schema.fields)
     )
 
 
-def _same(a, b) -> bool:
-    from .columns import same_type
-
-    return same_type(a.dataType, b.dataType)
-
-
 def pair_by_position(left: DataFrame, right: DataFrame, ordinal: str) -> DataFrame:
     """Rows of both tables side by side where their ordinals meet, with an equality flag."""
     columns = [c for c in left.columns if c != ordinal]

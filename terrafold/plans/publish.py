@@ -8,8 +8,15 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.types import DIMENSIONS, NESTING, geometry_tag
-from ..operators.columns import as_encoding, centroid, declare, round_coords, with_encoding
+from ..functions.types import DIMENSIONS, NESTING, GeometryTag, geometry_tag
+from ..operators.columns import (
+    as_encoding,
+    centroid,
+    declare,
+    round_coords,
+    set_dims,
+    with_encoding,
+)
 from ..operators.compare import schemas_equal, table_differences
 from ..operators.ordering import cluster
 from ..sources.arrow_stream import read_arrow, write_arrow
@@ -153,8 +160,6 @@ def add_dimensions(lists: DataFrame, z: bool, m: bool) -> DataFrame:
     for kind in NESTING:
         part = declare_list(lists.filter(F.col("name") == kind), kind, "xy")
         part = as_encoding(part, "native")
-        from ..operators.columns import set_dims
-
         part = set_dims(
             part,
             (lambda c: c["x"] + c["y"]) if z else None,
@@ -168,8 +173,6 @@ def add_dimensions(lists: DataFrame, z: bool, m: bool) -> DataFrame:
 
 
 def declare_list(lists: DataFrame, kind: str | None, dims: str | None) -> DataFrame:
-    from ..functions.types import GeometryTag
-
     return declare(
         lists.withColumnRenamed("wkt", "geometry"), GeometryTag("wkt", kind, dims)
     )

@@ -68,28 +68,28 @@ def _example_files():
 
 MANIFESTS = [
     {
-        "group": "example",
+        "group": "samples",
         "file_location": "repo",
         "format": ["tsv", "arrows", "arrows/interleaved", "arrows/wkt", "arrows/wkb", "parquet", "geoparquet", "geoparquet/native"],
         "files": list(_example_files()),
     },
     {
-        "group": "example-crs",
+        "group": "samples-crs",
         "file_location": "repo",
         "format": ["arrows/wkb", "geoparquet", "fgb", "parquet"],
-        "files": [{"name": f"vermont-{n}"} for n in ("crs84", "4326", "utm", "custom")]
+        "files": [{"name": f"state-{n}"} for n in ("crs84", "4326", "utm", "custom")]
         + [
-            {"name": "vermont-crs84-wkt2", "skip_format": ["geoparquet", "fgb", "parquet"]},
-            {"name": "vermont-crs84-auth-code", "skip_format": ["geoparquet", "fgb"]},
-            {"name": "vermont-crs84-unknown", "skip_format": ["geoparquet", "fgb"]},
+            {"name": "state-crs84-wkt2", "skip_format": ["geoparquet", "fgb", "parquet"]},
+            {"name": "state-crs84-auth-code", "skip_format": ["geoparquet", "fgb"]},
+            {"name": "state-crs84-unknown", "skip_format": ["geoparquet", "fgb"]},
         ],
     },
     {
-        "group": "microsoft-buildings",
+        "group": "buildings",
         "files": [{"name": "point", "format": ["fgb/zip", *_TABLE[1:]]}],
     },
     {
-        "group": "natural-earth",
+        "group": "earth",
         "file_location": "repo",
         "format": [*_TABLE, "arrows/box"],
         "files": [
@@ -99,15 +99,15 @@ MANIFESTS = [
             {"name": "countries-bounds"},
         ],
     },
-    {"group": "quadrangles", "file_location": "repo", "format": [*_TABLE, "arrows/box"], "files": [{"name": "100k"}]},
+    {"group": "sheets", "file_location": "repo", "format": [*_TABLE, "arrows/box"], "files": [{"name": "100k"}]},
     {
-        "group": "ns-water",
+        "group": "water",
         "file_location": "release",
         "format": _TABLE,
         "files": [{"name": n} for n in ("elevation", "land-poly", "water-junc", "water-line", "water-point", "water-poly")],
     },
 ]
 FILES_PER_GROUP = {
-    "example": 257, "example-crs": 21, "microsoft-buildings": 7,
-    "natural-earth": 28, "quadrangles": 8, "ns-water": 42,
+    "samples": 257, "samples-crs": 21, "buildings": 7,
+    "earth": 28, "sheets": 8, "water": 42,
 }

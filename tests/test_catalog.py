@@ -49,8 +49,8 @@ def test_lists_of_a_file_and_skips(spark):
 
 def test_addresses_follow_the_location(spark, assets):
     urls = {r.file: r.url for r in assets.collect()}
-    assert urls["example_point.tsv"] == "https://example.org/raw/v9/example/files/example_point.tsv"
-    assert urls["ns-water_elevation_wkb.arrows"] == "https://example.org/releases/v9/ns-water_elevation_wkb.arrows"
+    assert urls["samples_point.tsv"] == "https://example.org/raw/v9/samples/files/samples_point.tsv"
+    assert urls["water_elevation_wkb.arrows"] == "https://example.org/releases/v9/water_elevation_wkb.arrows"
     odd = [{"group": "g", "file_location": "moon", "format": ["tsv"], "files": [{"name": "a"}]}]
     expanded = catalog.expand_manifests(catalog.read_manifests(spark, odd))
     with pytest.raises(Exception, match="Unknown file location: moon"):
@@ -81,14 +81,14 @@ def test_wrong_paths(spark, path, error):
 
 
 def test_files_found_and_hidden_skipped(spark, assets, tmp_path):
-    (tmp_path / "example" / "files").mkdir(parents=True)
-    for name in ("example_point.tsv", ".hidden.tsv", "example_new.tsv"):
-        (tmp_path / "example" / "files" / name).write_text("geometry\n")
+    (tmp_path / "samples" / "files").mkdir(parents=True)
+    for name in ("samples_point.tsv", ".hidden.tsv", "samples_new.tsv"):
+        (tmp_path / "samples" / "files" / name).write_text("geometry\n")
     present = catalog.list_assets(spark, str(tmp_path))
-    assert sorted((r.file, r.length) for r in present.collect()) == [("example_new.tsv", 9), ("example_point.tsv", 9)]
+    assert sorted((r.file, r.length) for r in present.collect()) == [("samples_new.tsv", 9), ("samples_point.tsv", 9)]
     assert "content" not in present._jdf.queryExecution().executedPlan().toString()
     status = {r.file: r.status for r in compare.completeness(assets, present, "file").collect()}
-    assert status["example_new.tsv"] == "undeclared" and "example_point.tsv" not in status
+    assert status["samples_new.tsv"] == "undeclared" and "samples_point.tsv" not in status
     assert sum(s == "missing" for s in status.values()) == 362
 
 
@@ -105,16 +105,16 @@ def test_published_list_reads_back(spark, assets, tmp_path):
     wide = catalog.unnest_manifest(spark.read.schema(catalog.MANIFEST_JSON_SCHEMA).json(path, multiLine=True))
     assert wide.columns == ["ref", "name", "files_name", "files_format", "files_url"] and wide.count() == 363
     wkb = catalog.only_format(back, "arrows/wkb").select("name", "group")
-    assert wkb.filter("group = 'example'").count() == 37
+    assert wkb.filter("group = 'samples'").count() == 37
 
 
 def test_listing_by_group(spark, listed):
     rows = catalog.listing_text(listed).collect()
     assert [r.group for r in rows] == GROUPS
     text = rows[1].file_summary
-    assert rows[1].readme_file == "example-crs/README.md"
-    assert text.startswith("## Files\n\n- vermont-crs84 ([arrows/wkb](https://example.org/raw/v9/example-crs/files/")
-    assert text.splitlines()[-1].startswith("- vermont-crs84-unknown ([arrows/wkb](")
+    assert rows[1].readme_file == "samples-crs/README.md"
+    assert text.startswith("## Files\n\n- state-crs84 ([arrows/wkb](https://example.org/raw/v9/samples-crs/files/")
+    assert text.splitlines()[-1].startswith("- state-crs84-unknown ([arrows/wkb](")
     assert len(re.findall(r"\]\(", "".join(r.file_summary for r in rows))) == 363
 
 
@@ -142,10 +142,10 @@ def test_selections_by_name(assets):
     names = catalog.only_format(assets, "arrows/wkb").select(
         catalog.base_name(F.col("file"), "_wkb.arrows").alias("base")
     )
-    small = catalog.without_names(names, "base", ["microsoft-buildings", "wkt2"], "ns-water", "ns-water_water-point")
+    small = catalog.without_names(names, "base", ["buildings", "wkt2"], "water", "water_water-point")
     kept = {r.base for r in small.collect()}
-    assert "ns-water_water-point" in kept and "ns-water_elevation" not in kept
-    assert not [k for k in kept if "wkt2" in k or "microsoft" in k] and len(kept) == 37 + 6 + 4 + 1 + 1
-    sized = names.select("base", catalog.size_compression(F.col("base"), ["ns-water", "microsoft"]).alias("c"))
-    assert {r.base.split("_")[0] for r in sized.filter("c = 'zstd'").collect()} == {"ns-water", "microsoft-buildings"}
-    assert catalog.keep_keys(assets, "group", ["quadrangles"]).count() == 8
+    assert "water_water-point" in kept and "water_elevation" not in kept
+    assert not [k for k in kept if "wkt2" in k or "buildings" in k] and len(kept) == 37 + 6 + 4 + 1 + 1
+    sized = names.select("base", catalog.size_compression(F.col("base"), ["water", "build"]).alias("c"))
+    assert {r.base.split("_")[0] for r in sized.filter("c = 'zstd'").collect()} == {"water", "buildings"}
+    assert catalog.keep_keys(assets, "group", ["sheets"]).count() == 8
