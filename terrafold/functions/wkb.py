@@ -31,16 +31,24 @@ from .types import (
 _SINGLE = {"multipoint": "point", "multilinestring": "linestring", "multipolygon": "polygon"}
 
 
+# Code of each type and dimensions, and back.
+_CODES = {
+    (kind, dims): code + 1000 * i
+    for i, dims in enumerate(DIMENSIONS)
+    for kind, code in WKB_CODES.items()
+}
+_TYPES = {code: pair for pair, code in _CODES.items()}
+
+
 def wkb_code(kind: str, dims: str) -> int:
-    return WKB_CODES[kind] + 1000 * DIMENSIONS.index(dims)
+    return _CODES[kind, dims]
 
 
 def split_code(code: int) -> tuple[str, str]:
     """Type and dimensions of a WKB code."""
-    kinds = {v: k for k, v in WKB_CODES.items()}
-    if code % 1000 not in kinds or code // 1000 >= len(DIMENSIONS):
+    if code not in _TYPES:
         raise ValueError(f"Unknown WKB type code {code}")
-    return kinds[code % 1000], DIMENSIONS[code // 1000]
+    return _TYPES[code]
 
 
 # ---------------------------------------------------------------- encoding
