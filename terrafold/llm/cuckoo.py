@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.shared import fresh_path
 
@@ -147,7 +148,7 @@ def _entry_batch(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(T.BinaryType())
 def digest_column(texts: pa.Array) -> pa.Array:
     """The same digest as a column."""
     values = texts.cast(pa.large_binary())

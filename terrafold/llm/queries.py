@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cuckoo
+from . import cuckoo, mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,18 +16,63 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op5_source_mix(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents mixed to the weights of their sources, better labelled ones first."""
+    quality = table(spark, sf, "labels").select("doc_id", "quality")
+    plan = mixing.mix(table(spark, sf, "documents"), quality)
+    return plan.select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
 def op6_cuckoo_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Exact duplicates among all documents."""
     return cuckoo.exact_groups(table(spark, sf, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op5_source_mix": op5_source_mix,
     "op6_cuckoo_dedup": op6_cuckoo_dedup,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
+    "op5_source_mix": r"""
+        WITH best AS (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id),
+        rows AS (
+            SELECT d.doc_id, source,
+                   len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                   -ln((('0x' || substr(md5('mix-1:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 12))::BIGINT + 0.5e0) / 281474976710656e0)
+                     / CASE WHEN quality >= 1 THEN 2e0 WHEN quality < 1 THEN 0.5e0 ELSE 1e0 END AS draw
+            FROM documents d LEFT JOIN best b ON d.doc_id = b.doc_id
+        ),
+        sizes AS (SELECT source, sum(size)::BIGINT AS source_size FROM rows GROUP BY source),
+        ranked AS (
+            SELECT *, [5e0, 2e0, 1e0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS w FROM sizes
+        ),
+        filled AS (SELECT *, source_size * 2e0 / w AS fill FROM ranked),
+        levels AS (
+            SELECT *, (1.5e0 * sum(source_size) OVER ()
+                       - coalesce(sum(source_size) OVER (ORDER BY fill, source NULLS LAST
+                                                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * 2e0)
+                      / sum(w) OVER (ORDER BY fill, source NULLS LAST
+                                     ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+            FROM filled
+        ),
+        targets AS (
+            SELECT source, source_size,
+                   least(source_size * 2e0, w * (SELECT arg_min(level, fill) FROM levels WHERE level <= fill)) AS target
+            FROM levels
+        ),
+        placed AS (
+            SELECT r.doc_id, r.source, size, source_size, target,
+                   coalesce(sum(size) OVER (PARTITION BY r.source ORDER BY draw, r.doc_id, size
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+                   CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs
+            FROM rows r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source
+        )
+        SELECT doc_id, source, size, source_size, target,
+               (epochs * size + least(size, greatest(0, floor(target)::BIGINT - epochs * source_size - before)))::BIGINT AS taken
+        FROM placed""",
     "op6_cuckoo_dedup": f"""
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(lowered) AS text_sha256
