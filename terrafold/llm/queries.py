@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cuckoo, mixing
+from . import cross_parse, cuckoo, mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,9 +28,15 @@ def op6_cuckoo_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return cuckoo.exact_groups(table(spark, sf, "documents"))
 
 
+def op9_cross_parse_language(spark: SparkSession, sf: str) -> DataFrame:
+    """The language of every document."""
+    return cross_parse.identify(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op5_source_mix": op5_source_mix,
     "op6_cuckoo_dedup": op6_cuckoo_dedup,
+    "op9_cross_parse_language": op9_cross_parse_language,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
