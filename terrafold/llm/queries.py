@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cross_parse, cuckoo, mixing
+from . import cross_parse, cuckoo, decontaminate, mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,10 +33,17 @@ def op9_cross_parse_language(spark: SparkSession, sf: str) -> DataFrame:
     return cross_parse.identify(table(spark, sf, "documents"))
 
 
+def op10_prefix_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Words of every document under windows of benchmark items."""
+    found = decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.drop("items")
+
+
 QUERIES: dict[str, Query] = {
     "op5_source_mix": op5_source_mix,
     "op6_cuckoo_dedup": op6_cuckoo_dedup,
     "op9_cross_parse_language": op9_cross_parse_language,
+    "op10_prefix_decontamination": op10_prefix_decontamination,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
