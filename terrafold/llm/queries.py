@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cross_parse, cuckoo, decontaminate, mixing
+from . import cross_parse, cuckoo, decontaminate, mixing, prefix_tree
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op4_prefix_tree_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return prefix_tree.jaccard_components(table(spark, sf, "documents"))
+
+
 def op5_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     """All documents mixed to the weights of their sources, better labelled ones first."""
     quality = table(spark, sf, "labels").select("doc_id", "quality")
@@ -40,6 +45,7 @@ def op10_prefix_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_prefix_tree_join": op4_prefix_tree_join,
     "op5_source_mix": op5_source_mix,
     "op6_cuckoo_dedup": op6_cuckoo_dedup,
     "op9_cross_parse_language": op9_cross_parse_language,
