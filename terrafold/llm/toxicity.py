@@ -25,10 +25,11 @@ from .arrays import rounds, spaced_table
 SAMPLE_ROWS, SAMPLE_CHARS = 2500, 8000
 #: Subsequences span at most REACH letters; each letter spanned costs this factor.
 REACH, DECAY = 6, 0.7
-LANDMARKS = 128
+LANDMARKS = 256
 #: Evidence (log likelihood ratio) that a string belongs to toxic documents, and its least share of them.
 EVIDENCE, PURITY = 14.0, 0.9
-NEGATIVES, ROUNDS = 30_000, 3
+#: Clean strings of the first round, and most that each later round adds; cost of a mistake.
+NEGATIVES, ROUNDS, COST = 6000, 4, 4.0
 _ALPHABET = 32
 
 
@@ -95,22 +96,44 @@ def string_scores(code: np.ndarray, start: np.ndarray, weights: np.ndarray) -> n
     return np.add.reduceat(total, start) / norms(size)
 
 
-def features(strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(string, triple, value) of the normalised features of some strings."""
+def _buffer(strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Letters of some strings and where each begins."""
     letter = letters()
-    row, triple, value = [], [], []
-    for i, s in enumerate(strings):
-        code = letter[np.frombuffer(s.encode(), np.uint8)].astype(np.int64)
-        code = code[code > 0]
-        norm = norms(np.array([len(code)]))[0]
-        for k in range(2, min(REACH, len(code))):
-            for j in range(1, k):
-                found = (code[:-k] * _ALPHABET + code[j : j - k]) * _ALPHABET + code[k:]
-                triple.append(found)
-                row.append(np.full(len(found), i))
-                value.append(np.full(len(found), DECAY**k / norm))
-    none = [np.zeros(0, np.int64)]
-    return np.concatenate(row or none), np.concatenate(triple or none), np.concatenate(value or [np.zeros(0)])
+    codes = [letter[np.frombuffer(s.encode(), np.uint8)] for s in strings]
+    codes = [c[c > 0] for c in codes]
+    return np.concatenate(codes), np.cumsum([0] + [len(c) for c in codes])[:-1]
+
+
+def kernel_rows(strings: list[str], basis: np.ndarray) -> np.ndarray:
+    """Kernel values of strings with landmarks, whose normalised features are the rows of ``basis``."""
+    out = np.zeros((len(strings), len(basis)), np.float32)
+    for at in range(0, len(strings), 1000):
+        code, start = _buffer(strings[at : at + 1000])
+        row, triple, value = string_features(code, start)
+        order = np.argsort(row, kind="stable")
+        row, triple, value = row[order], triple[order], value[order]
+        cuts = np.flatnonzero(np.diff(row, prepend=-1))
+        if len(cuts):
+            out[at + row[cuts]] = np.add.reduceat(basis.T[triple] * value[:, None], cuts)
+    return out
+
+
+def string_features(code: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(string, triple, value) of the normalised features."""
+    n = len(code)
+    size = np.diff(np.append(start, n))
+    owner = np.repeat(np.arange(len(start)), size)
+    rest = np.repeat(start + size, size) - np.arange(n)
+    norm = norms(size).astype(np.float32)
+    wide = code.astype(np.int64)
+    rows, triples, values = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
+    for k in range(2, min(REACH, n)):
+        at = np.flatnonzero(rest > k)
+        for j in range(1, k):
+            rows.append(owner[at])
+            triples.append((wide[at] * _ALPHABET + wide[at + j]) * _ALPHABET + wide[at + k])
+            values.append(np.float32(DECAY**k) / norm[owner[at]])
+    return np.concatenate(rows), np.concatenate(triples), np.concatenate(values)
 
 
 def svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, steps: int = 60) -> tuple[np.ndarray, float]:
@@ -192,49 +215,35 @@ class Model:
         rng = np.random.default_rng(7)
         positive = sorted(found)
         clean = sorted({s for t, y in texts if not y for s in _strings(t)} - set(found))
-        pick = rng.choice(len(clean), min(NEGATIVES, len(clean)), replace=False) if clean else []
-        negative = [clean[i] for i in sorted(pick)]
-        ranked = sorted(found, key=lambda s: (-found[s], s))[: LANDMARKS // 2]
-        others = [negative[i] for i in rng.choice(len(negative), min(LANDMARKS // 2, len(negative)), replace=False)] if negative else []
-        marks = ranked + others
-        r, t, v = features(marks)
+        code, start = _buffer(clean or ["aaa"])
+        pick = rng.permutation(len(clean))[:NEGATIVES]
+        negative = [clean[i] for i in pick]
+        marks = sorted(found, key=lambda s: (-found[s], s))[: LANDMARKS // 2] + negative[: LANDMARKS // 2]
         basis = np.zeros((len(marks), _ALPHABET**3), np.float32)
-        np.add.at(basis, (r, t), v)
-        gram = basis @ basis.T
-        values, vectors = np.linalg.eigh(gram.astype(np.float64))
+        row, triple, value = string_features(*_buffer(marks))
+        np.add.at(basis, (row, triple), value)
+        values, vectors = np.linalg.eigh((basis @ basis.T).astype(np.float64))
         kept = values > 1e-6 * values.max()
         # The map of a string's kernel values with the landmarks into the space they span.
         whiten = vectors[:, kept] / np.sqrt(values[kept])
+        good = kernel_rows(positive, basis) @ whiten
+        # Strings of many toxic documents count more.
+        weight = np.array([found[s] for s in positive], float)
+        weight *= COST / np.median(weight)
         for _ in range(ROUNDS):
-            strings = positive + negative
-            y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
-            r, t, v = features(strings)
-            order = np.argsort(r, kind="stable")
-            r, t, v = r[order], t[order], v[order]
-            cuts = np.searchsorted(r, np.arange(0, len(strings) + 2048, 2048))
-            kernel = np.zeros((len(strings), len(marks)))
-            for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                dense = np.zeros((min(2048, len(strings) - i * 2048), _ALPHABET**3), np.float32)
-                np.add.at(dense, (r[a:b] - i * 2048, t[a:b]), v[a:b])
-                kernel[i * 2048 : i * 2048 + len(dense)] = dense @ basis.T
-            cost = np.where(y > 0, 4.0 * max(1, len(negative)) / len(positive), 4.0)
-            w, self.offset = svm(kernel @ whiten, y, np.minimum(cost, 400.0))
+            bad = kernel_rows(negative, basis) @ whiten
+            y = np.concatenate([np.ones(len(good)), -np.ones(len(bad))])
+            w, self.offset = svm(np.vstack([good, bad]), y, np.concatenate([weight, np.full(len(bad), COST)]))
             self.weights = ((whiten @ w) @ basis).astype(np.float32)
-            # Clean strings that come too near join the negatives for the next round.
-            hard = [s for s, f in zip(clean, self._of(clean), strict=True) if f > -0.5]
-            more = sorted(set(hard) - set(negative))
-            if not more:
+            # The clean strings that come nearest join the negatives for the next round.
+            reached = string_scores(code, start, self.weights) + self.offset
+            known = set(negative)
+            hard = [clean[i] for i in np.argsort(-reached)[:NEGATIVES] if reached[i] > -0.8 and clean[i] not in known]
+            if not hard:
                 break
-            negative += more[:NEGATIVES]
+            negative += hard
         worst = np.array([self._document(t) for t, _ in texts])
-        y = np.array([float(label) for _, label in texts])
-        self.scale = self._logistic(worst, y)
-
-    def _of(self, strings: list[str]) -> np.ndarray:
-        out = np.full(len(strings), self.offset)
-        r, t, v = features(strings)
-        np.add.at(out, r, v * self.weights[t])
-        return out
+        self.scale = self._logistic(worst, np.array([float(label) for _, label in texts]))
 
     def _document(self, text: str) -> tuple[float, float]:
         data = np.frombuffer(text.encode(), np.uint8)
