@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cross_parse, cuckoo, decontaminate, mixing, prefix_tree, toxicity
+from . import cross_parse, cuckoo, decontaminate, mixing, novelty, prefix_tree, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,11 @@ def op6_cuckoo_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return cuckoo.exact_groups(table(spark, sf, "documents"))
 
 
+def op7_novelty_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    """Secrets in every document."""
+    return novelty.find_secrets(table(spark, sf, "documents"))
+
+
 def op8_kernel_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     """Toxicity of every document, learned from the labels outside the held-out fold."""
     return toxicity.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
@@ -53,6 +58,7 @@ QUERIES: dict[str, Query] = {
     "op4_prefix_tree_join": op4_prefix_tree_join,
     "op5_source_mix": op5_source_mix,
     "op6_cuckoo_dedup": op6_cuckoo_dedup,
+    "op7_novelty_secrets": op7_novelty_secrets,
     "op8_kernel_toxicity": op8_kernel_toxicity,
     "op9_cross_parse_language": op9_cross_parse_language,
     "op10_prefix_decontamination": op10_prefix_decontamination,
