@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cross_parse, cuckoo, decontaminate, mixing, novelty, prefix_tree, toxicity
+from . import cross_parse, cuckoo, decontaminate, html_template, mixing, novelty, prefix_tree, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_site_templates(spark: SparkSession, sf: str) -> DataFrame:
+    """The main text of every page."""
+    return html_template.main_text(table(spark, sf, "pages"))
+
+
 def op4_prefix_tree_join(spark: SparkSession, sf: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return prefix_tree.jaccard_components(table(spark, sf, "documents"))
@@ -55,6 +60,7 @@ def op10_prefix_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_site_templates": op1_site_templates,
     "op4_prefix_tree_join": op4_prefix_tree_join,
     "op5_source_mix": op5_source_mix,
     "op6_cuckoo_dedup": op6_cuckoo_dedup,
