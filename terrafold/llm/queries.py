@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cross_parse, cuckoo, decontaminate, html_template, mixing, novelty, prefix_tree, toxicity
+from . import cross_parse, cuckoo, decontaminate, html_template, mixing, novelty, prefix_tree, toxicity, warc_zip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,11 @@ def op1_site_templates(spark: SparkSession, sf: str) -> DataFrame:
     return html_template.main_text(table(spark, sf, "pages"))
 
 
+def op2_zip_archives(spark: SparkSession, sf: str) -> DataFrame:
+    """All pages as records of ZIP-packaged archives, read back."""
+    return warc_zip.archived_pages(table(spark, sf, "pages"))
+
+
 def op4_prefix_tree_join(spark: SparkSession, sf: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return prefix_tree.jaccard_components(table(spark, sf, "documents"))
@@ -61,6 +66,7 @@ def op10_prefix_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_site_templates": op1_site_templates,
+    "op2_zip_archives": op2_zip_archives,
     "op4_prefix_tree_join": op4_prefix_tree_join,
     "op5_source_mix": op5_source_mix,
     "op6_cuckoo_dedup": op6_cuckoo_dedup,
@@ -73,6 +79,18 @@ QUERIES: dict[str, Query] = {
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
+    "op2_zip_archives": """
+        WITH records AS (
+            SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages
+        ),
+        tops AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS top FROM records)
+        SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
+               array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   (((('0x' || substr(h, ((i // 4) * 5 + 1)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1)::INT, 1) FOR i IN range(32)], '')
+                   AS payload_digest,
+               CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> top THEN top END AS refers_to
+        FROM tops""",
     "op5_source_mix": r"""
         WITH best AS (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id),
         rows AS (
