@@ -23,7 +23,7 @@ from .arrays import WordHasher, joined_hashes, lower_table, mixed, rounds, space
 #: Words of an n-gram and least similarity in percent.
 NGRAM, PERCENT = 4, 85
 #: Counters of the frequency sketch that orders n-grams. Its size changes the order, never the result.
-SKETCH_BITS = 20
+SKETCH_BITS = 22
 _SKETCH_PARTS = 64
 #: N-grams and sets of one neighbourhood that make a block; larger ones are joined block by block.
 BLOCK_GRAMS, BLOCK_SETS = 1_000_000, 2000
@@ -53,6 +53,17 @@ def required(size: int, percent: int) -> int:
     return -(-size * percent // 100)
 
 
+def parity_bits(grams: np.ndarray) -> bytes:
+    """One bit for each value of the hash's upper bits: how many n-grams have it, modulo 2.
+
+    Two sets differ in at least as many n-grams as their bits differ. There are about as many bits
+    as n-grams; of sets of unequal size the longer bits are folded onto the shorter.
+    """
+    size = max(64, 1 << (len(grams) - 1).bit_length())
+    place = ((grams >> np.uint64(32)) & np.uint64(size - 1)).astype(np.int64)
+    return np.packbits(np.bincount(place, minlength=size) & 1).tobytes()
+
+
 def _stored(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
@@ -60,20 +71,22 @@ def _stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, ngram: int) -> DataFrame:
-    """(_id, n, fp) of every row: set size and digest of the set."""
+    """(_id, n, fp, bits) of every row: set size, digest of the set, and the set's parity bits."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, prints = [], []
+            sizes, prints, bits = [], [], []
             for grams in ordered_sets(batch.column("_text"), ngram):
                 sizes.append(len(grams))
-                prints.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None)
+                prints.append(_print_of(grams) if len(grams) else None)
+                bits.append(parity_bits(grams) if len(grams) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary())], ["_id", "n", "fp"]
+                [batch.column("_id"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(bits, pa.binary())],
+                ["_id", "n", "fp", "bits"],
             )
 
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    return rows.mapInArrow(scan, "_id long, n long, fp binary")
+    return rows.mapInArrow(scan, "_id long, n long, fp binary, bits binary")
 
 
 def frequency_sketch(docs: DataFrame, text_col: str, ngram: int) -> np.ndarray:
@@ -114,7 +127,7 @@ def frequency_sketch(docs: DataFrame, text_col: str, ngram: int) -> np.ndarray:
     # A fixed number of parts of fixed size, whatever the corpus.
     for row in parts.collect():
         out[row["part"]] = np.frombuffer(row["counts"], f"u{row['bytes']}")
-    return np.log2(out.ravel() + 1.0).astype(np.float32).view(np.uint32) >> np.uint32(16)
+    return np.minimum(255, np.log2(out.ravel() + 1.0) * 8).astype(np.uint8)
 
 
 class Trie:
@@ -268,13 +281,13 @@ def _print_of(grams: np.ndarray) -> bytes:
 
 
 def postings(docs: DataFrame, sketch: np.ndarray, text_col: str, ngram: int, percent: int) -> DataFrame:
-    """(token, fp, n): the prefix n-grams of every distinct set."""
+    """(token, fp): the prefix n-grams of every distinct set."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, seen = shared.value, set()
         for batch in batches:
-            tokens, prints, sizes = [], [], []
+            tokens, prints = [], []
             for grams in ordered_sets(batch.column("_text"), ngram):
                 fp = _print_of(grams)
                 if not len(grams) or fp in seen:
@@ -284,19 +297,17 @@ def postings(docs: DataFrame, sketch: np.ndarray, text_col: str, ngram: int, per
                 take = len(grams) - required(len(grams), percent) + 1
                 tokens.append(grams[np.lexsort((grams, level))[:take]])
                 prints.append(fp)
-                sizes.append(len(grams))
             counts = np.array([len(t) for t in tokens], np.int64)
             index = pa.array(np.repeat(np.arange(len(prints)), counts), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate(tokens or [np.zeros(0, np.uint64)]).view(np.int64)),
                     pa.array(prints, pa.binary()).take(index),
-                    pa.array(np.repeat(np.array(sizes, np.int64), counts), pa.int64()),
                 ],
-                ["token", "fp", "n"],
+                ["token", "fp"],
             )
 
-    return docs.select(F.col(text_col).alias("_text")).mapInArrow(scan, "token long, fp binary, n long")
+    return docs.select(F.col(text_col).alias("_text")).mapInArrow(scan, "token long, fp binary")
 
 
 def needed_sets(docs: DataFrame, keys: DataFrame, sketch: np.ndarray, text_col: str, ngram: int) -> DataFrame:
@@ -323,69 +334,128 @@ def needed_sets(docs: DataFrame, keys: DataFrame, sketch: np.ndarray, text_col:
     return found.join(keys, "fp", "left_semi").groupBy("fp").agg(F.first("grams").alias("grams"))
 
 
-def join_units(rows: DataFrame, sketch: np.ndarray, percent: int) -> DataFrame:
-    """(a, b): links inside each unit. ``rows`` holds (pivot, i, j, block, fp, grams)."""
-    shared = rows.sparkSession.sparkContext.broadcast(sketch)
-
-    def links_of(members: list[tuple[int, bytes, np.ndarray]], i: int, j: int) -> list[tuple[bytes, bytes]]:
-        order = shared.value
-        universe = np.unique(np.concatenate([m[2] for m in members]))
-        level = order[(universe & np.uint64(len(order) - 1)).astype(np.int64)]
-        ranked = np.lexsort((universe, level))
-        rank = np.empty(len(universe), np.int64)
-        rank[ranked] = np.arange(len(universe))
-        sets = [rank[np.searchsorted(universe, m[2])] for m in members]
-        block = np.array([m[0] for m in members])
-        found = forest(sets, np.flatnonzero(block == i), np.flatnonzero(block == j), percent)
-        return [(members[a][1], members[b][1]) for a, b in found]
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, members, out = None, [], []
-        for batch in batches:
-            for row in batch.to_pylist():
-                key = (row["pivot"], row["i"], row["j"])
-                if key != unit:
-                    if len(members) > 1:
-                        out += links_of(members, unit[1], unit[2])
-                    unit, members = key, []
-                    if len(out) > 10_000:
-                        yield _pairs(out)
-                        out = []
-                members.append((row["block"], row["fp"], np.frombuffer(row["grams"], np.uint64)))
-        if len(members) > 1:
-            out += links_of(members, unit[1], unit[2])
-        yield _pairs(out)
-
-    placed = rows.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j")
-    return placed.mapInArrow(scan, "a binary, b binary")
-
-
 def _pairs(rows: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.binary()) for k in (0, 1)], ["a", "b"])
 
 
 def neighbourhoods(posts: DataFrame) -> DataFrame:
-    """(pivot, fp, n): sets that share one of their prefix n-grams with a pivot set.
+    """(pivot, fp): sets that share one of their prefix n-grams with a pivot set.
 
     Of the sets that share an n-gram the smallest print is the pivot, so that any two of them
     meet in its neighbourhood, and one cluster has few pivots however many n-grams it shares.
     """
     pivots = posts.groupBy("token").agg(F.min("fp").alias("pivot"), F.max("fp").alias("other"))
     pivots = pivots.filter(F.col("pivot") != F.col("other")).select("token", "pivot")
-    return posts.join(pivots, "token").select("pivot", "fp", "n").distinct()
+    return posts.join(pivots, "token").select("pivot", "fp").distinct()
 
 
 def units(near: DataFrame) -> DataFrame:
-    """(pivot, i, j, block, fp): pairs of blocks of each neighbourhood, most have one block."""
+    """Rows of ``near`` by pairs of blocks of each neighbourhood; most have one block.
+
+    Adds i, j (the pair of blocks that meet) and block (the row's own).
+    """
     size = near.groupBy("pivot").agg(F.count("*").alias("sets"), F.sum("n").alias("grams"))
     blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int")
     placed = near.join(size.select("pivot", blocks.alias("blocks")), "pivot")
     placed = placed.withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with")
-    placed = placed.select("pivot", "fp", "block", other)
-    return placed.select(
-        "pivot", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "fp"
-    )
+    placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = placed.withColumns({"i": F.least("block", "with"), "j": F.greatest("block", "with")})
+    return placed.drop("with", "blocks").repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j")
+
+
+def _by_unit(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[dict]]]:
+    """(i, j, rows) of each unit in a partition that is sorted by them."""
+    unit, members = None, []
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            for row in batch.slice(at, 256).to_pylist():
+                key = (row["pivot"], row["i"], row["j"])
+                if key != unit:
+                    if len(members) > 1:
+                        yield unit[1], unit[2], members
+                    unit, members = key, []
+                members.append(row)
+    if len(members) > 1:
+        yield unit[1], unit[2], members
+
+
+def close_by_bits(rows: list[dict], i: int, j: int, percent: int) -> np.ndarray:
+    """Which rows of a unit have a row beside them that size and parity bits leave possible."""
+    sizes = np.array([r["n"] for r in rows])
+    block = np.array([r["block"] for r in rows])
+    bits = [np.frombuffer(r["bits"], np.uint64) for r in rows]
+    words = np.array([len(b) for b in bits])
+    kept = np.zeros(len(rows), bool)
+    for width in np.unique(words):
+        # Sets of this width, and the next one folded onto it: others are too unequal in size.
+        own = np.flatnonzero(words == width)
+        wide = np.flatnonzero(words == 2 * width)
+        near = np.concatenate([own, wide])
+        table = np.stack([bits[k] for k in own] + [bits[k][:width] ^ bits[k][width:] for k in wide])
+        left, right = own[block[own] == i], near[block[near] == j]
+        if i != j:
+            left = np.concatenate([left, own[block[own] == j]])
+            right = near
+        where = {int(k): n for n, k in enumerate(near)}
+        spot = np.array([where[int(k)] for k in right], np.int64)
+        for k in left.tolist():
+            apart = np.bitwise_count(table[spot] ^ table[where[k]]).sum(1, dtype=np.int64)
+            n, m = sizes[k], sizes[right]
+            fine = ((100 + percent) * apart <= (100 - percent) * (n + m)) & (percent * np.maximum(n, m) <= 100 * np.minimum(n, m))
+            fine &= right != k
+            if i != j:
+                fine &= block[right] != block[k]
+            if fine.any():
+                kept[k] = True
+                kept[right[fine]] = True
+    return kept
+
+
+def possible(near: DataFrame, percent: int) -> DataFrame:
+    """(pivot, fp, n) of the rows of ``near`` (pivot, fp, n, bits) that may have a partner there."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[dict] = []
+        for i, j, rows in _by_unit(batches):
+            out += [r for r, kept in zip(rows, close_by_bits(rows, i, j, percent).tolist(), strict=True) if kept]
+            if len(out) > 5000:
+                yield batch_of(out)
+                out = []
+        yield batch_of(out)
+
+    def batch_of(rows: list[dict]) -> pa.RecordBatch:
+        kinds = (("pivot", pa.binary()), ("fp", pa.binary()), ("n", pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in kinds], [c for c, _ in kinds])
+
+    return units(near).mapInArrow(scan, "pivot binary, fp binary, n long").distinct()
+
+
+def join_units(rows: DataFrame, sketch: np.ndarray, percent: int) -> DataFrame:
+    """(a, b): links inside each unit. ``rows`` holds (pivot, fp, n, grams)."""
+    shared = rows.sparkSession.sparkContext.broadcast(sketch)
+
+    def links_of(members: list[dict], i: int, j: int) -> list[tuple[bytes, bytes]]:
+        order = shared.value
+        grams = [np.frombuffer(m["grams"], np.uint64) for m in members]
+        universe = np.unique(np.concatenate(grams))
+        level = order[(universe & np.uint64(len(order) - 1)).astype(np.int64)]
+        rank = np.empty(len(universe), np.int64)
+        rank[np.lexsort((universe, level))] = np.arange(len(universe))
+        sets = [rank[np.searchsorted(universe, g)] for g in grams]
+        block = np.array([m["block"] for m in members])
+        found = forest(sets, np.flatnonzero(block == i), np.flatnonzero(block == j), percent)
+        return [(members[a]["fp"], members[b]["fp"]) for a, b in found]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple[bytes, bytes]] = []
+        for i, j, members in _by_unit(batches):
+            out += links_of(members, i, j)
+            if len(out) > 10_000:
+                yield _pairs(out)
+                out = []
+        yield _pairs(out)
+
+    return units(rows).mapInArrow(scan, "a binary, b binary")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -431,12 +501,12 @@ def jaccard_components(
     rows = _stored(fingerprints(docs, id_col, text_col, ngram), "prints")
     sketch = frequency_sketch(docs, text_col, ngram)
     posts = _stored(postings(docs, sketch, text_col, ngram, percent), "postings")
-    near = _stored(neighbourhoods(posts), "neighbourhoods")
-    keys = near.select("fp").distinct()
-    sets = needed_sets(docs, keys, sketch, text_col, ngram)
-    links = join_units(units(near).join(sets, "fp"), sketch, percent)
+    marks = rows.filter("fp is not null").groupBy("fp").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
+    near = _stored(possible(neighbourhoods(posts).join(marks, "fp"), percent), "neighbourhoods")
+    sets = needed_sets(docs, near.select("fp").distinct(), sketch, text_col, ngram)
+    links = join_units(near.join(sets, "fp"), sketch, percent)
     roots = components(links)
-    labelled = rows.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    labelled = rows.drop("bits").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = labelled.filter("root is not null").groupBy("root").agg(F.min("_id").alias("least"))
     out = labelled.join(least, "root", "left")
     return out.select(
