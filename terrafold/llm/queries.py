@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cross_parse, cuckoo, decontaminate, html_template, mixing, novelty, prefix_tree, toxicity, warc_zip
+from . import cross_parse, cuckoo, decontaminate, html_template, mixing, novelty, prefix_tree, run_index, toxicity, warc_zip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,18 @@ def op2_zip_archives(spark: SparkSession, sf: str) -> DataFrame:
     return warc_zip.archived_pages(table(spark, sf, "pages"))
 
 
+def op3_run_index_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left of every document without the passages of earlier ones."""
+    found = run_index.without_repeats(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op4_prefix_tree_join(spark: SparkSession, sf: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return prefix_tree.jaccard_components(table(spark, sf, "documents"))
@@ -67,6 +79,7 @@ def op10_prefix_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_site_templates": op1_site_templates,
     "op2_zip_archives": op2_zip_archives,
+    "op3_run_index_repeats": op3_run_index_repeats,
     "op4_prefix_tree_join": op4_prefix_tree_join,
     "op5_source_mix": op5_source_mix,
     "op6_cuckoo_dedup": op6_cuckoo_dedup,
