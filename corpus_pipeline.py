@@ -6,19 +6,44 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrafold.llm import cuckoo
+from terrafold.llm import cross_parse, cuckoo, decontaminate, mixing, prefix_tree
 from terrafold.sources.shared import fresh_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without text in any learned language go; all others stay, whatever their label."""
+    return cross_parse.in_a_language(docs)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the largest doc_id stays."""
     return cuckoo.keep_one(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of similar texts, the row with the smallest doc_id stays."""
+    return prefix_tree.one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with too many words under benchmark windows go."""
+    return decontaminate.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents the mix takes words of, with how many."""
+    quality = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    return mixing.mixed_documents(docs, quality)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_id),
     ("exact_dedup", exact_dedup),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("source_mix", source_mix),
 ]
 
 #: Language models and set joins have no SQL; the tests hold the run against plain Python.

@@ -8,12 +8,13 @@ with the smallest estimate wins.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .arrays import rounds
 
@@ -153,6 +154,45 @@ def training_texts(docs: DataFrame, held_out: Column, id_col: str, text_col: str
     return out
 
 
+def predictor(texts: dict[str, bytes], spark: SparkSession) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+    """A function from a column of texts to their languages and scores."""
+    shared = spark.sparkContext.broadcast({"texts": texts})
+
+    def predict(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        model = shared.value
+        names = np.array([*model["texts"], UNKNOWN], object)
+        if model["texts"] and "moves" not in model:
+            # Made once in each Python process.
+            model.update(parse_tables(model["texts"]))
+        ascii_letter = np.zeros(256, bool)
+        ascii_letter[65:91] = ascii_letter[97:123] = True
+        best, score = [np.zeros(0, np.int64)], [np.zeros(0)]
+        for _, _, data, offsets in rounds(column):
+            sizes = np.diff(offsets)
+            seen = np.concatenate([[0], np.cumsum(ascii_letter[data])])
+            letters = seen[offsets[1:]] > seen[offsets[:-1]]
+            for i in np.flatnonzero(~letters & (sizes > 0)):
+                letters[i] = has_letter(data[offsets[i] : offsets[i + 1]].tobytes())
+            if not model["texts"]:
+                letters[:] = False
+                estimate = np.ones((len(sizes), 1))
+            else:
+                estimate = phrase_counts(model, data, offsets) * model["bits"] / np.maximum(sizes, 1)[:, None]
+            order = np.argsort(estimate, 1, kind="stable")
+            low = np.take_along_axis(estimate, order[:, :2], 1)
+            lead = 1 - low[:, 0] / np.maximum(low[:, 1], 1e-9) if low.shape[1] > 1 else np.ones(len(sizes))
+            best.append(np.where(letters, order[:, 0], len(names) - 1))
+            score.append(np.where(letters, lead, 0.0))
+        return names[np.concatenate(best)], np.concatenate(score)
+
+    return predict
+
+
+def default_fold(id_col: str) -> Column:
+    """Rows that nothing is learned from: crc32 of the id as text, mod 3, is 1."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 3 == 1
+
+
 def identify(
     docs: DataFrame,
     held_out: Column | None = None,
@@ -163,55 +203,31 @@ def identify(
 ) -> DataFrame:
     """One row per input row: id, held_out, lang_pred, score.
 
-    ``held_out`` marks the rows nothing is learned from (default: crc32 of the id as text, mod 3,
-    is 1). A null text, or one without any letter, gives ``und`` and 0, as does a table without
-    labels. Equal estimates go to the language whose name comes first. score is the share by which
-    the best estimate undercuts the second; with one language it is 1.
+    ``held_out`` marks the rows nothing is learned from (default: ``default_fold``). A null text,
+    or one without any letter, gives ``und`` and 0, as does a table without labels. Equal estimates
+    go to the language whose name comes first. score is the share by which the best estimate
+    undercuts the second; with one language it is 1. No rows give no rows.
     """
-    spark = docs.sparkSession
-    if held_out is None:
-        held_out = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 3 == 1
-    texts = training_texts(docs, held_out, id_col, text_col, lang_col)
-    shared = spark.sparkContext.broadcast({"texts": texts})
+    held_out = default_fold(id_col) if held_out is None else held_out
+    predict = predictor(training_texts(docs, held_out, id_col, text_col, lang_col), docs.sparkSession)
 
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        names = np.array([*model["texts"], UNKNOWN], object)
-        if model["texts"] and "moves" not in model:
-            # Made once in each Python process.
-            model.update(parse_tables(model["texts"]))
-        ascii_letter = np.zeros(256, bool)
-        ascii_letter[65:91] = ascii_letter[97:123] = True
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            best, score = [], []
-            for _, _, data, offsets in rounds(batch.column("_text")):
-                sizes = np.diff(offsets)
-                seen = np.concatenate([[0], np.cumsum(ascii_letter[data])])
-                letters = seen[offsets[1:]] > seen[offsets[:-1]]
-                for i in np.flatnonzero(~letters & (sizes > 0)):
-                    letters[i] = has_letter(data[offsets[i] : offsets[i + 1]].tobytes())
-                if not model["texts"]:
-                    letters[:] = False
-                    estimate = np.ones((len(sizes), 1))
-                else:
-                    estimate = phrase_counts(model, data, offsets) * model["bits"] / np.maximum(sizes, 1)[:, None]
-                order = np.argsort(estimate, 1, kind="stable")
-                low = np.take_along_axis(estimate, order[:, :2], 1)
-                lead = 1 - low[:, 0] / np.maximum(low[:, 1], 1e-9) if low.shape[1] > 1 else np.ones(len(sizes))
-                best.append(np.where(letters, order[:, 0], len(names) - 1))
-                score.append(np.where(letters, lead, 0.0))
-            found = names[np.concatenate(best)] if best else np.zeros(0, object)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("_id"),
-                    batch.column("_held"),
-                    pa.array(found, pa.string()),
-                    pa.array(np.concatenate(score) if score else np.zeros(0), pa.float64()),
-                ],
-                [id_col, "held_out", "lang_pred", "score"],
-            )
+            found, score = predict(batch.column("_text"))
+            columns = [batch.column("_id"), batch.column("_held"), pa.array(found, pa.string()), pa.array(score, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, [id_col, "held_out", "lang_pred", "score"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), held_out.alias("_held"), F.col(text_col).alias("_text"))
-    return rows.mapInArrow(predict, f"`{id_col}` long, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(judge, f"`{id_col}` long, held_out boolean, lang_pred string, score double")
+
+
+def in_a_language(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that are in one of the learned languages; only ``und`` goes."""
+    texts = training_texts(docs, default_fold(id_col), id_col, text_col, lang_col)
+    predict = predictor(texts, docs.sparkSession)
 
+    @F.arrow_udf(T.StringType())
+    def language(column: pa.Array) -> pa.Array:
+        return pa.array(predict(column)[0], pa.string())
 
+    return docs.filter(language(F.col(text_col)) != UNKNOWN)

@@ -27,7 +27,7 @@ PIECE_WORDS = 256
 
 _WINDOWS = "item string, n int, k int, words array<long>, shingles array<long>"
 _HITS = (
-    "_id long, n_words long, hits array<struct<pos: int, piece: int, shingle: long, new: boolean>>, "
+    "_id long, _key long, n_words long, hits array<struct<pos: int, piece: int, shingle: long, new: boolean>>, "
     "pieces array<struct<piece: int, begin: int, words: array<long>>>"
 )
 
@@ -70,7 +70,7 @@ def shingle_filter(shingles: DataFrame) -> np.ndarray:
 
 
 def document_hits(docs: DataFrame, words_filter: np.ndarray, sizes: list[int], id_col: str, text_col: str) -> DataFrame:
-    """(_id, n_words, hits, pieces) of every document: shingles that may be an item's, and the words around."""
+    """(_id, _key, n_words, hits, pieces) of every document: shingles that may be an item's, and the words around."""
     shared = docs.sparkSession.sparkContext.broadcast(words_filter)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,11 +124,18 @@ def document_hits(docs: DataFrame, words_filter: np.ndarray, sizes: list[int], i
             hit = pa.struct([("pos", pa.int32()), ("piece", pa.int32()), ("shingle", pa.int64()), ("new", pa.bool_())])
             part = pa.struct([("piece", pa.int32()), ("begin", pa.int32()), ("words", pa.list_(pa.int64()))])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), pa.array(counts, pa.int64()), pa.array(hits, pa.list_(hit)), pa.array(pieces, pa.list_(part))],
-                ["_id", "n_words", "hits", "pieces"],
+                [
+                    batch.column("_id"),
+                    batch.column("_key"),
+                    pa.array(counts, pa.int64()),
+                    pa.array(hits, pa.list_(hit)),
+                    pa.array(pieces, pa.list_(part)),
+                ],
+                ["_id", "_key", "n_words", "hits", "pieces"],
             )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
+    text = F.col(text_col)
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text).alias("_key"), text.alias("_text"))
     return rows.mapInArrow(scan, _HITS)
 
 
@@ -172,7 +179,7 @@ def contamination(
     item_text_col: str = "text",
     share: int = SHARE,
 ) -> DataFrame:
-    """One row per document: id, n_words, n_hit, n_items, items_sha256, contaminated, items.
+    """One row per document: id, n_words, n_hit, n_items, items_sha256, contaminated, items, text_key.
 
     Null and empty texts have no words. An item without words hits nothing; a null item_id counts
     as the empty name; items that repeat an id count once. Repeated rows are judged each on its own.
@@ -201,7 +208,7 @@ def contamination(
         ),
         lambda acc: acc["sum"],
     )
-    out = found.select("_row", "_id", "n_words").join(spans, "_row", "left")
+    out = found.select("_row", "_id", "_key", "n_words").join(spans, "_row", "left")
     names = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce(covered, F.lit(0)).cast("long")
     return out.select(
@@ -212,4 +219,13 @@ def contamination(
         F.sha2(F.array_join(names, ",").cast("binary"), 256).alias("items_sha256"),
         ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"),
         names.alias("items"),
+        F.col("_key").alias("text_key"),
     )
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated; rows are told apart by id and text."""
+    found = contamination(docs, benchmark, id_col=id_col, text_col=text_col, **options).filter("contaminated")
+    found = found.select(F.col(id_col).alias("_id"), F.col("text_key").alias("_key")).distinct()
+    same = docs[id_col].cast("long").eqNullSafe(found["_id"]) & (F.xxhash64(docs[text_col]) == found["_key"])
+    return docs.join(found, same, "left_anti")

@@ -73,7 +73,7 @@ def op9_cross_parse_language(spark: SparkSession, sf: str) -> DataFrame:
 def op10_prefix_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """Words of every document under windows of benchmark items."""
     found = decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
-    return found.drop("items")
+    return found.drop("items", "text_key")
 
 
 QUERIES: dict[str, Query] = {
