@@ -79,17 +79,19 @@ def parse_tables(texts: dict[str, bytes]) -> dict:
     moves, starts, base = [], [], 0
     for text in texts.values():
         go, n = automaton(text)
-        first = np.full(width, base | _BREAK, np.int64)
+        # A symbol the text lacks is a phrase alone: from its state, n, every symbol begins anew.
+        first = np.full(width, base + n * width, np.int64)
         for c, to in go[0].items():
-            first[number[c]] = base + to * width | _BREAK
-        block = np.tile(first, (n, 1))
+            first[number[c]] = base + to * width
+        block = np.tile(first | _BREAK, (n + 1, 1))
+        block[0] = first
         for state, out in enumerate(go):
             for c, to in out.items():
                 block[state, number[c]] = base + to * width
         block[:, width - 1] = base
         moves.append(block.astype(np.int32).ravel())
         starts.append(base)
-        base += n * width
+        base += (n + 1) * width
     bits = np.array([np.log2(max(2, len(text))) for text in texts.values()])
     return {
         "moves": np.concatenate(moves),
