@@ -261,10 +261,12 @@ def main_text(
     """
     spark = pages.sparkSession
     rows = pages.select(F.col(id_col).cast("long").alias("_id"), F.col(url_col).alias("_url"), F.col(html_col).alias("_html"))
-    path = fresh_path(spark, "pages")
-    rows.mapInArrow(parse_pages, _PARSED).withColumn("host", host_of(F.col("_url"))).write.parquet(path)
-    parsed = spark.read.parquet(path)
-    joined = parsed.drop("trees", "body").join(host_templates(parsed, least, share), "host", "left")
+    parsed = rows.mapInArrow(parse_pages, _PARSED).withColumn("host", host_of(F.col("_url")))
+    # Hashes are kept from the first pass, texts are parsed once more: they are far larger.
+    path = fresh_path(spark, "subtrees")
+    parsed.select("host", "body", "trees").write.parquet(path)
+    templates = host_templates(spark.read.parquet(path), least, share)
+    joined = parsed.drop("trees", "body").join(templates, "host", "left")
     none = F.array().cast("array<bigint>")
     kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["path"], F.coalesce("templates", none)))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n")
