@@ -61,15 +61,17 @@ def set_dims(
     kind: str,
     z: Callable[[Column], Column] | None = None,
     m: Callable[[Column], Column] | None = None,
+    dims: str = "xy",
 ) -> Column:
-    """Rebuild every coordinate as x, y and the given functions of the coordinate."""
+    """Give every coordinate the ordinates the functions compute from it; the others of ``dims`` stay."""
 
     def rebuild(c: Column) -> Column:
         values = {"x": c["x"], "y": c["y"]}
-        if z is not None:
-            values["z"] = z(c)
-        if m is not None:
-            values["m"] = m(c)
+        for name, made in (("z", z), ("m", m)):
+            if made is not None:
+                values[name] = made(c)
+            elif name in dims:
+                values[name] = c[name]
         return coord_struct(values)
 
     return map_coords(geom, kind, rebuild)
@@ -117,10 +119,11 @@ def box(geom: Column, kind: str) -> Column:
 
 
 def box_midpoint(bounds: Column) -> tuple[Column, Column]:
-    return (
-        (bounds["xmin"] + bounds["xmax"]) / 2,
-        (bounds["ymin"] + bounds["ymax"]) / 2,
-    )
+    """Middle of a box; of one that crosses the antimeridian, the middle of its two parts."""
+    plain = (bounds["xmin"] + bounds["xmax"]) / 2
+    wrapped = plain + 180
+    x = F.when(bounds["xmax"] >= bounds["xmin"], plain).when(wrapped > 180, wrapped - 360).otherwise(wrapped)
+    return x, (bounds["ymin"] + bounds["ymax"]) / 2
 
 
 def _ring(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:

@@ -60,7 +60,8 @@ BOX_TYPE = T.StructType([T.StructField(name, T.DoubleType(), False) for name in
 
 ENCODINGS = ("native", "wkb", "wkt", "box")
 LAYOUTS = ("separated", "interleaved")
-CRS_TYPES = ("projjson", "wkt2", "authority_code")
+# Spellings that are known; a file may state others, which are kept as they are.
+CRS_TYPES = ("projjson", "wkt2", "wkt2:2019", "authority_code", "srid")
 
 _TAG_KEY = "terrafold.geometry"
 
@@ -106,8 +107,8 @@ class GeometryTag:
             raise ValueError(f"Unknown dimensions: {self.dims!r}")
         if self.encoding == "native" and self.kind not in NESTING:
             raise ValueError(f"No native form for geometry type {self.kind!r}")
-        if self.crs_type is not None and self.crs_type not in CRS_TYPES:
-            raise ValueError(f"Unknown CRS type: {self.crs_type!r}")
+        if self.crs_type is not None and not isinstance(self.crs_type, str):
+            raise ValueError(f"A CRS type is text, not {self.crs_type!r}")
 
     def to_metadata(self) -> dict:
         kept = {k: v for k, v in self.__dict__.items() if v is not None}

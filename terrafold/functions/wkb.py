@@ -27,6 +27,7 @@ from .types import (
     storage_type,
     type_label,
 )
+from .wkt import number_text
 
 _SINGLE = {"multipoint": "point", "multilinestring": "linestring", "multipolygon": "polygon"}
 
@@ -527,7 +528,7 @@ def _text_to_bytes(text: str) -> bytes:
 
 def _number(value: float) -> str:
     whole = np.isfinite(value) and value == int(value) and abs(value) < 1e15
-    return f"{value:.0f}" if whole else repr(value)
+    return f"{value:.0f}" if whole else number_text(value)
 
 
 def _bytes_to_text(buf: bytes, pos: int, bare: bool = False) -> tuple[str, int]:

@@ -174,13 +174,18 @@ def parse_wkt(text: Column, kind: str, dims: str = "xy") -> Column:
 
 
 def format_number(value: Column) -> Column:
-    """Shortest text: whole numbers without a decimal point, exponents where Java uses them."""
-    whole = (value == F.floor(value)) & (F.abs(value) < 1e15)
-    zero = F.when(value.cast("string") == "-0.0", "-0").otherwise("0")
+    """Shortest text that reads back: plain from 0.0001 to 1e15, beyond with an exponent."""
+    size = F.abs(value)
+    text = value.cast("string")
+    whole = (value == F.floor(value)) & (size < 1e15)
+    zero = F.when(text == "-0.0", "-0").otherwise("0")
+    # The decimal takes all digits of the text, so no digit is added or lost.
+    plain = F.regexp_replace(text.cast("decimal(38,22)").cast("string"), "0+$", "")
     return (
         F.when(value == 0, zero)
         .when(whole, F.floor(value).cast("bigint").cast("string"))
-        .otherwise(F.regexp_replace(value.cast("string"), r"\.0E", "E"))
+        .when((size >= 1e-4) & (size < 1e15) & text.contains("E"), plain)
+        .otherwise(F.regexp_replace(text, r"\.0E", "E"))
     )
 
 
@@ -211,11 +216,24 @@ def format_wkt(geom: Column, kind: str, dims: str = "xy") -> Column:
     )
 
 
+def number_text(value: float) -> str:
+    """The text :func:`format_number` gives a number that is not whole."""
+    size = abs(value)
+    if size >= 1e-4 and size < 1e15 or value != value or size == float("inf"):
+        return repr(value)
+    digits, _, power = f"{value:.17g}".partition("e")
+    for places in range(17):
+        digits, _, power = f"{value:.{places}e}".partition("e")
+        if float(f"{digits}e{power}") == value:
+            break
+    return f"{digits}E{int(power)}"
+
+
 def _number_texts(values: np.ndarray) -> pa.Array:
     whole = np.isfinite(values) & (values == np.floor(values)) & (np.abs(values) < 1e15)
     texts = np.empty(len(values), dtype=object)
     texts[whole] = pa.array(values[whole].astype(np.int64)).cast(pa.string()).to_pylist()
-    texts[~whole] = [repr(v) for v in values[~whole].tolist()]
+    texts[~whole] = [number_text(v) for v in values[~whole].tolist()]
     texts[(values == 0) & np.signbit(values)] = "-0"
     return pa.array(texts, pa.string())
 

@@ -132,18 +132,32 @@ def round_coords(df: DataFrame, digits: int) -> DataFrame:
     if tag.encoding == "box":
         limits = [F.bround(geom[name], digits) for name in BOX_FIELDS]
         return replace_geometry(df, coords.make_box(*limits), tag)
+    if tag.encoding != "native" or tag.layout != "separated":
+        return _in_form_of(df, round_coords(_separated(df), digits))
     return replace_geometry(df, coords.round_coords(geom, tag.kind, tag.dims, digits), tag)
 
 
 def set_dims(df: DataFrame, z=None, m=None) -> DataFrame:
-    """Rebuild the coordinates with z and m computed from each coordinate."""
+    """Add or replace z and m, computed from each coordinate; ordinates not named stay."""
     tag = geometry_tag(df)
-    dims = "xy" + ("z" if z else "") + ("m" if m else "")
+    if tag.encoding != "native" or tag.layout != "separated":
+        return _in_form_of(df, set_dims(_separated(df), z, m))
+    dims = "xy" + ("z" if z or "z" in tag.dims else "") + ("m" if m or "m" in tag.dims else "")
     return replace_geometry(
-        df, coords.set_dims(F.col(GEOMETRY), tag.kind, z, m), tag.with_(dims=dims)
+        df, coords.set_dims(F.col(GEOMETRY), tag.kind, z, m, tag.dims), tag.with_(dims=dims)
     )
 
 
+def _separated(df: DataFrame) -> DataFrame:
+    return with_coord_layout(as_encoding(df, "native"), "separated")
+
+
+def _in_form_of(source: DataFrame, df: DataFrame) -> DataFrame:
+    """The encoding and layout that ``source`` has."""
+    tag = geometry_tag(source)
+    return as_encoding(df, tag.encoding, tag.layout)
+
+
 def with_coord_layout(df: DataFrame, layout: str) -> DataFrame:
     tag = geometry_tag(df)
     if tag.layout == layout:
@@ -153,11 +167,14 @@ def with_coord_layout(df: DataFrame, layout: str) -> DataFrame:
 
 
 def reproject(df: DataFrame, src: str, dst: str, crs: object = None) -> DataFrame:
-    """Move coordinates from ``src`` to ``dst`` and tag the column with ``crs`` (default ``dst``)."""
+    """Move coordinates from ``src`` to ``dst`` and tag the column with ``crs`` (default ``dst``).
+
+    Encoding and layout stay as they are. The transverse projection is a series that holds near
+    its meridian; points beyond its domain become infinite rather than wrong.
+    """
     tag = geometry_tag(df)
     if tag.encoding != "native" or tag.layout != "separated":
-        df = with_coord_layout(as_encoding(df, "native"), "separated")
-        tag = geometry_tag(df)
+        return _in_form_of(df, reproject(_separated(df), src, dst, crs))
     new_crs = dst if crs is None else crs
     crs_type = "projjson" if isinstance(new_crs, dict) else "authority_code"
     tag = tag.with_(crs=new_crs, crs_type=crs_type)
@@ -202,7 +219,8 @@ def as_encoding(
     if tag.encoding == "box":
         if encoding == "box":
             return df
-        return as_encoding(box_to_polygon(df), encoding, layout)
+        # Any row may cross the antimeridian, and then has two parts.
+        return as_encoding(box_to_multipolygon(df), encoding, layout)
     if encoding == "box":
         return to_box(df)
     if tag.encoding == encoding == "native":

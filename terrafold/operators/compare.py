@@ -66,6 +66,6 @@ def require_all_passed(checks: DataFrame, passed: str) -> DataFrame:
     )
     verdict = F.when(
         F.col("passed") != F.col("written"),
-        F.raise_error(F.lit("Some checks failed")).cast("boolean"),
+        F.raise_error(F.lit("Fewer tables passed than were written")).cast("boolean"),
     ).otherwise(F.lit(True))
     return counts.withColumn("complete", verdict)

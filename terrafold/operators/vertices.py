@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.coords import coord_struct
 from ..functions.types import GEOMETRY, GeometryTag, geometry_tag, tagged
+from .columns import with_coord_layout
 from .ordering import with_rank
 
 # Vertex rows carry these positions, each 0 where the type has no such level.
@@ -23,6 +24,7 @@ POSITIONS = ("part", "ring", "seq")
 
 def explode_coords(df: DataFrame, ids: list[str]) -> DataFrame:
     """One row per vertex: ids, part, ring, seq, ordinates. Null and empty values give none."""
+    df = with_coord_layout(df, "separated")
     tag = geometry_tag(df)
     work = df.select(*ids, F.col(GEOMETRY).alias("__g"))
     for level in LEVELS[tag.kind]:

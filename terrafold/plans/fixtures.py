@@ -15,7 +15,7 @@ PIECE = 64
 REPO_BASE = "https://example.org/raw"
 RELEASE_BASE = "https://example.org/releases"
 REF = "v1"
-OVERRIDES = {"NATION_3": (177.28, -179.79), "NATION_17": (19.65, -169.89)}
+OVERRIDES = {"NATION_3": (171.5, -168.25), "NATION_17": (35.125, -174.75)}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:

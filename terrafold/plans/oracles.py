@@ -283,9 +283,9 @@ named AS (
   SELECT ordinal, s, ok, CASE WHEN ok THEN m.g END AS "group", CASE WHEN ok THEN m.n END AS name,
     CASE WHEN ok THEN m.s END AS suffix FROM parsed),
 known AS (SELECT *, {_FORMAT_OF} AS format FROM named)
-SELECT ordinal, "group", name, suffix, format, CASE WHEN NOT ok THEN 'not a valid asset filename'
-  WHEN format IS NULL THEN 'does not contain a valid suffix' WHEN s[-2] <> 'files' THEN 'parent is not files'
-  WHEN s[-3] <> "group" THEN 'parent of parent is not the group' END AS error FROM known""".replace("named AS (SELECT *", "named0 AS (SELECT *").replace("FROM named)", "FROM named0)", 1),
+SELECT ordinal, "group", name, suffix, format, CASE WHEN NOT ok THEN 'name does not follow the pattern'
+  WHEN format IS NULL THEN 'ending belongs to no format' WHEN s[-2] <> 'files' THEN 'folder above it is not files'
+  WHEN s[-3] <> "group" THEN 'outside the folder of its group' END AS error FROM known""".replace("named AS (SELECT *", "named0 AS (SELECT *").replace("FROM named)", "FROM named0)", 1),
     "name_filters": f"""WITH {ASSETS}, bases AS (
   SELECT "group", replace(file, '_wkb.arrows', '') AS base FROM assets
   WHERE file_location = 'repo' AND format = 'arrows/wkb' AND file NOT LIKE '.%'

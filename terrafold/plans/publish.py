@@ -22,7 +22,7 @@ from ..operators.ordering import cluster
 from ..sources.arrow_stream import read_arrow, write_arrow
 from ..sources.geojson import read_geojson
 from ..sources.parquet import prepared, read_geo, write_geo
-from ..sources.shared import fresh_path, materialized, path_exists
+from ..sources.shared import fresh_path, materialized, path_exists, replacing
 from ..sources.text import concat_lists, merge_lists, wkt_lists, write_wkt_tsv
 from .catalog import SUFFIXES
 
@@ -48,10 +48,16 @@ def write_once(write, path: str, lazy: bool = True) -> bool:
     return True
 
 
+def require_sinks(formats: list[str]) -> None:
+    unknown = [fmt for fmt in formats if fmt not in FORMS]
+    if unknown:
+        raise ValueError(f"No sink writes format {', '.join(unknown)}")
+
+
 def write_format(df: DataFrame, fmt: str, path: str, compression: str = "zstd") -> None:
     """Write a table in one format, partitions and their order as they are."""
     if fmt not in FORMS:
-        raise ValueError(f"Unsupported format: {fmt}")
+        raise ValueError(f"No sink writes format {fmt}")
     encoding, layout = FORMS[fmt]
     if fmt == "tsv":
         write_wkt_tsv(as_encoding(df, "wkt").select("geometry"), path)
@@ -68,19 +74,21 @@ def publish(
     df: DataFrame, root: str, group: str, name: str, formats: list[str],
     skip: tuple[str, ...] = (), compression: str = "zstd", lazy: bool = True,
 ) -> list[str]:
-    """Write a layer in every format it lists; returns the paths that were written.
+    """Write a layer in every format it lists but those in ``skip``; returns the paths written.
 
+    A format that no sink writes is an error before anything is written. An output that is
+    there is left alone if ``lazy``, else replaced once the new one stands.
     The ordered layer is kept on executor disks between the writes. Lost blocks are
     computed again from the shuffle, with the same cuts.
     """
+    wanted = [fmt for fmt in formats if fmt not in skip]
+    require_sinks(wanted)
     kept = df.persist(StorageLevel.DISK_ONLY)
     written = []
     try:
-        for fmt in formats:
-            if fmt in skip or fmt not in FORMS:
-                continue
+        for fmt in wanted:
             path = f"{root}/{group}/files/{group}_{name}{SUFFIXES[fmt]}"
-            if write_once(lambda p, f=fmt: write_format(kept, f, p, compression), path, lazy):
+            if write_once(lambda p, f=fmt: replacing(lambda new: write_format(kept, f, new, compression), p), path, lazy):
                 written.append(path)
     finally:
         kept.unpersist()
@@ -189,22 +197,28 @@ def example_lists(spark: SparkSession, *mappings: dict[str, list[str | None]]) -
     return lists.unionByName(mixed)
 
 
-def publish_example(lists: DataFrame, root: str, group: str, name: str, formats: list[str]) -> list[str]:
-    """One named list in every format: a text column beside its encoding, but plain lines in tsv."""
+def publish_example(
+    lists: DataFrame, root: str, group: str, name: str, formats: list[str], skip: tuple[str, ...] = ()
+) -> list[str]:
+    """One named list in every format: a text column beside its encoding, but plain lines in tsv.
+
+    A list of mixed types has no native form: its native formats must be named in ``skip``.
+    """
+    formats = [fmt for fmt in formats if fmt not in skip]
+    require_sinks(formats)
     kind, dims = kind_of_list(name)
+    native = [fmt for fmt in formats if FORMS[fmt][0] == "native"]
+    if kind is None and native:
+        raise ValueError(f"{name} has mixed types and no native form for {', '.join(native)}")
     chosen = declare_list(lists.filter(F.col("name") == name), kind, dims)
     ordered = chosen.repartitionByRange("pos").sortWithinPartitions("pos").select("geometry")
     written = []
     for fmt in formats:
-        if fmt not in FORMS:
-            continue
         path = f"{root}/{group}/files/{group}_{name}{SUFFIXES[fmt]}"
         if fmt == "tsv":
-            write_wkt_tsv(ordered, path)
+            replacing(lambda new: write_wkt_tsv(ordered, new), path)
         else:
             encoding, layout = FORMS[fmt]
-            if encoding == "native" and kind is None:
-                continue
             pair = with_encoding(ordered, encoding, layout)
             if fmt.startswith("arrows"):
                 write_arrow(pair, path, compression="none", overwrite=True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import zipfile
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -101,7 +102,7 @@ def storage_problems(kind: pa.DataType, fmt: str) -> list[tuple[str, str]]:
             and all(pa.types.is_float64(f.type) for f in kind)
         )
     else:
-        raise ValueError(f"Unexpected format: {fmt}")
+        raise ValueError(f"No storage rule for format {fmt}")
     return [] if ok else [("native type", str(kind))]
 
 
@@ -116,17 +117,19 @@ def check_streams(spark: SparkSession, path: str, fmt: str, prefix: str = "geome
         for batch in batches:
             rows = []
             for p in batch.column(0).to_pylist():
-                schema = stream_schema(p)
-                problems = schema_problems(schema, prefix)
-                if GEOMETRY in schema.names:
-                    problems += storage_problems(schema.field(GEOMETRY).type, fmt)
+                problems = []
                 files, place = open_fs(p)
                 try:
+                    schema = stream_schema(p)
+                    problems += schema_problems(schema, prefix)
+                    if GEOMETRY in schema.names:
+                        problems += storage_problems(schema.field(GEOMETRY).type, fmt)
                     with files.open_input_stream(place) as raw, pa.ipc.open_stream(raw) as reader:
                         # One batch at a time: a file need not fit in memory.
                         for piece in reader:
                             piece.validate(full=True)
-                except pa.ArrowInvalid as error:
+                except (pa.ArrowException, OSError, EOFError) as error:
+                    # One damaged file must not hide the state of the others.
                     problems.append(("contents", str(error)))
                 rows += [{"subject": p, "rule": r, "detail": d} for r, d in problems]
             yield pa.RecordBatch.from_pylist(rows, pa.schema([(n, pa.string()) for n in ("subject", "rule", "detail")]))
@@ -171,11 +174,23 @@ def check_lines(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("n"),
         "value",
     )
+    odd = F.col("value").rlike(r"\S") & ~F.col("value").rlike("^[A-Z]+")
     facts = lines.groupBy("path").agg(
         F.min_by("value", F.when(F.col("head_split"), F.col("n"))).alias("first"),
-        F.count_if((F.trim("value") != "") & (F.col("value") != HEADER) & ~F.col("value").rlike("^[A-Z]+")).alias("bad"),
+        F.count_if(odd).alias("odd"),
         (F.count("*") - 1).alias("rows"),
     )
+    # Files without any line are listed too. The header is no bad line where it is the first.
+    bare = F.regexp_replace("path", r"^file:/+", "/")
+    names = [(name,) for name, _ in list_files(path, ("",))]
+    listed = spark.createDataFrame(names, "path string").select(bare.alias("path"))
+    facts = facts.withColumn("path", bare)
+    facts = listed.join(facts, "path", "left").select(
+        "path",
+        F.coalesce("first", F.lit("")).alias("first"),
+        (F.coalesce("odd", F.lit(0)) - F.when(F.col("first") == HEADER, 1).otherwise(0)).alias("bad"),
+        F.coalesce("rows", F.lit(0)).alias("rows"),
+    )
     rules = [
         ("header", F.col("first") == HEADER, F.col("first")),
         ("line tag", F.col("bad") == 0, F.col("bad")),
@@ -196,10 +211,18 @@ def probe_headers(spark: SparkSession, path: str, size: int = 8) -> DataFrame:
                 files, place = open_fs(p)
                 with files.open_input_file(place) as raw:
                     if p.endswith(".zip"):
-                        with zipfile.ZipFile(raw) as archive:
-                            names.append(archive.namelist())
-                            with archive.open(archive.namelist()[0]) as member:
-                                heads.append(member.read(size))
+                        found, head = [], b""
+                        try:
+                            with zipfile.ZipFile(raw) as archive:
+                                found = archive.namelist()
+                                if found:
+                                    with archive.open(found[0]) as member:
+                                        head = member.read(size)
+                        except (zipfile.BadZipFile, pa.ArrowException, OSError, EOFError, zlib.error):
+                            # No archive, or a cut one: it has no head the checks could accept.
+                            head = b""
+                        names.append(found)
+                        heads.append(head)
                     else:
                         names.append(None)
                         heads.append(raw.read(size))
@@ -235,7 +258,7 @@ def check_file(spark: SparkSession, path: str, fmt: str, prefix: str = "geometry
         return check_streams(spark, path, fmt, prefix)
     if fmt == "parquet":
         return check_geo_files(spark, path, "geoparquet")
-    raise ValueError(f"Unimplemented format: {fmt}")
+    raise ValueError(f"No check for format {fmt}")
 
 
 def check_assets(spark: SparkSession, assets: list[tuple[str, str]], prefix: str = "geometry") -> DataFrame:

@@ -92,6 +92,24 @@ def _matches(name: str, pattern: str) -> bool:
     return fnmatch(name, pattern)
 
 
+def replacing(write, path: str) -> None:
+    """Run ``write(new path)`` and put the result in the place of ``path``.
+
+    What was there goes only when the new output stands beside it, whole.
+    """
+    place_of = open_fs(path)[1]
+    mark = uuid.uuid4().hex
+    new, old = f"{path}.new-{mark}", f"{place_of}.old-{mark}"
+    write(new)
+    files, made = open_fs(new)
+    had = files.get_file_info(place_of).type != fs.FileType.NotFound
+    if had:
+        files.move(place_of, old)
+    files.move(made, place_of)
+    if had:
+        files.delete_dir(old)
+
+
 def path_exists(path: str) -> bool:
     files, place = open_fs(path)
     return files.get_file_info(place).type != fs.FileType.NotFound

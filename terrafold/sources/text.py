@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,12 +23,16 @@ def read_wkt_tsv(
 ) -> DataFrame:
     """One WKT value per line after the header; a blank line is null.
 
+    Only the first line of a file is its header: the same word further down stays a value,
+    so that reading it as a shape fails rather than loses a line.
+
     With ``keep_order`` each row carries ``line_order`` (file, offset of the split in it,
     running number in the split), which sorts as the lines stand without reading a file
     in one task.
     """
     lines = spark.read.text(path)
-    columns = [F.col("value")]
+    file, block = F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block")
+    columns = [F.col("value"), file, block]
     if keep_order:
         columns.append(
             F.struct(
@@ -32,12 +41,24 @@ def read_wkt_tsv(
                 F.monotonically_increasing_id().alias("line"),
             ).alias("line_order")
         )
-    lines = lines.select(*columns).filter(F.col("value") != HEADER)
+    lines = lines.select(*columns)
+    lines = lines.mapInArrow(_without_headers, lines.schema).drop("__file", "__block")
     rest = ["line_order"] if keep_order else []
     text = F.nullif(F.col("value"), F.lit(""))
     return lines.select(*rest, tagged(text, GeometryTag("wkt", kind, dims)))
 
 
+def _without_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Drop the header where a file begins; the rows of a split come in the order of its lines."""
+    before = None
+    for batch in batches:
+        headers = pc.and_(pc.equal(batch.column("value"), HEADER), pc.equal(batch.column("__block"), 0))
+        files = batch.column("__file")
+        opens = np.array([a != b for a, b in zip(files.to_pylist(), [before, *files.to_pylist()[:-1]])], bool)
+        before = files[-1].as_py() if len(files) else before
+        yield batch.filter(pc.invert(pc.and_(headers, pa.array(opens))))
+
+
 def write_wkt_tsv(
     df: DataFrame, path: str, order: list[str] | None = None, files: int | None = None
 ) -> None:
@@ -48,9 +69,12 @@ def write_wkt_tsv(
         df = df.sortWithinPartitions(*keys)
     line = F.coalesce(F.col(GEOMETRY), F.lit(""))
     first = position_in_partition() == 0
-    df.select(
+    lines = df.select(
         F.when(first, F.concat(F.lit(HEADER + "\n"), line)).otherwise(line).alias("value")
-    ).write.text(path)
+    )
+    if df.isEmpty():
+        lines = df.sparkSession.createDataFrame([(HEADER,)], "value string")
+    lines.write.text(path)
 
 
 def read_delimited_wkt(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from terrafold.operators import compare, ordering
 from terrafold.plans import catalog
 
-from .samples import FILES_PER_GROUP, MANIFESTS
+from .samples import FILES, FILES_PER_GROUP, MANIFESTS
 
 GROUPS = [m["group"] for m in MANIFESTS]
 BASES = ("v9", "https://example.org/raw", "https://example.org/releases")
@@ -29,8 +29,8 @@ def listed(assets):
 
 def test_catalog_has_every_file(assets):
     counts = {r.group: r["count"] for r in assets.groupBy("group").count().collect()}
-    assert counts == FILES_PER_GROUP and sum(counts.values()) == 363
-    assert assets.select("file").distinct().count() == 363
+    assert counts == FILES_PER_GROUP == {"harbours": 10, "harbours-crs": 3, "trails": 9}
+    assert assets.select("file").distinct().count() == FILES
 
 
 def test_lists_of_a_file_and_skips(spark):
@@ -43,19 +43,19 @@ def test_lists_of_a_file_and_skips(spark):
     ]
     assert {r.file_location for r in rows} == {"release"}
     bad = [{"group": "g", "format": ["shp"], "files": [{"name": "a"}]}]
-    with pytest.raises(Exception, match="Unexpected format: shp"):
+    with pytest.raises(Exception, match="No such format in the catalog: shp"):
         catalog.expand_manifests(catalog.read_manifests(spark, bad)).collect()
 
 
 def test_addresses_follow_the_location(spark, assets):
     urls = {r.file: r.url for r in assets.collect()}
-    assert urls["samples_point.tsv"] == "https://example.org/raw/v9/samples/files/samples_point.tsv"
-    assert urls["water_elevation_wkb.arrows"] == "https://example.org/releases/v9/water_elevation_wkb.arrows"
+    assert urls["harbours_berths.tsv"] == "https://example.org/raw/v9/harbours/files/harbours_berths.tsv"
+    assert urls["trails_huts_wkb.arrows"] == "https://example.org/releases/v9/trails_huts_wkb.arrows"
     odd = [{"group": "g", "file_location": "moon", "format": ["tsv"], "files": [{"name": "a"}]}]
     expanded = catalog.expand_manifests(catalog.read_manifests(spark, odd))
-    with pytest.raises(Exception, match="Unknown file location: moon"):
+    with pytest.raises(Exception, match="kept at: moon"):
         catalog.with_paths(expanded, *BASES).collect()
-    assert catalog.only_location(assets, "release").select("group").distinct().count() == 2
+    assert catalog.only_location(assets, "release").select("group").distinct().count() == 1
 
 
 def test_names_parse_back(assets):
@@ -67,12 +67,12 @@ def test_names_parse_back(assets):
 @pytest.mark.parametrize(
     "path, error",
     [
-        ("example/files/example_point.tsv", None),
-        ("example/files/Example_point.tsv", "not a valid asset filename"),
-        ("example/files/example_point.csv", "does not contain a valid suffix"),
-        ("example/data/example_point.tsv", "parent is not files"),
-        ("other/files/example_point.tsv", "parent of parent is not the group"),
-        ("example_point.tsv", "parent is not files"),
+        ("docks/files/docks_point.tsv", None),
+        ("docks/files/Docks_point.tsv", "name does not follow the pattern"),
+        ("docks/files/docks_point.csv", "ending belongs to no format"),
+        ("docks/data/docks_point.tsv", "folder above it is not files"),
+        ("other/files/docks_point.tsv", "outside the folder of its group"),
+        ("docks_point.tsv", "folder above it is not files"),
     ],
 )
 def test_wrong_paths(spark, path, error):
@@ -81,15 +81,15 @@ def test_wrong_paths(spark, path, error):
 
 
 def test_files_found_and_hidden_skipped(spark, assets, tmp_path):
-    (tmp_path / "samples" / "files").mkdir(parents=True)
-    for name in ("samples_point.tsv", ".hidden.tsv", "samples_new.tsv"):
-        (tmp_path / "samples" / "files" / name).write_text("geometry\n")
+    (tmp_path / "harbours" / "files").mkdir(parents=True)
+    for name in ("harbours_berths.tsv", ".hidden.tsv", "harbours_new.tsv"):
+        (tmp_path / "harbours" / "files" / name).write_text("geometry\n")
     present = catalog.list_assets(spark, str(tmp_path))
-    assert sorted((r.file, r.length) for r in present.collect()) == [("samples_new.tsv", 9), ("samples_point.tsv", 9)]
+    assert sorted((r.file, r.length) for r in present.collect()) == [("harbours_berths.tsv", 9), ("harbours_new.tsv", 9)]
     assert "content" not in present._jdf.queryExecution().executedPlan().toString()
     status = {r.file: r.status for r in compare.completeness(assets, present, "file").collect()}
-    assert status["samples_new.tsv"] == "undeclared" and "samples_point.tsv" not in status
-    assert sum(s == "missing" for s in status.values()) == 362
+    assert status["harbours_new.tsv"] == "undeclared" and "harbours_berths.tsv" not in status
+    assert sum(s == "missing" for s in status.values()) == FILES - 1
 
 
 def test_published_list_reads_back(spark, assets, tmp_path):
@@ -103,34 +103,39 @@ def test_published_list_reads_back(spark, assets, tmp_path):
     want = assets.select("group", "name", "format", "url")
     assert compare.tables_equal(want, back.select("group", "name", "format", "url"))
     wide = catalog.unnest_manifest(spark.read.schema(catalog.MANIFEST_JSON_SCHEMA).json(path, multiLine=True))
-    assert wide.columns == ["ref", "name", "files_name", "files_format", "files_url"] and wide.count() == 363
+    assert wide.columns == ["ref", "name", "files_name", "files_format", "files_url"] and wide.count() == FILES
     wkb = catalog.only_format(back, "arrows/wkb").select("name", "group")
-    assert wkb.filter("group = 'samples'").count() == 37
+    assert wkb.filter("group = 'harbours'").count() == 3
 
 
-def test_listing_by_group(spark, listed):
-    rows = catalog.listing_text(listed).collect()
-    assert [r.group for r in rows] == GROUPS
-    text = rows[1].file_summary
-    assert rows[1].readme_file == "samples-crs/README.md"
-    assert text.startswith("## Files\n\n- state-crs84 ([arrows/wkb](https://example.org/raw/v9/samples-crs/files/")
-    assert text.splitlines()[-1].startswith("- state-crs84-unknown ([arrows/wkb](")
-    assert len(re.findall(r"\]\(", "".join(r.file_summary for r in rows))) == 363
+def pages_of(listed):
+    """The text of each group from its lines."""
+    lines = catalog.listing_lines(listed).orderBy("group_at", "group", "tag_at", "tag", "at").collect()
+    out = {}
+    for r in lines:
+        out.setdefault(r.group, []).append(r.line)
+    return {group: "\n".join(found) for group, found in out.items()}
 
 
-def test_lines_say_the_same_as_the_text(listed):
-    lines = catalog.listing_lines(listed).orderBy("group", "tag", "at").collect()
-    by_group = {}
-    for r in lines:
-        by_group.setdefault(r.group, []).append(r.line)
-    texts = {r.group: r.file_summary for r in catalog.listing_text(listed).collect()}
-    assert {g: "\n".join(l) for g, l in by_group.items()} == texts
+def test_listing_by_group(listed):
+    pages = pages_of(listed)
+    assert list(pages) == GROUPS
+    text = pages["harbours-crs"]
+    assert text.startswith("## Files\n\n- gate-utm ([arrows/wkb](https://example.org/raw/v9/harbours-crs/files/")
+    assert text.splitlines()[-1].startswith("- gate-wkt2 ([arrows/wkb](")
+    assert len(re.findall(r"\]\(", "".join(pages.values()))) == FILES
+
+
+def test_tags_of_a_group_are_parted(listed):
+    two = listed.withColumn("tag", F.when(F.col("name") == "paths", "v8").otherwise("v9"))
+    text = pages_of(two)["trails"]
+    assert text.count("## Files\n") == 2 and "\n\n## Files\n\n- huts (" in text and text.index("- paths") < text.index("- huts")
 
 
-def test_a_listing_too_long_for_a_page_is_refused(listed, monkeypatch):
-    monkeypatch.setattr(catalog, "LISTING_TEXT_LIMIT", 1000)
-    with pytest.raises(ValueError, match="listing_lines"):
-        catalog.listing_text(listed)
+def test_listing_is_written_by_group(spark, listed, tmp_path):
+    catalog.write_listing(listed, f"{tmp_path}/pages")
+    back = spark.read.text(f"{tmp_path}/pages/group=trails", wholetext=True).first().value
+    assert back == pages_of(listed)["trails"] + "\n"
 
 
 def test_groups_in_order_of_first_appearance(listed):
@@ -142,10 +147,9 @@ def test_selections_by_name(assets):
     names = catalog.only_format(assets, "arrows/wkb").select(
         catalog.base_name(F.col("file"), "_wkb.arrows").alias("base")
     )
-    small = catalog.without_names(names, "base", ["buildings", "wkt2"], "water", "water_water-point")
+    small = catalog.without_names(names, "base", ["wkt2"], "trails", "trails_huts")
     kept = {r.base for r in small.collect()}
-    assert "water_water-point" in kept and "water_elevation" not in kept
-    assert not [k for k in kept if "wkt2" in k or "buildings" in k] and len(kept) == 37 + 6 + 4 + 1 + 1
-    sized = names.select("base", catalog.size_compression(F.col("base"), ["water", "build"]).alias("c"))
-    assert {r.base.split("_")[0] for r in sized.filter("c = 'zstd'").collect()} == {"water", "buildings"}
-    assert catalog.keep_keys(assets, "group", ["sheets"]).count() == 8
+    assert kept == {"harbours_berths", "harbours_piers-z", "harbours_buoys", "harbours-crs_gate-utm", "trails_huts"}
+    sized = names.select("base", catalog.size_compression(F.col("base"), ["trails", "harbours-"]).alias("c"))
+    assert {r.base.split("_")[0] for r in sized.filter("c = 'zstd'").collect()} == {"trails", "harbours-crs"}
+    assert catalog.keep_keys(assets, "group", ["trails"]).count() == 9

@@ -1,8 +1,12 @@
 import __spark_entry__ as contract
+from terrafold.plans.oracles import ORACLES
+from terrafold.plans.queries import QUERIES
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry_runs(spark):

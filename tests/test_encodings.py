@@ -44,7 +44,7 @@ def test_dimensions_follow_from_x_and_y(spark):
     for r in add_dimensions(lists, z=True, m=True).collect():
         made.setdefault(r.name, {})[r.pos] = r.wkt
     assert [made["polygon-zm"][i] for i in range(4)] == POLYGON_ZM
-    assert made["point-zm"] == {0: "POINT ZM (30 10 40 300)", 1: "POINT ZM (40 20 60 800)", 2: None, 3: "POINT ZM EMPTY"}
+    assert made["point-zm"] == {0: "POINT ZM (3 -7 -4 -21)", 1: "POINT ZM (12 5 17 60)", 2: None, 3: "POINT ZM EMPTY"}
 
 
 def test_collections_stay_binary_and_split(spark):
@@ -55,11 +55,11 @@ def test_collections_stay_binary_and_split(spark):
     rows = C.as_encoding(C.explode_members(df), "wkt").collect()
     found = sorted((r.fid, r.path, r.geometry) for r in rows)
     assert found == [
-        (0, "0", "POINT (30 10)"),
-        (1, "0", "POINT (30 10)"),
-        (1, "1", "LINESTRING (30 10, 10 30, 40 40)"),
-        (1, "2", "MULTIPOINT ((30 10))"),
-        (2, "0.0", "POINT ZM (30 10 40 300)"),
+        (0, "0", "POINT (3 -7)"),
+        (1, "0", "POINT (3 -7)"),
+        (1, "1", "LINESTRING (0 1, 6 2, 9 11)"),
+        (1, "2", "MULTIPOINT ((5 6))"),
+        (2, "0.0", "POINT ZM (3 -7 -4 -21)"),
     ]
 
 
@@ -186,6 +186,18 @@ def test_text_beside_encoding_and_last_column(spark):
     assert renamed.columns == ["id", "geometry"] and geometry_tag(renamed).kind == "point"
 
 
+def test_typed_and_mixed_numbers_are_written_alike(spark):
+    values = [s * m * 10.0**p for p in range(-12, 16) for m in (1, 1.5, 1.23456789, 9.87654321012345) for s in (1, -1)]
+    values += [12345678.5, 1e-4, 0.00012345, 123456789.125, 1 / 3, 2e-5 / 3, 1e15 + 0.5, 2.5e-320, 1.7976931348623157e308]
+    shapes = [f"POINT ({v!r} 0)" for v in values]
+    typed = texts(C.as_encoding(C.as_encoding(table(spark, shapes, "point", "xy"), "native"), "wkt"))
+    mixed = texts(C.as_encoding(C.as_encoding(table(spark, shapes), "wkb"), "wkt"))
+    assert typed == mixed
+    assert [float(t.split("(")[1].split(" ")[0]) for t in typed] == values
+    again = table(spark, typed, "point", "xy")
+    assert again.filter(~C.wkt_is_canonical(again)).isEmpty()
+
+
 def test_number_text(spark):
     values = [0.0, -1.0, 1e7, 123456789012.0, 1e15, 2.5, 1e-5, -0.1, 1e300]
     df = spark.createDataFrame([(v,) for v in values], "v double")
