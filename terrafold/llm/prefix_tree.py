@@ -71,22 +71,29 @@ def _stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, ngram: int) -> DataFrame:
-    """(_id, n, fp, bits) of every row: set size, digest of the set, and the set's parity bits."""
+    """(_id, n, fp, key, bits) of every row: set size, the set's digest, its short key and parity bits."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, prints, bits = [], [], []
+            sizes, prints, keys, bits = [], [], [], []
             for grams in ordered_sets(batch.column("_text"), ngram):
                 sizes.append(len(grams))
                 prints.append(_print_of(grams) if len(grams) else None)
+                keys.append(_key_of(prints[-1]) if len(grams) else None)
                 bits.append(parity_bits(grams) if len(grams) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(bits, pa.binary())],
-                ["_id", "n", "fp", "bits"],
+                [
+                    batch.column("_id"),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(prints, pa.binary()),
+                    pa.array(keys, pa.int64()),
+                    pa.array(bits, pa.binary()),
+                ],
+                ["_id", "n", "fp", "key", "bits"],
             )
 
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    return rows.mapInArrow(scan, "_id long, n long, fp binary, bits binary")
+    return rows.mapInArrow(scan, "_id long, n long, fp binary, key long, bits binary")
 
 
 def frequency_sketch(docs: DataFrame, text_col: str, ngram: int) -> np.ndarray:
@@ -280,14 +287,21 @@ def _print_of(grams: np.ndarray) -> bytes:
     return hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
 
 
+def _key_of(fp: bytes) -> int:
+    return int.from_bytes(fp[:8], "little", signed=True)
+
+
 def postings(docs: DataFrame, sketch: np.ndarray, text_col: str, ngram: int, percent: int) -> DataFrame:
-    """(token, fp): the prefix n-grams of every distinct set."""
+    """(token, key): the prefix n-grams of every distinct set.
+
+    Sets go by short keys here; sets that share one by chance only become neighbours.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, seen = shared.value, set()
         for batch in batches:
-            tokens, prints = [], []
+            tokens, keys = [], []
             for grams in ordered_sets(batch.column("_text"), ngram):
                 fp = _print_of(grams)
                 if not len(grams) or fp in seen:
@@ -296,18 +310,17 @@ def postings(docs: DataFrame, sketch: np.ndarray, text_col: str, ngram: int, per
                 level = order[(grams & np.uint64(len(order) - 1)).astype(np.int64)]
                 take = len(grams) - required(len(grams), percent) + 1
                 tokens.append(grams[np.lexsort((grams, level))[:take]])
-                prints.append(fp)
+                keys.append(_key_of(fp))
             counts = np.array([len(t) for t in tokens], np.int64)
-            index = pa.array(np.repeat(np.arange(len(prints)), counts), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate(tokens or [np.zeros(0, np.uint64)]).view(np.int64)),
-                    pa.array(prints, pa.binary()).take(index),
+                    pa.array(np.repeat(np.array(keys, np.int64), counts)),
                 ],
-                ["token", "fp"],
+                ["token", "key"],
             )
 
-    return docs.select(F.col(text_col).alias("_text")).mapInArrow(scan, "token long, fp binary")
+    return docs.select(F.col(text_col).alias("_text")).mapInArrow(scan, "token long, key long")
 
 
 def needed_sets(docs: DataFrame, keys: DataFrame, sketch: np.ndarray, text_col: str, ngram: int) -> DataFrame:
@@ -339,14 +352,14 @@ def _pairs(rows: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
 
 
 def neighbourhoods(posts: DataFrame) -> DataFrame:
-    """(pivot, fp): sets that share one of their prefix n-grams with a pivot set.
+    """(pivot, key): sets that share one of their prefix n-grams with a pivot set.
 
-    Of the sets that share an n-gram the smallest print is the pivot, so that any two of them
+    Of the sets that share an n-gram the one of smallest key is the pivot, so that any two of them
     meet in its neighbourhood, and one cluster has few pivots however many n-grams it shares.
     """
-    pivots = posts.groupBy("token").agg(F.min("fp").alias("pivot"), F.max("fp").alias("other"))
+    pivots = posts.groupBy("token").agg(F.min("key").alias("pivot"), F.max("key").alias("other"))
     pivots = pivots.filter(F.col("pivot") != F.col("other")).select("token", "pivot")
-    return posts.join(pivots, "token").select("pivot", "fp").distinct()
+    return posts.join(pivots, "token").select("pivot", "key").distinct()
 
 
 def units(near: DataFrame) -> DataFrame:
@@ -424,10 +437,10 @@ def possible(near: DataFrame, percent: int) -> DataFrame:
         yield batch_of(out)
 
     def batch_of(rows: list[dict]) -> pa.RecordBatch:
-        kinds = (("pivot", pa.binary()), ("fp", pa.binary()), ("n", pa.int64()))
+        kinds = (("pivot", pa.int64()), ("fp", pa.binary()), ("n", pa.int64()))
         return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in kinds], [c for c, _ in kinds])
 
-    return units(near).mapInArrow(scan, "pivot binary, fp binary, n long").distinct()
+    return units(near).mapInArrow(scan, "pivot long, fp binary, n long").distinct()
 
 
 def join_units(rows: DataFrame, sketch: np.ndarray, percent: int) -> DataFrame:
@@ -501,12 +514,13 @@ def jaccard_components(
     rows = _stored(fingerprints(docs, id_col, text_col, ngram), "prints")
     sketch = frequency_sketch(docs, text_col, ngram)
     posts = _stored(postings(docs, sketch, text_col, ngram, percent), "postings")
-    marks = rows.filter("fp is not null").groupBy("fp").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
-    near = _stored(possible(neighbourhoods(posts).join(marks, "fp"), percent), "neighbourhoods")
+    marks = rows.filter("fp is not null").groupBy("fp", "key").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
+    near = neighbourhoods(posts).join(marks, "key").drop("key")
+    near = _stored(possible(near, percent), "neighbourhoods")
     sets = needed_sets(docs, near.select("fp").distinct(), sketch, text_col, ngram)
     links = join_units(near.join(sets, "fp"), sketch, percent)
     roots = components(links)
-    labelled = rows.drop("bits").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    labelled = rows.drop("bits", "key").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = labelled.filter("root is not null").groupBy("root").agg(F.min("_id").alias("least"))
     out = labelled.join(least, "root", "left")
     return out.select(
@@ -515,7 +529,10 @@ def jaccard_components(
 
 
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component; rows without id stay."""
+    """The rows of ``docs`` whose id is the smallest of their component; rows without id stay.
+
+    Rows that repeat that id stay together: equal texts are exact dedup's to drop.
+    """
     groups = jaccard_components(docs, id_col=id_col, **options)
     kept = groups.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_kept")).distinct()
     known = docs.join(kept, docs[id_col] == kept["_kept"], "left_semi")
