@@ -25,8 +25,8 @@ from ..sources.shared import fresh_path
 from .arrays import mixed, text_bytes
 
 #: Bytes of a repeat; bytes that a hash covers; text of a block, and of an index bucket and a round of it.
-LENGTH, SHORT = 50, 16
-BLOCK_BYTES, BUCKET_BYTES, ROUND_INDEX = 1 << 20, 8 << 20, 2 << 20
+LENGTH, SHORT = 50, 24
+BLOCK_BYTES, BUCKET_BYTES, ROUND_INDEX = 1 << 20, 2 << 20, 1 << 18
 _NO_ID = -(1 << 63)
 _BLOCK = "block long, size long, ids binary, offsets binary, data binary"
 _VALUES = "bucket int, block long, parts binary, multi binary"
@@ -75,8 +75,9 @@ def window_values(data: np.ndarray) -> np.ndarray:
     x = data.astype(np.uint64)
     for shift in (1, 2, 4):
         x = x[:-shift] | x[shift:] << np.uint64(8 * shift)
-    low = mixed(x[:-8] * np.uint64(0x9FB21C651E98DF25) + x[8:])
-    for shift in (1, 2, 4, 8, 16, LENGTH - SHORT + 1 - 32):
+    # Three words of eight bytes are the SHORT bytes of a hash.
+    low = mixed((x[:-16] * np.uint64(0x9FB21C651E98DF25) + x[8:-8]) * np.uint64(0xD6E8FEB86659FD93) + x[16:])
+    for shift in (1, 2, 4, 8, LENGTH - SHORT + 1 - 16):
         low = np.minimum(low[:-shift], low[shift:])
     return low
 
@@ -236,10 +237,9 @@ class RunIndex:
         inside = np.ones(n, bool)
         inside[ends - 1] = False
         symbols[:n][inside] = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64) + 1
-        order, rank = self._sorted(symbols, n)
+        order, context, half = self._sorted(symbols, n)
         text = np.repeat(np.arange(len(texts)), lens + 1)
         before = np.where(order > 0, symbols[order - 1], 0)
-        context = rank[order]
         new = np.ones(n, bool)
         new[1:] = (before[1:] != before[:-1]) | (context[1:] != context[:-1])
         start = np.flatnonzero(new)
@@ -262,33 +262,31 @@ class RunIndex:
         self.key_end = np.searchsorted(self.head[by_head], np.arange(258), "right")
         self.runs = runs
         # The runs that share all but the last byte with each run: what is left when it is dropped.
-        shorter = np.zeros(n, np.int64)
-        starts = order[start]
-        shorter = self.shorter_rank[starts]
-        change = np.flatnonzero(np.append(True, shorter[1:] != shorter[:-1]))
-        group = np.cumsum(np.append(True, shorter[1:] != shorter[:-1])) - 1
+        at = order[start]
+        two = np.stack([half[at], half[at + LENGTH - 1 - self.HALF]])
+        fresh = np.append(True, (two[:, 1:] != two[:, :-1]).any(0))
+        change = np.flatnonzero(fresh)
+        group = np.cumsum(fresh) - 1
         self.wider_from = change[group]
         self.wider_to = np.append(change[1:], runs)[group]
-        del self.shorter_rank
 
-    def _sorted(self, symbols: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows by their first LENGTH symbols, then position; and the rank of each position's string."""
+    #: Symbols of the ranks that strings of LENGTH are put together from.
+    HALF = 28
+
+    def _sorted(self, symbols: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows by their first LENGTH symbols, then position; the class of each row; ranks of HALF symbols."""
         # Seven symbols in one number, then ranks of twice the length from pairs of ranks.
         key = np.zeros(n + LENGTH - 6, np.int64)
         for i in range(7):
             key = key * 257 + symbols[i : i + len(key)]
         rank, have = np.unique(key, return_inverse=True)[1], 7
-
-        def joined(rank: np.ndarray, by: int) -> np.ndarray:
-            top = int(rank.max()) + 1
-            return np.unique(rank[: len(rank) - by] * top + rank[by:], return_inverse=True)[1]
-
-        while 2 * have < LENGTH:
-            rank, have = joined(rank, have), 2 * have
-        self.shorter_rank = joined(rank, LENGTH - 1 - have)[:n]
-        rank = joined(rank, LENGTH - have)[:n]
+        while have < self.HALF:
+            key = rank[: len(rank) - have] * (int(rank.max()) + 1) + rank[have:]
+            rank, have = np.unique(key, return_inverse=True)[1], 2 * have
         # A string that reaches over a text's end is as unique as the end itself.
-        return np.argsort(rank, kind="stable"), rank
+        key = rank[:n] * (int(rank.max()) + 1) + rank[LENGTH - have : LENGTH - have + n]
+        order = np.argsort(key, kind="stable")
+        return order, key[order], rank
 
     def _bound(self, symbol: np.ndarray, run: np.ndarray) -> np.ndarray:
         """Where the rows of a symbol before some run go: the run that begins there."""
