@@ -61,12 +61,27 @@ _BARE_WORDS = frozenset(
 
 
 class _Node:
-    __slots__ = ("bare", "digest", "inside", "parent", "parts", "tag")
+    __slots__ = ("bare", "depth", "digest", "inline", "inside", "parent", "parts", "tag")
 
-    def __init__(self, tag: str, parent: _Node | None, bare: bool, inside: bool) -> None:
-        self.tag, self.parent, self.bare, self.inside = tag, parent, bare, inside
+    def __init__(self, tag: str, parent: _Node | None, bare: bool, inside: bool, inline: bool = False) -> None:
+        self.tag, self.parent, self.bare, self.inside, self.inline = tag, parent, bare, inside, inline
         self.parts: list = []
-        self.digest = 0
+        #: Plain elements of the same tag that are open within an inline one.
+        self.depth = self.digest = 0
+
+    def path(self) -> list[_Node]:
+        out, at = [], self
+        while at is not None:
+            out.append(at)
+            at = at.parent
+        return out
+
+
+def _open_inline(node: _Node, tag: str) -> _Node | None:
+    """The open inline node of a tag, within the enclosing block."""
+    while node.inline and node.tag != tag:
+        node = node.parent
+    return node if node.inline else None
 
 
 def _is_bare(tag: str, attributes: str, inside: bool) -> bool:
@@ -93,23 +108,35 @@ def _is_main(tag: str, attributes: str) -> bool:
     return tag in ("article", "main") or 'role="main"' in attributes or 'role="article"' in attributes
 
 
+def _split_block(pieces: list[tuple[str, _Node]]) -> list[tuple[str, list[_Node], bool, bool]]:
+    """The text of a block without its bare inline nodes, then the text of those."""
+    out = []
+    barred = {n: any(x.bare for x in n.path()) for n in {n: None for _, n in pieces}}
+    for bare in (False, True):
+        own = [(t, n) for t, n in pieces if barred[n] == bare]
+        words = " ".join("".join(t for t, _ in own).split())
+        if words:
+            at = next(n for t, n in own if t.strip())
+            while at.inline and not bare:
+                at = at.parent
+            out.append((words, at.path(), bare, at.inside))
+    return out
+
+
 def parse(page: str) -> list[tuple[str, list[_Node], bool, bool]]:
     """(text, enclosing nodes, bare, in a main element) of each block, in page order; digests are set."""
     root = _Node("#root", None, False, False)
-    node, nodes, blocks = root, [root], []
-    text: list[str] = []
+    node, nodes, flushed = root, [root], []
+    # An inline node does not end its block, so a block's pieces can be of several nodes.
+    text: list[tuple[str, _Node]] = []
 
     def flush() -> None:
         if text:
-            words = " ".join("".join(text).split())
-            text.clear()
+            words = " ".join("".join(t for t, _ in text).split())
             if words:
                 node.parts.append(words)
-                path, at = [], node
-                while at is not None:
-                    path.append(at)
-                    at = at.parent
-                blocks.append((words, path, any(n.bare for n in path), node.inside))
+                flushed.append(text.copy())
+            text.clear()
 
     def close(to: _Node) -> None:
         nonlocal node
@@ -120,10 +147,10 @@ def parse(page: str) -> list[tuple[str, list[_Node], bool, bool]]:
     while at < size:
         found = _TOKEN.search(page, at)
         if found is None:
-            text.append(html.unescape(page[at:]))
+            text.append((html.unescape(page[at:]), node))
             break
         if found.start() > at:
-            text.append(html.unescape(page[at : found.start()]))
+            text.append((html.unescape(page[at : found.start()]), node))
         at = found.end()
         tag = found[2] or found[5]
         if not tag:
@@ -131,6 +158,11 @@ def parse(page: str) -> list[tuple[str, list[_Node], bool, bool]]:
         tag, attributes = tag.lower(), found[3] or found[6] or ""
         if found[1] or found[4]:
             if tag in _INLINE:
+                same = _open_inline(node, tag)
+                if same is not None and same.depth:
+                    same.depth -= 1
+                elif same is not None:
+                    node = same.parent
                 continue
             if tag == "p" or tag in _VOID:
                 # A stray end is at most the end of a block.
@@ -147,14 +179,20 @@ def parse(page: str) -> list[tuple[str, list[_Node], bool, bool]]:
                 at = end.end() if end else size
             continue
         if tag == "br":
-            text.append(" ")
-            continue
-        if tag in _INLINE and not _is_bare(tag, attributes, node.inside):
+            text.append((" ", node))
             continue
         if tag in _VOID:
             if tag == "hr":
                 flush()
             continue
+        if tag in _INLINE:
+            if _is_bare(tag, attributes, node.inside):
+                node = _Node(tag, node, True, node.inside, True)
+                node.parent.parts.append(node)
+                nodes.append(node)
+            elif (same := _open_inline(node, tag)) is not None:
+                same.depth += 1
+            continue
         flush()
         if tag in _CLOSES_P:
             up = node
@@ -177,6 +215,7 @@ def parse(page: str) -> list[tuple[str, list[_Node], bool, bool]]:
         node.parent.parts.append(node)
         nodes.append(node)
     flush()
+    blocks = [block for pieces in flushed for block in _split_block(pieces)]
     # A node stands after its parent, so children are done first.
     for item in reversed(nodes):
         parts = "\x00".join(p if isinstance(p, str) else str(p.digest) for p in item.parts)

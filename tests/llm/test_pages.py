@@ -4,6 +4,7 @@ import html
 import re
 import zipfile
 
+import pyarrow as pa
 import pytest
 
 from terrafold.llm import html_template, warc_zip
@@ -33,6 +34,24 @@ PAGES = {
 }
 
 
+INLINE_PAGES = {
+    '<body><a class="skip-link" href="#x">Skip</a><article><p>one</p><p>two</p></article></body>': "one\n\ntwo",
+    '<a class="skip-link">Skip</a><p>one</p><div>two</div>': "one\n\ntwo",
+    '<p><i class="fa" aria-hidden="true"></i> text</p>': "text",
+    '<p>a <span class="notice">x</span> b</p><p>c</p>': "a b\n\nc",
+    '<p>a <span class="notice">x <span>y</span> z</span> <b hidden>h</b>b</p><p>c d</p>': "a b\n\nc d",
+    '<div><a class="promo"><div>x</div>y</a>z <b>bold</b> end</div>': "z bold end",
+    '<p>a <span class="notice">x</p><p>b</span> c</p>': "a\n\nb c",
+}
+
+
+def test_bare_inline_elements_end_at_their_end_tags():
+    for page, want in INLINE_PAGES.items():
+        batch = pa.RecordBatch.from_pydict({"_id": [1], "_url": ["http://h/"], "_html": [page]})
+        (out,) = html_template.parse_pages(iter([batch]))
+        assert "\n\n".join(b["text"] for b in out.column("blocks")[0].as_py()) == want
+
+
 def test_pages_of_edge_cases(spark):
     rows = [(i, f"http://h{i}.example/", page) for i, page in enumerate(PAGES)] + [(None, None, "<p>x</p>")] * 2
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS host", "2 AS text")
