@@ -2,8 +2,9 @@
 
 Every page is parsed into text blocks, each with the hashes of the element subtrees it lies in.
 Spark counts the subtrees per host; blocks inside a subtree that recurs across many pages of their
-host are deleted. Elements whose name or role says that they are no article (menus, footers, forms,
-adverts, reader comments) go on any host, as a host with few pages has nothing to count.
+host are deleted. Elements whose tag, role or name says that they are no article (menus, footers, forms,
+adverts, reader comments) go on any host, as a host with few pages has nothing to count; a class or
+id says so only by all its words, and never of what holds an article or most of the page's words.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?|"[^"]*"|'[^']*'""")
+_TELLING = re.compile("class|id|role|hidden|style", re.IGNORECASE)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noscript template iframe svg math canvas object xmp noembed".split())
 _INLINE = frozenset(
@@ -58,14 +60,31 @@ _BARE_WORDS = frozenset(
     "navbar navigation breadcrumb breadcrumbs footer masthead comment comments commentlist disqus respond replies share "
     "sharing social related recommended widget toolbar pagination pager login skip".split()
 )
+#: Of these, what no article is called, be it the longest text beside one.
+_SURE_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored cookie cookies consent gdpr popup newsletter "
+    "comment comments commentlist disqus respond replies".split()
+)
+#: What may stand beside them in a name; with other words (has-sidebar, share-prices) a name says nothing.
+_PLAIN_WORDS = frozenset(
+    "area bar bottom box btn button buttons desktop footer form global header icon icons item items left link links list main "
+    "mobile page post posts primary right secondary section site slot text title to top unit".split()
+)
 
 
 class _Node:
-    __slots__ = ("bare", "depth", "digest", "inline", "inside", "parent", "parts", "tag")
-
-    def __init__(self, tag: str, parent: _Node | None, bare: bool, inside: bool, inline: bool = False) -> None:
-        self.tag, self.parent, self.bare, self.inside, self.inline = tag, parent, bare, inside, inline
+    __slots__ = ("bare", "depth", "digest", "inline", "inside", "main", "named", "parent", "parts", "tag", "under", "words")
+
+    def __init__(self, tag: str, parent: _Node | None, attributes: dict[str, str], bare: bool, inline: bool = False) -> None:
+        self.tag, self.parent, self.bare, self.inline = tag, parent, bare, inline
+        self.named = _is_named(tag, attributes) if attributes and not bare else 0
+        #: Whether it is a main element, or holds one.
+        self.main = not bare and _is_main(tag, attributes)
+        self.inside = self.main or parent is not None and parent.inside
         self.parts: list = []
+        #: Whether it is bare by its tag or state, or within such; its words outside of those.
+        self.under = bare
+        self.words = 0
         #: Plain elements of the same tag that are open within an inline one.
         self.depth = self.digest = 0
 
@@ -84,31 +103,75 @@ def _open_inline(node: _Node, tag: str) -> _Node | None:
     return node if node.inline else None
 
 
-def _is_bare(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether an element by its name, role or class is no part of an article."""
+def _attributes(text: str) -> dict[str, str]:
+    """The values of the attributes by name, in lower case; the first of a name counts."""
+    out: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(text):
+        if name:
+            out.setdefault(name.lower(), value.strip("\"'").lower())
+    return out
+
+
+def _is_bare(tag: str, attributes: dict[str, str], inside: bool) -> bool:
+    """Whether an element by its tag, role or state is no part of an article."""
     if tag in _BARE or tag == "header" and not inside:
         return True
     if not attributes:
         return False
-    if re.search(r"""(?:^|\s)hidden(?=[\s=/]|$)""", attributes):
-        return True
-    for name, value in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), value.strip("\"'").lower()
-        if name == "role" and value in _BARE_ROLES or name == "aria-hidden" and value == "true":
-            return True
-        if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-        if name in ("class", "id") and tag not in ("html", "body", "main"):
-            if any(w in _BARE_WORDS for w in re.split(r"[^a-z0-9]+", value)):
-                return True
-    return False
+    return (
+        "hidden" in attributes
+        or attributes.get("role") in _BARE_ROLES
+        or attributes.get("aria-hidden") == "true"
+        or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", "")) is not None
+    )
 
 
-def _is_main(tag: str, attributes: str) -> bool:
-    return tag in ("article", "main") or 'role="main"' in attributes or 'role="article"' in attributes
+def _is_named(tag: str, attributes: dict[str, str]) -> int:
+    """1 if a class or the id, by all its words, names something that is no part of an article, 2 if surely."""
+    found = 0
+    if tag in ("html", "body") or _is_main(tag, attributes):
+        return found
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        words = [w for w in re.split(r"[^a-z0-9]+", name) if w and not w[0].isdigit()]
+        if any(w in _BARE_WORDS for w in words) and all(w in _BARE_WORDS or w in _PLAIN_WORDS for w in words):
+            found = max(found, 2 if any(w in _SURE_WORDS for w in words) else 1)
+    return found
+
+
+def _is_main(tag: str, attributes: dict[str, str]) -> bool:
+    return tag in ("article", "main") or attributes.get("role") in ("main", "article")
+
+
+def _bar_named(nodes: list[_Node], flushed: list[list[tuple[str, _Node]]]) -> None:
+    """Names bar elements, unless they hold a main element or most of the page's words.
+
+    Adverts and comments can be most of the words, if there is an article beside them.
+    """
+    if not any(n.named for n in nodes):
+        return
+    for item in nodes[1:]:
+        # A node stands after its parent.
+        item.under = item.bare or item.parent.under
+    for item in reversed(nodes):
+        if item.main and not item.under and item.parent is not None:
+            item.parent.main = True
+    article = 0
+    for pieces in flushed:
+        for text, item in pieces:
+            if not item.under:
+                n = len(text.split())
+                item.words += n
+                article += n * item.inside
+    for item in reversed(nodes):
+        if item.parent is not None:
+            item.parent.words += item.words
+    for item in nodes:
+        if item.named and not item.main:
+            beside = article > item.words * item.inside
+            item.bare = 2 * item.words <= nodes[0].words or item.named == 2 and beside
 
 
-def _split_block(pieces: list[tuple[str, _Node]]) -> list[tuple[str, list[_Node], bool, bool]]:
+def _split_block(pieces: list[tuple[str, _Node]]) -> list[tuple[str, list[_Node], bool]]:
     """The text of a block without its bare inline nodes, then the text of those."""
     out = []
     barred = {n: any(x.bare for x in n.path()) for n in {n: None for _, n in pieces}}
@@ -119,13 +182,13 @@ def _split_block(pieces: list[tuple[str, _Node]]) -> list[tuple[str, list[_Node]
             at = next(n for t, n in own if t.strip())
             while at.inline and not bare:
                 at = at.parent
-            out.append((words, at.path(), bare, at.inside))
+            out.append((words, at.path(), bare))
     return out
 
 
-def parse(page: str) -> list[tuple[str, list[_Node], bool, bool]]:
-    """(text, enclosing nodes, bare, in a main element) of each block, in page order; digests are set."""
-    root = _Node("#root", None, False, False)
+def parse(page: str) -> list[tuple[str, list[_Node], bool]]:
+    """(text, enclosing nodes, bare) of each block, in page order; digests are set."""
+    root = _Node("#root", None, {}, False)
     node, nodes, flushed = root, [root], []
     # An inline node does not end its block, so a block's pieces can be of several nodes.
     text: list[tuple[str, _Node]] = []
@@ -155,7 +218,7 @@ def parse(page: str) -> list[tuple[str, list[_Node], bool, bool]]:
         tag = found[2] or found[5]
         if not tag:
             continue
-        tag, attributes = tag.lower(), found[3] or found[6] or ""
+        tag, rest = tag.lower(), found[3] or found[6] or ""
         if found[1] or found[4]:
             if tag in _INLINE:
                 same = _open_inline(node, tag)
@@ -174,7 +237,7 @@ def parse(page: str) -> list[tuple[str, list[_Node], bool, bool]]:
                 close(up.parent)
             continue
         if tag in _RAW:
-            if not attributes.endswith("/"):
+            if not rest.endswith("/"):
                 end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(page, at)
                 at = end.end() if end else size
             continue
@@ -185,9 +248,11 @@ def parse(page: str) -> list[tuple[str, list[_Node], bool, bool]]:
             if tag == "hr":
                 flush()
             continue
+        attributes = _attributes(rest) if rest and _TELLING.search(rest) else {}
         if tag in _INLINE:
-            if _is_bare(tag, attributes, node.inside):
-                node = _Node(tag, node, True, node.inside, True)
+            bare = _is_bare(tag, attributes, node.inside)
+            if bare or attributes and _is_named(tag, attributes):
+                node = _Node(tag, node, attributes, bare, True)
                 node.parent.parts.append(node)
                 nodes.append(node)
             elif (same := _open_inline(node, tag)) is not None:
@@ -209,12 +274,11 @@ def parse(page: str) -> list[tuple[str, list[_Node], bool, bool]]:
                 up = up.parent
             if last is not None:
                 close(last.parent)
-        bare = _is_bare(tag, attributes, node.inside)
-        inside = node.inside or _is_main(tag, attributes) and not bare
-        node = _Node(tag, node, bare, inside)
+        node = _Node(tag, node, attributes, _is_bare(tag, attributes, node.inside))
         node.parent.parts.append(node)
         nodes.append(node)
     flush()
+    _bar_named(nodes, flushed)
     blocks = [block for pieces in flushed for block in _split_block(pieces)]
     # A node stands after its parent, so children are done first.
     for item in reversed(nodes):
@@ -224,10 +288,10 @@ def parse(page: str) -> list[tuple[str, list[_Node], bool, bool]]:
     return blocks
 
 
-_BLOCK = pa.struct([("text", pa.string()), ("path", pa.list_(pa.int64())), ("main", pa.bool_())])
+_BLOCK = pa.struct([("text", pa.string()), ("path", pa.list_(pa.int64()))])
 _PARSED = (
     "_id long, _url string, body long, trees array<long>, "
-    "blocks array<struct<text: string, path: array<long>, main: boolean>>"
+    "blocks array<struct<text: string, path: array<long>>>"
 )
 
 
@@ -239,16 +303,15 @@ def parse_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             blocks = parse(page.as_py() or "")
             seen: set[int] = set()
             kept = []
-            any_main = any(main and not bare for _, _, bare, main in blocks)
-            for text, path, bare, main in blocks:
+            for text, path, bare in blocks:
                 # The page, its article and the article's running text are no templates.
                 places = [
                     n.digest for n in path
                     if n.parent is not None and n.tag not in ("html", "body", "main", "article") and not (n.inside and n.tag in _TEXT)
                 ]
                 seen.update(places)
-                if not bare and (main or not any_main):
-                    kept.append({"text": text, "path": places, "main": main})
+                if not bare:
+                    kept.append({"text": text, "path": places})
             words = "\n".join(b["text"] for b in kept)
             bodies.append(int.from_bytes(hashlib.blake2b(words.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True))
             trees.append(sorted(seen))
@@ -294,8 +357,8 @@ def main_text(
 ) -> DataFrame:
     """One row per input row: id, url, text, n_chars, n_template_blocks.
 
-    The text is that of the page's article or main elements; of a page without any, all that is no
-    menu, form and so on. Null and empty pages, and pages of templates alone, have the empty text.
+    The text is all that is no template of the host and no menu, form and so on, in or beside article
+    and main elements. Null and empty pages, and pages of templates alone, have the empty text.
     Pages without url share the empty host. Repeated rows are extracted each.
     """
     spark = pages.sparkSession

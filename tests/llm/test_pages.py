@@ -52,6 +52,29 @@ def test_bare_inline_elements_end_at_their_end_tags():
         assert "\n\n".join(b["text"] for b in out.column("blocks")[0].as_py()) == want
 
 
+NAMED_PAGES = {
+    '<div class="content-sidebar-wrap"><main><p>a</p></main><div class="sidebar">x</div></div>': "a",
+    '<div class="sidebar-left"><p>x</p><article><p>a</p></article></div>': "x\n\na",
+    '<div class="has-sidebar"><p>a</p></div><p>b</p><p>c</p><div class="no-sidebar">d</div>': "a\n\nb\n\nc\n\nd",
+    '<article class="post social-news"><p id="share-prices">a</p><p>b</p></article>': "a\n\nb",
+    '<article class="promo"><p>a</p></article><div class="ad">x</div>': "a",
+    '<div id="social"><p>most of the words</p></div><p>b</p>': "most of the words\n\nb",
+    '<p title="the hidden cost">a</p><p class="hidden lg:block">b</p><p data-hidden="1">c</p><p hidden>x</p>': "a\n\nb\n\nc",
+    '<p title="role=\'menu\' class=ad">a</p><p HIDDEN="">x</p><p class=\'top-ad-300x250\'>x</p><p>b</p>': "a\n\nb",
+    '<div class="ad">x y z</div><article>a<div id="post-comments">x y z</div></article>': "a",
+    '<div class="ad">the only text</div>': "the only text",
+    '<div><p>the whole body</p></div><article><p>teaser</p></article>': "the whole body\n\nteaser",
+    '<nav><main>x</main></nav><div class="menu"><article hidden>x</article>y</div><p>a</p>': "a",
+}
+
+
+def test_names_bar_no_articles():
+    for page, want in NAMED_PAGES.items():
+        batch = pa.RecordBatch.from_pydict({"_id": [1], "_url": ["http://h/"], "_html": [page]})
+        (out,) = html_template.parse_pages(iter([batch]))
+        assert "\n\n".join(b["text"] for b in out.column("blocks")[0].as_py()) == want
+
+
 def test_pages_of_edge_cases(spark):
     rows = [(i, f"http://h{i}.example/", page) for i, page in enumerate(PAGES)] + [(None, None, "<p>x</p>")] * 2
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS host", "2 AS text")
