@@ -20,9 +20,11 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import fresh_path
 
-#: A subtree is a template if it is on so many pages of its host that differ in their text, and on
-#: that share of them. The share also bounds how many templates a host can have.
-TEMPLATE_PAGES, TEMPLATE_SHARE = 4, 0.1
+#: A subtree is a template if it is on so many pages of its host that differ in their text, be the
+#: host large or small.
+TEMPLATE_PAGES = 4
+#: The pages of a host are dealt out to so many parts when subtrees and templates meet.
+SALTS = 16
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""",
@@ -96,6 +98,10 @@ class _Node:
         return out
 
 
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
 def _open_inline(node: _Node, tag: str) -> _Node | None:
     """The open inline node of a tag, within the enclosing block."""
     while node.inline and node.tag != tag:
@@ -283,22 +289,21 @@ def parse(page: str) -> list[tuple[str, list[_Node], bool]]:
     # A node stands after its parent, so children are done first.
     for item in reversed(nodes):
         parts = "\x00".join(p if isinstance(p, str) else str(p.digest) for p in item.parts)
-        found = hashlib.blake2b(f"{item.tag}\x01{parts}".encode("utf-8", "replace"), digest_size=8).digest()
-        item.digest = int.from_bytes(found, "little", signed=True)
+        item.digest = _hash(f"{item.tag}\x01{parts}")
     return blocks
 
 
 _BLOCK = pa.struct([("text", pa.string()), ("path", pa.list_(pa.int64()))])
 _PARSED = (
-    "_id long, _url string, body long, trees array<long>, "
+    "_id long, _url string, body long, form long, trees array<long>, "
     "blocks array<struct<text: string, path: array<long>>>"
 )
 
 
 def parse_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks that may be article text, the subtrees of all blocks, and a hash of the page's text."""
+    """Blocks that may be article text, the subtrees of all blocks, and hashes of the page's text and of its subtrees."""
     for batch in batches:
-        bodies, trees, rows = [], [], []
+        bodies, forms, trees, rows = [], [], [], []
         for page in batch.column("_html"):
             blocks = parse(page.as_py() or "")
             seen: set[int] = set()
@@ -313,18 +318,20 @@ def parse_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if not bare:
                     kept.append({"text": text, "path": places})
             words = "\n".join(b["text"] for b in kept)
-            bodies.append(int.from_bytes(hashlib.blake2b(words.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True))
+            bodies.append(_hash(words))
             trees.append(sorted(seen))
+            forms.append(_hash(str(trees[-1])))
             rows.append(kept)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("_id"),
                 batch.column("_url"),
                 pa.array(bodies, pa.int64()),
+                pa.array(forms, pa.int64()),
                 pa.array(trees, pa.list_(pa.int64())),
                 pa.array(rows, pa.list_(_BLOCK)),
             ],
-            ["_id", "_url", "body", "trees", "blocks"],
+            ["_id", "_url", "body", "form", "trees", "blocks"],
         )
 
 
@@ -332,18 +339,25 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1))
 
 
-def host_templates(pages: DataFrame, least: int = TEMPLATE_PAGES, share: float = TEMPLATE_SHARE) -> DataFrame:
-    """(host, templates): the subtrees that recur across a host's pages.
+def host_templates(pages: DataFrame, least: int = TEMPLATE_PAGES) -> DataFrame:
+    """(host, form, salt, templates): the recurring subtrees of the pages of a host with equal subtrees.
 
-    Pages of equal text count once. A subtree counts only on its share of the pages, so a host has
-    at most 1 / share times as many templates as a page has subtrees.
+    Pages of equal text count once, by the smallest of their forms. All joins are on exploded keys: a
+    row holds the subtrees of one page at most, and a subtree or form of many pages is salted.
     """
-    texts = pages.select("host", "body", "trees").dropDuplicates(["host", "body"])
-    counts = texts.select("host", F.explode("trees").alias("tree")).groupBy("host", "tree").agg(F.count("*").alias("n"))
-    counts = counts.filter(F.col("n") >= least)
-    sizes = texts.groupBy("host").agg(F.count("*").alias("pages"))
-    found = counts.join(sizes, "host").filter(F.col("n") >= share * F.col("pages"))
-    return found.groupBy("host").agg(F.collect_list("tree").alias("templates"))
+    counted = pages.groupBy("host", "body").agg(F.min("form").alias("form")).groupBy("host", "form").agg(F.count("*").alias("n"))
+    trees = pages.select("host", "form", F.explode("trees").alias("tree")).distinct().withColumn("salt", F.col("form") % SALTS)
+    # A subtree's rows merge before the shuffle; it has as many salts as pages at most.
+    places = (
+        trees.join(counted, ["host", "form"], "left")
+        .groupBy("host", "tree")
+        .agg(F.sum("n").alias("n"), F.collect_set("salt").alias("salts"))
+        .filter(F.col("n") >= least)
+        .select("host", "tree", F.explode("salts").alias("salt"))
+    )
+    found = trees.join(places, ["host", "tree", "salt"]).groupBy("host", "form").agg(F.collect_list("tree").alias("templates"))
+    salts = pages.select("host", "form", "salt").distinct()
+    return salts.join(found, ["host", "form"])
 
 
 def main_text(
@@ -353,7 +367,6 @@ def main_text(
     url_col: str = "url",
     html_col: str = "html",
     least: int = TEMPLATE_PAGES,
-    share: float = TEMPLATE_SHARE,
 ) -> DataFrame:
     """One row per input row: id, url, text, n_chars, n_template_blocks.
 
@@ -364,11 +377,12 @@ def main_text(
     spark = pages.sparkSession
     rows = pages.select(F.col(id_col).cast("long").alias("_id"), F.col(url_col).alias("_url"), F.col(html_col).alias("_html"))
     parsed = rows.mapInArrow(parse_pages, _PARSED).withColumn("host", host_of(F.col("_url")))
+    parsed = parsed.withColumn("salt", F.xxhash64("_id") % SALTS)
     # Hashes are kept from the first pass, texts are parsed once more: they are far larger.
     path = fresh_path(spark, "subtrees")
-    parsed.select("host", "body", "trees").write.parquet(path)
-    templates = host_templates(spark.read.parquet(path), least, share)
-    joined = parsed.drop("trees", "body").join(templates, "host", "left")
+    parsed.select("host", "body", "form", "salt", "trees").write.parquet(path)
+    templates = host_templates(spark.read.parquet(path), least)
+    joined = parsed.drop("trees", "body").join(templates, ["host", "form", "salt"], "left")
     none = F.array().cast("array<bigint>")
     kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["path"], F.coalesce("templates", none)))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n")

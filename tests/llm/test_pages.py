@@ -97,6 +97,20 @@ def test_recurring_subtrees_go_and_articles_stay(spark):
     assert got[42] == "Shared words\n\nOwn 2"
 
 
+def test_templates_do_not_depend_on_the_size_of_the_host(spark):
+    page = "<body><div><p>Notice number {}</p></div><div><p>Text number {}</p></div></body>"
+    # Each of 15 notices is on 4 pages of 60, a fifteenth of them; null ids and equal pages, too.
+    rows = [(i, "http://big.example/p", page.format(i % 15, i)) for i in range(60)]
+    rows += [(None, "http://big.example/q", page.format("0", 0))] * 30
+    rows += [(100, "http://big.example/r", page.format("alone", 100)), (101, "http://big.example/s", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = html_template.main_text(pages).collect()
+    assert sorted((r.page_id for r in got), key=str) == sorted((r[0] for r in rows), key=str)
+    want = {i: (f"Text number {i}", 1) for i in range(60)}
+    want |= {None: ("Text number 0", 1), 100: ("Notice number alone\n\nText number 100", 0), 101: ("", 0)}
+    assert {r.page_id: (r.text, r.n_template_blocks) for r in got} == want
+
+
 def rows_of(df):
     return sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in df.collect()), key=str)
 
