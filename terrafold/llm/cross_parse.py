@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,24 +131,29 @@ def has_letter(text: bytes) -> bool:
 
 
 def training_texts(docs: DataFrame, held_out: Column, id_col: str, text_col: str, lang_col: str) -> dict[str, bytes]:
-    """Bounded labelled text per language, chosen by a hash of the id.
+    """Bounded labelled text per language, chosen by a hash of id and text; rows equal in both count once.
 
-    The driver gets a few times SAMPLE_DOCS snippets of SAMPLE_BYTES a language and nothing else.
+    The driver gets SAMPLE_DOCS snippets of SAMPLE_BYTES a language at most and nothing else. Where a
+    snippet starts is drawn by itself, so snippets are from all over the texts, however many there are.
     """
     usable = ~F.coalesce(held_out, F.lit(True)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
-    draw = (F.xxhash64(F.col(id_col), F.lit("lang")) / F.lit(float(1 << 64))) + 0.5
+    draw = (F.xxhash64(F.col(id_col), F.col(text_col), F.lit("lang")) / F.lit(float(1 << 64))) + 0.5
+    begin = F.xxhash64(F.col(id_col), F.col(text_col), F.lit("start"))
     labelled = docs.select(
-        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), draw.alias("draw"), usable.alias("ok")
+        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), draw.alias("draw"), begin.alias("begin"), usable.alias("ok")
     ).filter("ok")
-    share = labelled.groupBy("lang").agg((F.lit(4.0 * SAMPLE_DOCS) / F.count("*")).alias("share"))
-    start = F.floor(F.col("draw") * 7919) % F.greatest(F.length("text") - SAMPLE_BYTES, F.lit(1)) + 1
+    share = labelled.groupBy("lang").agg((F.lit(4.0 * SAMPLE_DOCS) / F.approx_count_distinct("draw")).alias("share"))
+    start = F.pmod("begin", F.greatest(F.length("text") - SAMPLE_BYTES + 1, F.lit(1)).cast("long")) + 1
     # One row of two numbers for each language.
     near = labelled.join(F.broadcast(share), "lang").filter(F.col("draw") <= F.col("share"))
-    rows = near.select("lang", "draw", F.substring("text", start.cast("int"), F.lit(SAMPLE_BYTES)).alias("part")).collect()
+    parts = near.select("lang", "draw", F.substring("text", start.cast("int"), F.lit(SAMPLE_BYTES)).alias("part"))
+    parts = parts.dropDuplicates(["lang", "draw", "part"])
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "part"))
+    rows = parts.withColumn("place", place).filter(F.col("place") <= SAMPLE_DOCS).collect()
     table = bytes(symbols())
     out: dict[str, bytes] = {}
     for lang in sorted({r.lang for r in rows}):
-        chosen = sorted((r for r in rows if r.lang == lang), key=lambda r: (r.draw, r.part))[:SAMPLE_DOCS]
+        chosen = sorted((r for r in rows if r.lang == lang), key=lambda r: r.place)
         parts = (r.part.encode()[:SAMPLE_BYTES] for r in chosen)
         text = b" ".join(" ".join(p.translate(table).decode("utf-8", "ignore").split()).encode() for p in parts)
         if has_letter(text):

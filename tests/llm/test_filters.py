@@ -42,6 +42,19 @@ def test_languages_of_edge_cases(spark):
     assert kept.columns == docs.columns
 
 
+def test_training_texts_of_large_tables(spark):
+    halves = F.concat(F.repeat(F.lit("abcd "), 800), F.repeat(F.lit("wxyz "), 800))
+    many = spark.range(20000).select(F.col("id").alias("doc_id"), halves.alias("text"), F.lit("a").alias("lang"))
+    one = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.format_string("null row %d", "id").alias("text"), F.lit("b").alias("lang"))
+    same = spark.range(4000).select(F.lit(7).cast("long").alias("doc_id"), F.format_string("same row %d", "id").alias("text"), F.lit("c").alias("lang"))
+    copies = spark.range(4000).select(F.lit(8).cast("long").alias("doc_id"), F.lit("copied row").alias("text"), F.lit("d").alias("lang"))
+    docs = many.unionByName(one).unionByName(same).unionByName(copies)
+    got = cross_parse.training_texts(docs, F.lit(False), "doc_id", "text", "lang")
+    # Snippets come from all over the texts.
+    assert 0.3 < got["a"].count(b"wxyz") / (got["a"].count(b"wxyz") + got["a"].count(b"abcd")) < 0.7
+    assert got["b"].count(b"null") == got["c"].count(b"same") == cross_parse.SAMPLE_DOCS and got["d"] == b"copied row"
+
+
 def test_phrases_are_longest_matches():
     texts = {"a": b"abracadabra", "b": b"cab"}
     model = cross_parse.parse_tables(texts)
