@@ -67,12 +67,12 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def rounds(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Row range, bytes and offsets of consecutive rows, about ROUND_BYTES at a time."""
+def rounds(column: pa.Array, size: int = ROUND_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Row range, bytes and offsets of consecutive rows, about ``size`` bytes at a time."""
     data, offsets = text_bytes(column)
     row, n = 0, len(offsets) - 1
     while row < n:
-        end = int(np.searchsorted(offsets, offsets[row] + ROUND_BYTES, "right")) - 1
+        end = int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1
         end = min(n, max(row + 1, end))
         yield row, end, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cross_parse, cuckoo, decontaminate, html_template, mixing, novelty, prefix_tree, run_index, toxicity, warc_zip
+from . import cross_parse, cuckoo, decontaminate, html_template, mixing, novelty, piece_agenda, prefix_tree, run_index, run_links, toxicity, warc_zip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,6 +76,35 @@ def op10_prefix_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return found.drop("items", "text_key")
 
 
+def op11_link_cut_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Periodic runs of words in every document, some of which a faulty source repeats."""
+    key = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    return run_links.runs_of_words(table(spark, sf, "documents"), key).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_piece_agenda(spark: SparkSession, sf: str, model: str = "piece_bpe_32k.model") -> DataFrame:
+    """Every document in pieces of a public vocabulary, and back."""
+    import public_tokenizers
+
+    found = piece_agenda.tokenize(table(spark, sf, "documents"), public_tokenizers.path(model))
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_site_templates": op1_site_templates,
     "op2_zip_archives": op2_zip_archives,
@@ -87,6 +116,8 @@ QUERIES: dict[str, Query] = {
     "op8_kernel_toxicity": op8_kernel_toxicity,
     "op9_cross_parse_language": op9_cross_parse_language,
     "op10_prefix_decontamination": op10_prefix_decontamination,
+    "op11_link_cut_runs": op11_link_cut_runs,
+    "op13_piece_agenda": op13_piece_agenda,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -146,4 +177,55 @@ ORACLES: dict[str, str] = {
                doc_id = max(doc_id) OVER same AS kept, sha256(lowered) AS text_sha256
         FROM (SELECT doc_id, {_LOWER} AS lowered FROM documents)
         WINDOW same AS (PARTITION BY lowered)""",
+    # Every period at which some 8 words come again, tried over its whole document.
+    "op11_link_cut_runs": r"""
+        WITH texts AS (
+            SELECT row_number() OVER () AS id, doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS digits,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ),
+        keys AS (
+            SELECT id, doc_id, words, len(words)::BIGINT AS n,
+                   xor(list_reduce(list_concat([4294967295::BIGINT], [ascii(c)::BIGINT FOR c IN string_split(digits, '') IF c <> '']), lambda h, c:
+                       list_reduce(list_concat([xor(h, c)], [0::BIGINT FOR i IN range(8)]),
+                                   lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT) AS h
+            FROM texts
+        ),
+        begun AS (SELECT *, h // 10 AS g, CASE WHEN n > 0 THEN (h // 10) % n END AS a FROM keys),
+        made AS (
+            SELECT id, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+                THEN [words[(CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END + 1)::BIGINT] FOR i IN range(n)]
+                ELSE words END AS words
+            FROM begun
+        ),
+        placed AS (SELECT id, n, unnest(range(n)) AS i, unnest(words) AS w FROM made),
+        grams AS (
+            SELECT id, n, i, array_to_string(array_agg(w) OVER (PARTITION BY id ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING), ' ') AS g
+            FROM placed
+        ),
+        periods AS (
+            SELECT DISTINCT x.id, y.i - x.i AS q
+            FROM (SELECT * FROM grams WHERE i + 8 <= n) x JOIN grams y ON x.id = y.id AND x.g = y.g AND y.i > x.i AND 3 * (y.i - x.i) <= x.n
+            WHERE y.i + 8 <= y.n
+        ),
+        alike AS (
+            SELECT p.id, q, y.i, y.i - row_number() OVER (PARTITION BY p.id, q ORDER BY y.i) AS island
+            FROM periods p JOIN placed x ON x.id = p.id JOIN placed y ON y.id = p.id AND y.i = x.i + q AND y.w = x.w
+        ),
+        repeated AS (SELECT id, q, min(i) - q AS s, count(*) + q AS m FROM alike GROUP BY id, q, island),
+        runs AS (SELECT id, s, m, min(q) AS q FROM repeated WHERE m >= greatest(24, 3 * q) GROUP BY id, s, m),
+        gone AS (SELECT DISTINCT id, unnest(range(s + q, s + m)) AS i FROM runs),
+        kept AS (
+            SELECT p.id, string_agg(w, ' ' ORDER BY p.i) AS collapsed
+            FROM placed p LEFT JOIN gone g ON p.id = g.id AND p.i = g.i WHERE g.i IS NULL GROUP BY p.id
+        ),
+        best AS (
+            SELECT * FROM runs
+            QUALIFY row_number() OVER (PARTITION BY id ORDER BY m // q DESC, (m % q)::DOUBLE / q DESC, s, q) = 1
+        ),
+        listed AS (SELECT id, count(*) AS n_runs, string_agg(s || ',' || m || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM runs GROUP BY id)
+        SELECT m.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, b.s::BIGINT AS start, b.m::BIGINT AS length, b.q::BIGINT AS period,
+               (1000 * b.m // b.q)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+               sha256(coalesce(collapsed, '')) AS collapsed_sha256
+        FROM made m LEFT JOIN listed USING (id) LEFT JOIN best b USING (id) LEFT JOIN kept USING (id)""",
 }
