@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cross_parse, cuckoo, decontaminate, html_template, mixing, novelty, piece_agenda, prefix_tree, run_index, run_links, toxicity, warc_zip
+from . import collocations, cross_parse, cuckoo, decontaminate, html_template, mixing, novelty, piece_agenda, prefix_tree, run_index, run_links, toxicity, warc_zip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,6 +92,11 @@ def op11_link_cut_runs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op12_multikey_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    """The leading collocations of every language of the documents."""
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
 def op13_piece_agenda(spark: SparkSession, sf: str, model: str = "piece_bpe_32k.model") -> DataFrame:
     """Every document in pieces of a public vocabulary, and back."""
     import public_tokenizers
@@ -117,6 +122,7 @@ QUERIES: dict[str, Query] = {
     "op9_cross_parse_language": op9_cross_parse_language,
     "op10_prefix_decontamination": op10_prefix_decontamination,
     "op11_link_cut_runs": op11_link_cut_runs,
+    "op12_multikey_collocations": op12_multikey_collocations,
     "op13_piece_agenda": op13_piece_agenda,
 }
 
@@ -228,4 +234,39 @@ ORACLES: dict[str, str] = {
                (1000 * b.m // b.q)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
                sha256(coalesce(collapsed, '')) AS collapsed_sha256
         FROM made m LEFT JOIN listed USING (id) LEFT JOIN best b USING (id) LEFT JOIN kept USING (id)""",
+    "op12_multikey_collocations": rf"""
+        WITH texts AS (SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang, {_LOWER} AS text FROM documents),
+        pieces AS (SELECT id, lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
+        words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        grams AS (
+            SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+            FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (VALUES (1), (2), (3)) sizes(k))
+        ),
+        counts AS MATERIALIZED (
+            SELECT lang, phrase, lang || chr(10) || phrase AS key, any_value(k) AS k, count(*)::HUGEINT AS n FROM grams GROUP BY lang, phrase
+        ),
+        totals AS (SELECT lang, sum(n)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+        cuts AS (
+            SELECT lang, phrase, n AS a, cut, string_split(phrase, ' ') AS w
+            FROM (SELECT *, unnest(range(1, k)) AS cut FROM counts WHERE k > 1 AND n >= 10)
+        ),
+        scored AS (
+            SELECT c.lang, c.phrase, a, cut, f.n AS l, r.n AS r, 1000000::HUGEINT * a * a // (f.n * r.n) AS score
+            FROM cuts c JOIN counts f ON f.key = c.lang || chr(10) || array_to_string(w[1:cut], ' ')
+                        JOIN counts r ON r.key = c.lang || chr(10) || array_to_string(w[cut + 1:], ' ')
+        ),
+        lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+        inner_parts AS (
+            SELECT lang, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '), array_to_string(string_split(phrase, ' ')[2:3], ' ')]) AS phrase, n
+            FROM counts WHERE k = 3 AND n >= 10
+        ),
+        longest AS (SELECT lang, phrase, max(n) AS n FROM inner_parts GROUP BY lang, phrase),
+        free AS (
+            SELECT s.* FROM lowest s LEFT JOIN longest x ON x.lang = s.lang AND x.phrase = s.phrase
+            WHERE x.n IS NULL OR 100 * x.n < 50 * s.a
+        )
+        SELECT f.lang, row_number() OVER (PARTITION BY f.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+               a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, t.n, score::BIGINT AS score
+        FROM free f JOIN totals t ON t.lang = f.lang
+        QUALIFY rank <= 2000""",
 }

@@ -109,3 +109,54 @@ def secrets(text):
     spans += [(m.start(), 2, f"hex:{m.start()}:{m.end()}") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
     digest = hashlib.sha256(",".join(s[2] for s in sorted(spans)).encode()).hexdigest()
     return (*(sum(k == kind for _, k, _ in spans) for kind in range(3)), digest)
+
+
+def runs(words, least=24, times=3):
+    """(start, length, period) of every run, by start, then period: each period tried over all words."""
+    best = {}
+    for period in range(1, len(words) // times + 1):
+        at = period
+        while at < len(words):
+            end = at
+            while end < len(words) and words[end] == words[end - period]:
+                end += 1
+            if end > at and end - at + period >= max(least, times * period):
+                best.setdefault((at - period, end), period)
+            at = max(end, at + 1)
+    return sorted(((s, e - s, q) for (s, e), q in best.items()), key=lambda r: (r[0], r[2]))
+
+
+def looped(words, number):
+    """Words of a document that its source repeats."""
+    n, g = len(words), number // 10
+    if number % 10 or not n:
+        return words
+    begin = g % n
+    period = 1 + (n - begin) // (3 + g % 8)
+    return [words[i if i < begin else begin + (i - begin) % period] for i in range(n)]
+
+
+def collocations(rows, least=10, share=50, top=2000):
+    """(lang, rank, phrase, a, l, r, n, score) of (id, lang, text)."""
+    counts, totals = collections.Counter(), collections.Counter()
+    for _, lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            for n in (1, 2, 3):
+                counts.update((lang, *words[i : i + n]) for i in range(len(words) - n + 1))
+    phrases = {p: n for p, n in counts.items() if len(p) > 2 and n >= least}
+    out = collections.defaultdict(list)
+    for (lang, *words), a in phrases.items():
+        longer = [n for (of, *more), n in phrases.items() if of == lang and len(more) > len(words) and tuple(words) in (tuple(more[:2]), tuple(more[1:]))]
+        if any(100 * n >= share * a for n in longer):
+            continue
+        cuts = ((counts[(lang, *words[:k])], counts[(lang, *words[k:])], k) for k in range(1, len(words)))
+        score, _, left, right = min((1000000 * a * a // (x * y), k, x, y) for x, y, k in cuts)
+        out[lang].append((-score, -a, " ".join(words).encode(), left, right))
+    return [
+        (lang, rank, phrase.decode(), -a, left, right, totals[lang], -score)
+        for lang, found in out.items()
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(found)[:top], 1)
+    ]
