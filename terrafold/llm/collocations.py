@@ -20,14 +20,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import materialized
-from .arrays import WordHasher, lower_table, mixed, rounds
+from .arrays import WordHasher, lower_table, mixed, rounds, word_spans
 
 #: Words of the longest phrase.
 LONGEST = 3
 #: Suffixes a bucket holds, and slots in which the load of leading words is measured.
-BUCKET, SLOT_BITS = 1 << 21, 16
+BUCKET, SLOT_BITS = 1 << 20, 16
 #: Words that are combined before they are sent, and bytes of text read at once.
-CHUNK, TEXT_ROUND = 1 << 20, 4 << 20
+CHUNK, TEXT_ROUND = 1 << 19, 2 << 20
 #: Rows of a word count that hot words' candidates are spread over.
 SALTS = 16
 _CODE = 21
@@ -62,16 +62,10 @@ class Reader:
         names, numbers = langs.dictionary.to_pylist(), langs.indices.to_numpy().astype(np.int64)
         for begin, end, data, offsets in rounds(batch.column("_text"), TEXT_ROUND):
             data = self.lower[data]
-            inside = self.word[data]
-            edge = np.diff(inside.view(np.int8), prepend=0, append=0)
-            starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-            # A word that runs on from one row into the next is two.
-            cuts = offsets[1:-1]
-            cuts = cuts[(cuts > 0) & (cuts < len(data))]
-            cuts = np.unique(cuts[inside[cuts] & inside[cuts - 1]])
-            starts, ends = np.union1d(starts, cuts), np.union1d(ends, cuts)
-            row = np.searchsorted(offsets, starts, "right") - 1
-            broken = np.concatenate([[0], np.cumsum(self.breaks[data])])
+            starts, ends, first = word_spans(data, offsets, self.word)
+            row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+            broken = np.zeros(len(data) + 1, np.int32)
+            np.cumsum(self.breaks[data], out=broken[1:])
             joined = np.zeros(len(starts) + 1, bool)
             joined[: max(0, len(starts) - 1)] = (broken[starts[1:]] == broken[ends[:-1]]) & (row[1:] == row[:-1])
             follow = joined[:-1].astype(np.int8)
@@ -126,14 +120,17 @@ def loads(docs: DataFrame, slot_bits: int) -> DataFrame:
 
 def packed_suffixes(words: pa.Array, codes: np.ndarray, counts: np.ndarray, depth: np.ndarray) -> bytes:
     """Suffixes as compressed bytes: numbers of their words (0: none), counts, leading words that chose the bucket."""
-    used, own = np.unique(np.maximum(codes - 1, 0), return_inverse=True)
-    own = np.where(codes > 0, own.reshape(codes.shape) + 1, 0).astype(np.uint32)
+    ordered = np.sort(codes, axis=None)
+    used = ordered[np.flatnonzero(np.diff(ordered, prepend=0))]
+    own = (np.searchsorted(used, codes) + 1).astype(np.uint32)
+    own[codes == 0] = 0
     own[0] = np.diff(own[0].astype(np.int64), prepend=0)
-    texts = words.take(pa.array(used))
-    sizes = np.diff(np.frombuffer(texts.buffers()[1], np.int64)[: len(used) + 1])
+    texts = words.take(pa.array(used - 1))
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[: len(used) + 1]
     head = np.array([codes.shape[1], len(used)], np.int64)
-    parts = (head, own, counts.astype(np.uint32), depth.astype(np.uint8), sizes.astype(np.uint32))
-    raw = b"".join(p.tobytes() for p in parts) + b"".join(texts.to_pylist())
+    parts = (head, own, counts.astype(np.uint32), depth.astype(np.uint8), np.diff(offsets).astype(np.uint32))
+    letters = memoryview(texts.buffers()[2])[offsets[0] : offsets[-1]]
+    raw = b"".join([*(p.tobytes() for p in parts), letters])
     return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
@@ -163,11 +160,8 @@ def routed(docs: DataFrame, heavy: list[np.ndarray], buckets: int, slot_bits: in
         shift = np.uint64(64 - slot_bits)
         for batch in batches:
             for data, starts, ends, numbers, names, follow, hashes in reader(batch):
-                letters = np.zeros(len(data) + 1, np.int8)
-                np.add.at(letters, starts, 1)
-                np.add.at(letters, ends, -1)
                 cuts = np.concatenate([[0], np.cumsum(ends - starts)])
-                text = pa.py_buffer(data[np.cumsum(letters[:-1], dtype=np.int8).astype(bool)])
+                text = pa.py_buffer(data[reader.word[data]])
                 spelled = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(cuts), text]).dictionary_encode()
                 vocabulary, known = spelled.dictionary, spelled.indices.to_numpy().astype(np.int64)
                 of_lang = np.array([reader.lang_hash(n) for n in names], np.uint64)
@@ -223,51 +217,45 @@ def equal_partitions(
     Every turn divides all partitions by the word of a pointer in their middle: into those before it,
     equal to it, and after it; equal ones go on with the next word.
     """
-    pointers = np.flatnonzero(keys[0] > 0)
+    pointers = np.flatnonzero(keys[0] > 0).astype(np.int32)
     begins, level = np.zeros(min(1, len(pointers)), np.int64), np.zeros(min(1, len(pointers)), np.int64)
+    flat, width = keys.ravel(), keys.shape[1]
     spread = bool((depth > 1).any())
     while len(pointers):
         sizes = np.diff(begins, append=len(pointers))
-        part = np.repeat(np.arange(len(begins)), sizes)
-        key = keys[level[part], pointers] if len(level) > 1 else keys[level[0], pointers]
-        pivot = key[begins + sizes // 2][part]
-        cells: list[np.ndarray] = []
-        counts = []
-        for side in (key < pivot, key == pivot, key > pivot):
-            running = np.cumsum(side)
-            before = np.concatenate([[0], running])[begins]
-            counts.append(np.diff(before, append=running[-1]))
-            cells.append(np.flatnonzero(side))
-            cells.append((running[cells[-1]] - 1) - before[part[cells[-1]]])
-        sizes3 = np.stack(counts, 1)
-        starts3 = begins[:, None] + np.concatenate([np.zeros((len(begins), 1), np.int64), np.cumsum(sizes3, 1)[:, :-1]], 1)
-        moved = np.empty_like(pointers)
-        for side in range(3):
-            i, rank = cells[2 * side], cells[2 * side + 1]
-            moved[starts3[part[i], side] + rank] = pointers[i]
-        sizes3, starts3 = sizes3.ravel(), starts3.ravel()
-        words = np.stack([level + 1, level + 2, level + 1], 1).ravel()
-        real = np.flatnonzero(sizes3)
-        starts, sizes, words = starts3[real], sizes3[real], words[real]
-        equal = real % 3 == 1
-        sums = np.add.reduceat(weights[moved], starts)
+        # A partition's place in the keys of its level.
+        key = flat[np.repeat(level * width, sizes) + pointers]
+        pivot = np.repeat(key[begins + sizes // 2], sizes)
+        side = np.repeat(np.arange(0, 3 * len(begins), 3), sizes)
+        side += key >= pivot
+        side += key > pivot
+        # A stable sort by partition and side; few enough of them are sorted by counting.
+        order = np.argsort(side.astype(np.uint16) if len(begins) < 21_845 else side, kind="stable")
+        pointers = pointers[order]
+        sizes = np.bincount(side, minlength=3 * len(begins))
+        words = np.repeat(level + 1, 3)
+        words[1::3] += 1
+        real = np.flatnonzero(sizes)
+        sizes, words = sizes[real], words[real]
+        starts = np.cumsum(sizes) - sizes
+        sums = np.add.reduceat(weights[pointers], starts, dtype=np.int64)
         heavy = sums >= least
         # Phrases of fewer words than this are shared with other buckets.
-        reach = np.maximum.reduceat(depth[moved], starts) if spread else np.ones(len(starts), np.int64)
-        told = equal & (heavy | (reach > words - 1))
+        reach = np.maximum.reduceat(depth[pointers], starts) if spread else np.ones(len(starts), np.int64)
+        told = (real % 3 == 1) & (heavy | (reach > words - 1))
         for n in range(1, keys.shape[0] + 1):
             which = np.flatnonzero(told & (words == n + 1))
             if len(which):
-                yield n, moved[starts[which]], sums[which]
+                yield n, pointers[starts[which]], sums[which]
         stay = (heavy | (reach > words)) & (words <= keys.shape[0])
-        alive = np.repeat(stay, sizes)
-        part = np.repeat(np.arange(len(starts)), sizes)[alive]
-        pointers = moved[alive]
+        pointers = pointers[np.repeat(stay, sizes)]
+        sizes, level = sizes[stay], words[stay] - 1
         # Suffixes that have ended leave.
-        going = keys[words[part] - 1, pointers] > 0
-        pointers, part = pointers[going], part[going]
-        begins = np.flatnonzero(np.diff(part, prepend=-1))
-        level = words[part[begins]] - 1
+        going = flat[np.repeat(level * width, sizes) + pointers] > 0
+        left = np.add.reduceat(going, np.cumsum(sizes) - sizes, dtype=np.int64) if len(sizes) else sizes
+        pointers = pointers[going]
+        sizes, level = left[left > 0], level[left > 0]
+        begins = np.cumsum(sizes) - sizes
 
 
 def counted(parts: DataFrame, least: int) -> DataFrame:
@@ -278,18 +266,24 @@ def counted(parts: DataFrame, least: int) -> DataFrame:
         together = pa.chunked_array(vocabularies).combine_chunks().dictionary_encode()
         numbers = np.concatenate([[0], together.indices.to_numpy().astype(np.int64) + 1])
         shift = np.concatenate([[0], np.cumsum([len(v) for v in vocabularies])])
-        keys = np.concatenate(
-            [numbers[np.where(own > 0, own + s, 0)] for own, s in zip(owns, shift[:-1], strict=True)], 1
-        ).astype(np.int32)
-        # A word holds no blank, a language may.
-        split = [w.rsplit(b" ", 1) for w in together.dictionary.to_pylist()]
-        langs, words = (pa.array([s[i].decode() for s in split], pa.string()) for i in (0, 1))
-        found = equal_partitions(keys, np.concatenate(counts), np.concatenate(depths).astype(np.int64), least)
-        for n, pointer, weight in found:
-            columns = [words.take(pa.array(keys[k, pointer] - 1)) for k in range(n)]
+        keys = np.empty((LONGEST, sum(o.shape[1] for o in owns)), np.int32)
+        at = 0
+        for own, s in zip(owns, shift[:-1], strict=True):
+            keys[:, at : at + own.shape[1]] = numbers[np.where(own > 0, own + s, 0)]
+            at += own.shape[1]
+        weights, depth = np.concatenate(counts).astype(np.int32), np.concatenate(depths)
+        for n, pointer, weight in equal_partitions(keys, weights, depth, least):
+            codes = keys[:n, pointer] - 1
+            used, place = np.unique(codes, return_inverse=True)
+            place = place.reshape(codes.shape)
+            spelled = together.dictionary.take(pa.array(used)).cast(pa.large_string()).cast(pa.string())
+            # A word holds no blank, a language may.
+            words = pc.replace_substring_regex(spelled, "(?s)^.* ", "")
+            langs = pc.replace_substring_regex(spelled, "(?s) [^ ]*$", "")
+            columns = [words.take(pa.array(place[k])) for k in range(n)]
             texts = pc.binary_join_element_wise(*columns, " ") if n > 1 else columns[0]
             yield pa.RecordBatch.from_arrays(
-                [langs.take(pa.array(keys[0, pointer] - 1)), texts, pa.array(np.full(len(pointer), n), pa.int64()), pa.array(weight, pa.int64())],
+                [langs.take(pa.array(place[0])), texts, pa.array(np.full(len(pointer), n), pa.int64()), pa.array(weight, pa.int64())],
                 ["lang", "phrase", "words", "n"],
             )
 
