@@ -132,9 +132,10 @@ def _ring(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
 
 
 def box_to_polygon(bounds: Column) -> Column:
-    """Counter-clockwise ring from the lower left corner."""
+    """Counter-clockwise ring from the lower left corner; a box across the antimeridian has none and is refused."""
     ring = _ring(*[bounds[name] for name in BOX_FIELDS])
-    return F.when(bounds.isNotNull(), F.array(ring))
+    wraps = F.raise_error(F.lit("A box across the antimeridian is no polygon; make it a multipolygon"))
+    return F.when(box_wraps(bounds), wraps.cast("array<array<struct<x:double,y:double>>>")).when(bounds.isNotNull(), F.array(ring))
 
 
 def box_wraps(bounds: Column) -> Column:

@@ -66,8 +66,16 @@ def crs_variants(spark, systems: list[str], labels: list[str]) -> DataFrame:
     if len(systems) != len(labels):
         raise ValueError("As many labels as coordinate systems are needed")
     row = spark.createDataFrame([(systems, labels)], "crs array<string>, label array<string>")
-    pairs = row.select(F.posexplode(F.arrays_zip("crs", "label")).alias("pos", "pair"))
-    return pairs.select("pos", "pair.crs", "pair.label")
+    return pair_lists(row, "crs", "label")
+
+
+def pair_lists(df: DataFrame, left: str, right: str) -> DataFrame:
+    """Two lists of each row side by side by position; lists of unequal length are an error."""
+    rest = [c for c in df.columns if c not in (left, right)]
+    uneven = F.raise_error(F.lit(f"{left} and {right} differ in length"))
+    pairs = F.when(F.size(left) == F.size(right), F.arrays_zip(left, right)).otherwise(uneven)
+    rows = df.select(*rest, F.posexplode(pairs).alias("pos", "pair"))
+    return rows.select(*rest, "pos", f"pair.{left}", f"pair.{right}")
 
 
 def _plane_only(tag: GeometryTag, what: str) -> None:

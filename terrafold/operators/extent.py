@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.coords import box_wraps, flat_coords, make_box
@@ -29,6 +29,58 @@ def extent(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     return boxes.groupBy(*keys).agg(*extent_of_boxes(F.col("box")))
 
 
+#: Cells that longitudes are counted in; a gap narrower than one of them is not taken out of an extent.
+ARC_CELLS = 1 << 16
+
+
+def wrapped_extent(df: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Bounds on the circle of longitudes: xmin, ymin, xmax, ymax, with xmax < xmin across the antimeridian.
+
+    Boxes are arcs. What is left of the circle without its widest gap is the extent; of equally wide gaps the
+    one with the smallest longitude after it goes. Where no gap is as wide as a cell, that is
+    360 / ARC_CELLS degrees, the extent is -180 to 180. Arcs that begin in a cell merge to their first begin and
+    last end before the shuffle, so a key of any size is ARC_CELLS rows at most; a gap as wide as a cell always
+    ends at the first begin of a cell, so the result is exact. Null and empty values count nowhere, and a key with nothing else
+    has no row.
+    """
+    keys = by or []
+    west, width = F.col("box.xmin"), 360.0 / ARC_CELLS
+    east = F.when(box_wraps(F.col("box")), F.col("box.xmax") + 360.0).otherwise(F.col("box.xmax"))
+    boxes = df.select(*keys, box_column(df).alias("box")).filter(F.col("box").isNotNull())
+    arcs = boxes.select(
+        *keys,
+        F.least(F.lit(ARC_CELLS - 1), F.floor((west + 180.0) / width)).cast("int").alias("cell"),
+        west.alias("west"),
+        F.struct(east.alias("to"), F.col("box.xmax").alias("stated")).alias("end"),
+        F.col("box.ymin").alias("ymin"),
+        F.col("box.ymax").alias("ymax"),
+    )
+    cells = arcs.groupBy(*keys, "cell").agg(
+        F.min("west").alias("west"), F.max("end").alias("end"), F.min("ymin").alias("ymin"), F.max("ymax").alias("ymax")
+    )
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    # An arc may reach around into the cells before its own.
+    around = F.max("end").over(group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    around = F.struct((around["to"] - 360.0).alias("to"), around["stated"].alias("stated"))
+    placed = cells.withColumns({"last": F.max("end").over(before), "around": around})
+    reach = F.when(F.col("last").isNull() | (F.col("last.to") < F.col("around.to")), F.col("around")).otherwise(F.col("last"))
+    gaps = placed.withColumn("reach", reach).withColumn("gap", F.col("west") - F.col("reach.to"))
+    widest = gaps.groupBy(*keys).agg(
+        F.max(F.struct("gap", (-F.col("west")).alias("order"), "west", "reach")).alias("w"),
+        F.min("ymin").alias("ymin"),
+        F.max("ymax").alias("ymax"),
+    )
+    found = F.col("w.gap") >= width
+    return widest.select(
+        *keys,
+        F.when(found, F.col("w.west")).otherwise(-180.0).alias("xmin"),
+        "ymin",
+        F.when(found, F.col("w.reach.stated")).otherwise(180.0).alias("xmax"),
+        "ymax",
+    ).filter(F.col("ymin").isNotNull())
+
+
 def extent_box(df: DataFrame) -> DataFrame:
     """Total bounds as one row with one box column."""
     total = extent(df)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.coords import box_midpoint
 from ..functions.hilbert import grid_cell, walk_curve
-from ..sources.shared import materialized
 from .columns import box_column
 from .extent import extent_box
 
@@ -62,43 +62,116 @@ def cluster(
     return laid.sortWithinPartitions(*order).drop("__hilbert")
 
 
-def with_rank(
-    df: DataFrame, order_by: list[str], within: list[str] | None = None, name: str = "rank"
-) -> DataFrame:
-    """Row number from 0 by ``order_by`` (a unique key) inside each group of ``within``.
+#: Sampled rows for each range of an order, and the most ranges an order is cut into.
+SAMPLE_PER_RANGE, MOST_RANGES = 64, 4096
+#: Rows of a range.
+RANGE_ROWS = 1 << 18
+
+
+def range_cuts(df: DataFrame, keys: list[str], ranges: int | None = None) -> list[Row]:
+    """Tuples of ``keys`` that cut the table into about equal ranges, drawn once by a hash of the keys.
+
+    The driver gets SAMPLE_PER_RANGE rows a range, expected, and at most MOST_RANGES ranges.
+    Fewer cuts than asked for come back where rows share their keys.
+    """
+    rows = df.select(*keys)
+    total = rows.count()
+    ranges = min(MOST_RANGES, ranges or -(-total // RANGE_ROWS))
+    if total == 0 or ranges < 2:
+        return []
+    share = min(1.0, SAMPLE_PER_RANGE * ranges / total)
+    draw = F.xxhash64(*keys) / F.lit(float(1 << 64)) + 0.5
+    drawn = _where(rows, draw <= share).orderBy(*keys).collect()
+    picked = [drawn[len(drawn) * i // ranges] for i in range(1, ranges)] if drawn else []
+    return [c for i, c in enumerate(picked) if i == 0 or c != picked[i - 1]]
+
+
+def _where(df: DataFrame, condition: Column) -> DataFrame:
+    """A filter that stays above the expressions its columns come from.
+
+    Pushed below them it would hold a copy of each, the curve's whole walk, for instance.
+    """
+    # Rows with a number that depends on their place cannot be filtered any earlier.
+    marked = df.withColumn("__place", F.monotonically_increasing_id())
+    return marked.filter(condition & (F.col("__place") >= 0)).drop("__place")
+
+
+def _tuple(df: DataFrame, keys: list[str], values: Row | None = None) -> Column:
+    """The keys as one column, or given values of theirs; nulls compare as the smallest."""
+    types = {f.name: f.dataType for f in df.schema}
+    if values is None:
+        return F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    return F.struct(*[F.lit(v).cast(types[k]).alias(f"k{i}") for i, (k, v) in enumerate(zip(keys, values))])
+
+
+def range_number(df: DataFrame, keys: list[str], cuts: list[Row]) -> Column:
+    """How many cuts a row's keys have reached: a balanced tree of comparisons with literals."""
+    own = _tuple(df, keys)
+
+    def place(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        mid = (low + high) // 2
+        return F.when(own >= _tuple(df, keys, cuts[mid]), place(mid + 1, high)).otherwise(place(low, mid))
+
+    return place(0, len(cuts))
 
-    No group passes through one task. Rows are range-partitioned by group and order and
-    written with their position, so that the positions read later are the ones counted.
-    What a partition must add to its positions follows from one count per partition and
-    group; only these counts meet in a window.
+
+def with_running(
+    df: DataFrame, order_by: list[str], within: list[str] | None = None, name: str = "before",
+    weight: str | None = None, ranges: int | None = None,
+) -> DataFrame:
+    """Sum of ``weight`` (1 if none) over the rows before each by ``order_by``, in its group of ``within``.
+
+    ``order_by`` is a unique key. No group passes through one task and no table is written:
+    cuts of the order are drawn once and stand in the plan as literals, so the totals of each range are
+    known before rows are placed, and both passes put every row in the same range. Inside a
+    range a window runs. Only the first group of a range has rows in ranges before it, so the
+    driver holds one sum for each range. The table is computed once for each pass; give a
+    written one where that is dear.
     """
     within = within or []
     keys = [*within, *order_by]
-    laid = (
-        df.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .select("*", F.spark_partition_id().alias("__part"), position_in_partition().alias("__pos"))
-    )
-    laid = materialized(laid, "rank")
-    counts = laid.groupBy(*within, "__part").agg(
-        F.min("__pos").alias("__first"), F.count("*").alias("__rows")
-    )
-    # At most one row per partition for a group.
-    before = Window.partitionBy(*within).orderBy("__part").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    shifts = counts.select(
-        *[F.col(c).alias(f"__w_{c}") for c in within],
-        F.col("__part").alias("__p"),
-        (F.coalesce(F.sum("__rows").over(before), F.lit(0)) - F.col("__first")).alias("__shift"),
-    )
-    same = F.col("__part") == F.col("__p")
-    for c in within:
-        same = same & F.col(c).eqNullSafe(F.col(f"__w_{c}"))
-    # AQE broadcasts the shifts if their measured size allows, else both sides shuffle.
-    return laid.join(shifts, same).select(
-        *df.columns, (F.col("__pos") + F.col("__shift")).alias(name)
-    )
+    cuts = range_cuts(df, keys, ranges)
+    added = F.lit(1) if weight is None else F.col(weight)
+    placed = df.withColumn("__range", range_number(df, keys, cuts))
+    group = _tuple(df, within) if within else F.lit(True)
+    # Rows of group and range, for the groups that begin a range.
+    firsts = {}
+    if cuts and within:
+        for row in placed.groupBy("__range").agg(F.min(group).alias("g")).collect():
+            firsts[row["__range"]] = row["g"]
+        among = F.array_contains(F.array(*[_tuple(df, within, g) for g in firsts.values()]), group)
+        sums = _where(placed, among).groupBy(group.alias("g"), "__range").agg(F.sum(added).alias("n")).collect()
+    elif cuts:
+        sums = placed.groupBy(group.alias("g"), "__range").agg(F.sum(added).alias("n")).collect()
+        firsts = {row["__range"]: True for row in sums}
+    else:
+        sums = []
+    held: dict = {}
+    for row in sums:
+        held.setdefault(row["g"], []).append((row["__range"], row["n"] or 0))
+    shifts = [sum(n for r, n in held.get(firsts.get(i), []) if r < i) for i in range(len(cuts) + 1)]
+    before = Window.partitionBy("__range", *within).orderBy(*order_by)
+    if weight is None:
+        inside = F.row_number().over(before).cast("long") - 1
+    else:
+        inside = F.coalesce(F.sum(added).over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    if any(shifts):
+        shift = F.array(*[F.lit(n) for n in shifts])[F.col("__range")]
+        if within:
+            none = F.lit(None).cast(T.StructType([T.StructField(f"k{i}", df.schema[k].dataType) for i, k in enumerate(within)]))
+            first = F.array(*[_tuple(df, within, firsts[i]) if i in firsts else none for i in range(len(cuts) + 1)])
+            shift = F.when(group.eqNullSafe(first[F.col("__range")]), shift).otherwise(0)
+        inside = inside + shift
+    return placed.select(*df.columns, inside.alias(name))
+
+
+def with_rank(
+    df: DataFrame, order_by: list[str], within: list[str] | None = None, name: str = "rank"
+) -> DataFrame:
+    """Row number from 0 by ``order_by`` (a unique key) inside each group of ``within``."""
+    return with_running(df, order_by, within, name)
 
 
 def first_appearance(df: DataFrame, keys: list[str], ordinal: str) -> DataFrame:

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import io
+import uuid
+import zipfile
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.coords import NAN, coord_struct, make_box
 from ..functions.types import GeometryTag, tagged
 from ..operators.vertices import line_pieces
+from ..sources.shared import list_files, materialized, open_fs
+from .validate import FEATURE_MAGIC
 from .catalog import SUFFIXES
 
 CRS84 = {"crs": "OGC:CRS84", "crs_type": "authority_code"}
@@ -54,6 +61,13 @@ def scaled_points(spark: SparkSession, sf: str, x: str, y: str) -> DataFrame:
     return moved.select(F.col("event_id").alias("fid"), tagged(value, tag))
 
 
+def user_points(spark: SparkSession, sf: str) -> DataFrame:
+    """The position of every event as a point, with its user."""
+    tag = GeometryTag("native", "point", "xy", **CRS84)
+    rows = vertices(spark, sf)
+    return rows.select("user_id", tagged(coord_struct({"x": F.col("x"), "y": F.col("y")}), tag))
+
+
 def tracks(spark: SparkSession, sf: str, piece: int = PIECE) -> DataFrame:
     """A line per user through its events in time, cut into pieces: user_id, piece, geometry."""
     return line_pieces(vertices(spark, sf), ["user_id"], ["ts", "event_id"], piece)
@@ -135,3 +149,85 @@ def manifests(spark: SparkSession, sf: str) -> DataFrame:
         formats.alias("format"),
         F.array(file).alias("files"),
     )
+
+
+def awkward_note() -> Column:
+    """A text with quotes, brackets and backslashes, as strings in JSON may hold."""
+    return F.concat(
+        F.lit('a "'), "p_name", F.lit('" ['), F.col("p_partkey").cast("string"), F.lit("] {"), "p_brand", F.lit('} \\ ]},"features":[ \\"é')
+    )
+
+
+def write_collections(features: DataFrame, path: str) -> None:
+    """One GeoJSON document for each partition of (…, feature), with other keys around its features."""
+
+    def write(batches):
+        files, place = open_fs(path)
+        files.create_dir(place, recursive=True)
+        name, count = f"{uuid.uuid4().hex}.geojson", 0
+        with files.open_output_stream(f"{place}/{name}") as out:
+            out.write(HEAD.encode())
+            for batch in batches:
+                for feature in batch.column("feature").to_pylist():
+                    out.write((",\n  " if count else "").encode() + feature.encode())
+                    count += 1
+            out.write(TAIL.encode())
+        yield pa.RecordBatch.from_arrays([pa.array([count], pa.int64())], ["features"])
+
+    features.mapInArrow(write, "features bigint").agg(F.sum("features")).collect()
+
+
+# What stands around the features of a collection: brackets in strings, a list of the same name further in.
+HEAD = '{"type": "FeatureCollection", "name": "]}{ \\\\", "crs": {"properties": {"features": [{"type": "Feature"}]}},\n"features" : ['
+TAIL = '\n], "other": [{"type": "Feature"}, [1, 2]], "count": 3}'
+
+#: What is done to a copy of a file.
+DAMAGES = ("whole", "truncated", "empty", "misnamed")
+
+
+def _feature_file(path: str, damage: str) -> bytes:
+    """A binary feature file's first bytes and no features, bare or in an archive."""
+    name = path.rpartition("/")[2]
+    data = FEATURE_MAGIC + b"no features"
+    if name.endswith(".zip"):
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w") as archive:
+            archive.writestr(name.removesuffix(".zip"), data)
+        data = packed.getvalue()
+    return data[: {"truncated": 6, "empty": 0}.get(damage, len(data))]
+
+
+def damaged_copies(spark: SparkSession, paths: dict[str, str], root: str) -> DataFrame:
+    """(path, format, damage): copies of one file of each format, some cut, emptied, or under the name of another format.
+
+    Executors copy, a chunk at a time. Binary feature files are made of the first bytes such a file has and a text.
+    """
+    formats = list(paths)
+    rows = [(fmt, damage, paths["tsv"], f"{root}/{damage}{SUFFIXES[fmt]}") for fmt in ("fgb", "fgb/zip") for damage in DAMAGES]
+    for i, fmt in enumerate(formats):
+        for damage in DAMAGES:
+            # Under another name goes a file of another kind.
+            source = "tsv" if fmt != "tsv" else formats[i - 1]
+            rows.append((fmt, damage, paths[source if damage == "misnamed" else fmt], f"{root}/{i}-{damage}{SUFFIXES[fmt]}"))
+    spread = spark.createDataFrame(rows, "format string, damage string, src string, path string").repartition(len(rows))
+
+    def copy(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                source, size = list_files(row["src"], ("",))[0]
+                left = {"truncated": size // 2, "empty": 0}.get(row["damage"], size)
+                files, place = open_fs(source)
+                target, to = open_fs(row["path"])
+                target.create_dir(to.rpartition("/")[0], recursive=True)
+                if row["format"].startswith("fgb") and row["damage"] != "misnamed":
+                    with target.open_output_stream(to) as out:
+                        out.write(_feature_file(to, row["damage"]))
+                    continue
+                with files.open_input_stream(place) as raw, target.open_output_stream(to) as out:
+                    while left > 0 and (chunk := raw.read(min(left, 1 << 20))):
+                        out.write(chunk)
+                        left -= len(chunk)
+            yield batch.select(["path", "format", "damage"])
+
+    made = spread.mapInArrow(copy, "path string, format string, damage string")
+    return materialized(made, "damaged-list")

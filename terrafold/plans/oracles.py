@@ -253,7 +253,9 @@ SELECT fid, seq, round_even(e, 2) AS x, round_even(n, 2) AS y FROM utm""",
     "box_override": f"""WITH {EDITED} SELECT name, xmin, ymin, xmax, ymax, 'MULTIPOLYGON (' || CASE WHEN xmax < xmin
   THEN {_box_ring('xmin', '180e0')} || ', ' || {_box_ring('-180e0', 'xmax')}
   ELSE {_box_ring('xmin', 'xmax')} END || ')' AS wkt FROM edited""",
-    "box_polygon": f"WITH {REGIONS} SELECT name, 'POLYGON ' || {_box_ring('xmin', 'xmax')} AS wkt FROM boxes",
+    "box_polygon": f"""WITH {REGIONS} SELECT name, CASE WHEN xmax < xmin
+  THEN 'MULTIPOLYGON (' || {_box_ring('xmin', '180e0')} || ', ' || {_box_ring('-180e0', 'xmax')} || ')'
+  ELSE 'POLYGON ' || {_box_ring('xmin', 'xmax')} END AS wkt FROM boxes""",
     "box_wrap_parts": f"""WITH {REGIONS} SELECT name, 0 AS part, xmin AS west, CASE WHEN xmax < xmin THEN 180e0 ELSE xmax END AS east,
   CAST(5 AS BIGINT) AS corners FROM boxes UNION ALL SELECT name, 1, -180e0, xmax, 5 FROM boxes WHERE xmax < xmin""",
     "region_filter": f"WITH {REGIONS} SELECT name AS region_name, xmin, ymin, xmax, ymax FROM boxes WHERE name = 'NATION_7'",
@@ -326,3 +328,7 @@ UNION ALL SELECT CAST(fid AS VARCHAR), 'box limit missing' FROM points WHERE fid
     "size_check": f"""WITH {ASSETS}, sized AS (SELECT path, ordinal * 1000003 % 3000000000 AS length FROM assets)
 SELECT path AS subject, 'size' AS rule, CAST(length AS VARCHAR) AS detail FROM sized WHERE length > 2147483647""",
 }
+
+from . import file_oracles  # noqa: E402
+
+ORACLES.update(file_oracles.ORACLES)

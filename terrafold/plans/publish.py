@@ -19,10 +19,10 @@ from ..operators.columns import (
 )
 from ..operators.compare import schemas_equal, table_differences
 from ..operators.ordering import cluster
-from ..sources.arrow_stream import read_arrow, write_arrow
+from ..sources.arrow_stream import CHUNK, read_arrow, write_arrow
 from ..sources.geojson import read_geojson
 from ..sources.parquet import prepared, read_geo, write_geo
-from ..sources.shared import fresh_path, materialized, path_exists, replacing
+from ..sources.shared import current_version, fresh_path, materialized, new_version, path_exists, replacing
 from ..sources.text import concat_lists, merge_lists, wkt_lists, write_wkt_tsv
 from .catalog import SUFFIXES
 
@@ -54,30 +54,41 @@ def require_sinks(formats: list[str]) -> None:
         raise ValueError(f"No sink writes format {', '.join(unknown)}")
 
 
-def write_format(df: DataFrame, fmt: str, path: str, compression: str = "zstd") -> None:
-    """Write a table in one format, partitions and their order as they are."""
+def write_format(
+    df: DataFrame, fmt: str, path: str, compression: str = "zstd", versioned: bool = False, **options
+) -> None:
+    """Write a table in one format, partitions and their order as they are.
+
+    ``versioned`` makes the output one whose versions are switched; see ``republish``.
+    """
     if fmt not in FORMS:
         raise ValueError(f"No sink writes format {fmt}")
     encoding, layout = FORMS[fmt]
+    options = {"compression": compression, "overwrite": True, "versioned": str(versioned), **options}
     if fmt == "tsv":
-        write_wkt_tsv(as_encoding(df, "wkt").select("geometry"), path)
+        lines = as_encoding(df, "wkt").select("geometry")
+        if versioned:
+            new_version(path, lambda folder: write_wkt_tsv(lines, folder))
+        else:
+            write_wkt_tsv(lines, path)
     elif fmt == "arrows/wkb":
         df, encode = prepared(df, "wkb")
-        write_arrow(df, path, compression=compression, overwrite=True, encode_wkb=encode)
+        write_arrow(df, path, encode_wkb=encode, **options)
     elif fmt.startswith("arrows"):
-        write_arrow(as_encoding(df, encoding, layout), path, compression=compression, overwrite=True)
+        write_arrow(as_encoding(df, encoding, layout), path, **options)
     else:
-        write_geo(df, path, encoding, compression=compression, overwrite=True)
+        write_geo(df, path, encoding, **options)
 
 
 def publish(
     df: DataFrame, root: str, group: str, name: str, formats: list[str],
-    skip: tuple[str, ...] = (), compression: str = "zstd", lazy: bool = True,
+    skip: tuple[str, ...] = (), compression: str = "zstd", lazy: bool = True, versioned: bool = False,
 ) -> list[str]:
     """Write a layer in every format it lists but those in ``skip``; returns the paths written.
 
     A format that no sink writes is an error before anything is written. An output that is
-    there is left alone if ``lazy``, else replaced once the new one stands.
+    there is left alone if ``lazy``, else replaced once the new one stands: by a folder
+    renamed, or if ``versioned`` by a new version beside the old one.
     The ordered layer is kept on executor disks between the writes. Lost blocks are
     computed again from the shuffle, with the same cuts.
     """
@@ -88,13 +99,30 @@ def publish(
     try:
         for fmt in wanted:
             path = f"{root}/{group}/files/{group}_{name}{SUFFIXES[fmt]}"
-            if write_once(lambda p, f=fmt: replacing(lambda new: write_format(kept, f, new, compression), p), path, lazy):
+            if versioned:
+                if not lazy or current_version(path) is None:
+                    write_format(kept, fmt, path, compression, True)
+                    written.append(path)
+            elif write_once(lambda p, f=fmt: replacing(lambda new: write_format(kept, f, new, compression), p), path, lazy):
                 written.append(path)
     finally:
         kept.unpersist()
     return written
 
 
+def republish(
+    df: DataFrame, root: str, group: str, name: str, formats: list[str],
+    skip: tuple[str, ...] = (), compression: str = "zstd",
+) -> list[str]:
+    """A new version of a layer in every format; readers get the old one until the new one stands.
+
+    Tasks write files under their final names in a folder of the new version. The commit lists them and
+    switches one small file that names the version. A write that fails switches nothing, and what
+    it left is removed by ``drop_versions``.
+    """
+    return publish(df, root, group, name, formats, skip, compression, lazy=False, versioned=True)
+
+
 def publish_layer(
     df: DataFrame, root: str, group: str, name: str, formats: list[str], tie: list[str],
     partitions: int | None = None, **options,
@@ -124,9 +152,9 @@ def point_layer(spark: SparkSession, archives: str | list[str], digits: int = 8)
 def convert_table(
     spark: SparkSession, src: str, dst: str, compression: str = "none", geo_metadata: bool = True
 ) -> None:
-    """Stream files to Parquet: a file for each file, a row group for each full batch."""
-    df = read_arrow(spark, src)
-    write_geo(df, dst, "wkb", compression, geo_metadata=geo_metadata, overwrite=True)
+    """Stream files to Parquet: a file for each file, a row group for each batch."""
+    df = read_arrow(spark, src, chunks=True)
+    write_geo(df, dst, "wkb", compression, geo_metadata=geo_metadata, overwrite=True, chunk_column=CHUNK)
 
 
 def conversion_matches(spark: SparkSession, src: str, dst: str) -> bool:

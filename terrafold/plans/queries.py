@@ -19,6 +19,8 @@ from ..sources.shared import fresh_path
 from . import catalog, fixtures, publish, validate
 
 Query = Callable[[SparkSession, str], DataFrame]
+#: Ranges that positions on the curve are counted in, however small the table.
+RANGES = 8
 QUERIES: dict[str, Query] = {}
 
 
@@ -54,7 +56,7 @@ def hilbert_position(spark, sf):
     keyed = ordering.hilbert_key(fixtures.points(spark, sf))
     # Rows without a key come last.
     last = F.coalesce("hilbert_key", F.lit(1 << 33)).alias("at")
-    ranked = ordering.with_rank(keyed.select("fid", last), ["at", "fid"], name="position")
+    ranked = ordering.with_running(keyed.select("fid", last), ["at", "fid"], name="position", ranges=RANGES)
     return ranked.select("fid", "position")
 
 
@@ -305,7 +307,11 @@ def box_override(spark, sf):
 
 @query
 def box_polygon(spark, sf):
-    shapes = C.as_encoding(C.box_to_polygon(fixtures.regions(spark, sf)), "wkt")
+    """Boxes as polygons, those across the antimeridian as the two parts they have there."""
+    boxes = fixtures.regions(spark, sf)
+    wraps = coords.box_wraps(F.col(GEOMETRY))
+    plain, parted = C.box_to_polygon(boxes.filter(~wraps)), C.box_to_multipolygon(boxes.filter(wraps))
+    shapes = C.as_encoding(plain, "wkt").unionByName(C.as_encoding(parted, "wkt"))
     return shapes.select("name", F.col(GEOMETRY).alias("wkt"))
 
 
@@ -648,3 +654,6 @@ def size_check(spark, sf):
         "path", (F.col("ordinal") * 1000003 % 3000000000).alias("length")
     )
     return validate.check_sizes(files).select("subject", "rule", "detail")
+
+
+from . import file_queries  # noqa: E402, F401

@@ -15,14 +15,15 @@ from ..functions.types import BOX_FIELDS, BOX_TYPE, DIMENSIONS, GEOMETRY, geomet
 from ..functions.wkb import wkb_type
 from ..operators.columns import storage_matches
 from ..operators.compare import completeness
+from ..operators.ordering import with_running
 from ..sources.arrow_stream import SUFFIX, stream_schema
-from ..sources.files import EXTENSION_METADATA, EXTENSION_NAME
-from ..sources.parquet import footers
-from ..sources.shared import list_files, open_fs
+from ..sources.files import EXTENSION_METADATA, EXTENSION_NAME, SIZE_LIMIT
+from ..sources.json_ranges import lines_of
+from ..sources.parquet import footers, read_footer
+from ..sources.shared import list_files, materialized, open_fs
 from ..sources.text import HEADER
 
-# File size limit and the first bytes of the binary feature format.
-SIZE_LIMIT = 2**31 - 1
+# Fixed value: the first bytes of the binary feature format.
 FEATURE_MAGIC = b"\x66\x67\x62\x03\x66\x67\x62\x00"
 
 VIOLATION = "subject string, rule string, detail string"
@@ -117,20 +118,11 @@ def check_streams(spark: SparkSession, path: str, fmt: str, prefix: str = "geome
         for batch in batches:
             rows = []
             for p in batch.column(0).to_pylist():
-                problems = []
-                files, place = open_fs(p)
                 try:
-                    schema = stream_schema(p)
-                    problems += schema_problems(schema, prefix)
-                    if GEOMETRY in schema.names:
-                        problems += storage_problems(schema.field(GEOMETRY).type, fmt)
-                    with files.open_input_stream(place) as raw, pa.ipc.open_stream(raw) as reader:
-                        # One batch at a time: a file need not fit in memory.
-                        for piece in reader:
-                            piece.validate(full=True)
+                    problems = stream_problems(p, fmt, prefix)
                 except (pa.ArrowException, OSError, EOFError) as error:
                     # One damaged file must not hide the state of the others.
-                    problems.append(("contents", str(error)))
+                    problems = [("contents", str(error))]
                 rows += [{"subject": p, "rule": r, "detail": d} for r, d in problems]
             yield pa.RecordBatch.from_pylist(rows, pa.schema([(n, pa.string()) for n in ("subject", "rule", "detail")]))
 
@@ -199,6 +191,25 @@ def check_lines(spark: SparkSession, path: str) -> DataFrame:
     return _checks(facts, "path", rules)
 
 
+def read_head(path: str, size: int) -> tuple[bytes, list[str] | None]:
+    """First bytes of a file; of an archive, those of its first member, with the names of all."""
+    files, place = open_fs(path)
+    with files.open_input_file(place) as raw:
+        if not path.endswith(".zip"):
+            return raw.read(size), None
+        names: list[str] = []
+        try:
+            with zipfile.ZipFile(raw) as archive:
+                names = archive.namelist()
+                if names:
+                    with archive.open(names[0]) as member:
+                        return member.read(size), names
+        except (zipfile.BadZipFile, pa.ArrowException, OSError, EOFError, zlib.error):
+            # No archive, or a cut one: it has no head the checks could accept.
+            pass
+        return b"", names
+
+
 def probe_headers(spark: SparkSession, path: str, size: int = 8) -> DataFrame:
     """path, length and first bytes; for zip archives of the only member, with all member names."""
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
@@ -206,26 +217,8 @@ def probe_headers(spark: SparkSession, path: str, size: int = 8) -> DataFrame:
 
     def probe(batches):
         for batch in batches:
-            heads, names = [], []
-            for p in batch.column(0).to_pylist():
-                files, place = open_fs(p)
-                with files.open_input_file(place) as raw:
-                    if p.endswith(".zip"):
-                        found, head = [], b""
-                        try:
-                            with zipfile.ZipFile(raw) as archive:
-                                found = archive.namelist()
-                                if found:
-                                    with archive.open(found[0]) as member:
-                                        head = member.read(size)
-                        except (zipfile.BadZipFile, pa.ArrowException, OSError, EOFError, zlib.error):
-                            # No archive, or a cut one: it has no head the checks could accept.
-                            head = b""
-                        names.append(found)
-                        heads.append(head)
-                    else:
-                        names.append(None)
-                        heads.append(raw.read(size))
+            found = [read_head(p, size) for p in batch.column(0).to_pylist()]
+            heads, names = [h for h, _ in found], [n for _, n in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(heads, pa.binary()), pa.array(names, pa.list_(pa.string()))],
                 ["path", "length", "head", "members"],
@@ -261,14 +254,164 @@ def check_file(spark: SparkSession, path: str, fmt: str, prefix: str = "geometry
     raise ValueError(f"No check for format {fmt}")
 
 
-def check_assets(spark: SparkSession, assets: list[tuple[str, str]], prefix: str = "geometry") -> DataFrame:
-    """Violations of many (path, format) pairs in one table."""
-    out = _violations(spark, [])
-    for path, fmt in assets:
-        out = out.unionByName(check_file(spark, path, fmt, prefix))
+#: Bytes of assets that one task checks, about, and of a range of a text file.
+TASK_BYTES, LINE_RANGE = 64 << 20, 8 << 20
+#: What opening a file costs, in bytes read.
+OPEN_COST = 1 << 20
+
+_UNITS = "asset string, format string, path string, size bigint, error string"
+_FOUND = "subject string, rule string, detail string, n bigint"
+
+
+def _found_batch(rows: list[dict]) -> pa.RecordBatch:
+    kinds = [("subject", pa.string()), ("rule", pa.string()), ("detail", pa.string()), ("n", pa.int64())]
+    return pa.RecordBatch.from_pylist(rows, pa.schema(kinds))
+
+
+def _listed(batches):
+    """Every file of an asset with its size; an asset that is not there has a row with an error."""
+    for batch in batches:
+        rows = []
+        for asset, fmt in zip(batch.column("path").to_pylist(), batch.column("format").to_pylist()):
+            row = {"asset": asset, "format": fmt, "path": asset, "size": 0, "error": None}
+            try:
+                files = list_files(asset, ("",))
+                rows += [{**row, "path": p, "size": size} for p, size in files]
+                if not files:
+                    rows.append({**row, "error": "no files"})
+            except (pa.ArrowException, OSError, ValueError) as error:
+                rows.append({**row, "error": str(error)})
+        kinds = [(n, pa.int64() if n == "size" else pa.string()) for n in ("asset", "format", "path", "size", "error")]
+        yield pa.RecordBatch.from_pylist(rows, pa.schema(kinds))
+
+
+def footer_problems(path: str, fmt: str) -> list[tuple[str, str]]:
+    """Rules on one Parquet file's footer."""
+    geo, schema = read_footer(path)
+    if GEOMETRY not in schema.names:
+        return [("geometry missing", ", ".join(schema.names))]
+    out = [] if schema.names[-1] == GEOMETRY else [("geometry not last", ", ".join(schema.names))]
+    if geo is None:
+        out.append(("geo footer", ""))
+    else:
+        column = geo.get("columns", {}).get(GEOMETRY, {})
+        text = json.dumps(geo)
+        if geo.get("primary_column") != GEOMETRY:
+            out.append(("primary column", text))
+        if list(geo.get("columns", {})) != [GEOMETRY]:
+            out.append(("single column", text))
+        out += [(rule, text) for rule, key in (("encoding", "encoding"), ("geometry types", "geometry_types")) if column.get(key) is None]
+        if not isinstance(column.get("crs"), (dict, type(None))):
+            out.append(("crs", json.dumps(column["crs"])))
+    return out + storage_problems(schema.field(GEOMETRY).type, fmt)
+
+
+def stream_problems(path: str, fmt: str, prefix: str) -> list[tuple[str, str]]:
+    """Rules on one stream file, with full validation of every batch."""
+    schema = stream_schema(path)
+    out = schema_problems(schema, prefix)
+    if GEOMETRY in schema.names:
+        out += storage_problems(schema.field(GEOMETRY).type, fmt)
+    files, place = open_fs(path)
+    with files.open_input_stream(place) as raw, pa.ipc.open_stream(raw) as reader:
+        # One batch at a time: a file need not fit in memory.
+        for piece in reader:
+            piece.validate(full=True)
+    return out
+
+
+def head_problems(path: str) -> list[tuple[str, str]]:
+    head, members = read_head(path, len(FEATURE_MAGIC))
+    out = [] if head == FEATURE_MAGIC else [("magic", head.hex().upper())]
+    name = path.rpartition("/")[2].removesuffix(".zip")
+    if members is not None and members != [name]:
+        out.append(("archive members", ", ".join(members)))
     return out
 
 
+def _odd(line: bytes) -> bool:
+    return bool(line.strip()) and not b"A" <= line[:1] <= b"Z"
+
+
+def line_facts(row: dict) -> list[dict]:
+    """Violations and counts of one range of a text file; the ranges' counts are added up later."""
+    odd = lines = 0
+    out = []
+    for at, line in lines_of(row):
+        if at == 0:
+            if line != HEADER.encode():
+                out.append({"rule": "header", "detail": line.decode("utf-8", "replace"), "n": 1})
+                odd += _odd(line)
+            continue
+        lines += 1
+        odd += _odd(line)
+    if row["size"] == 0:
+        out.append({"rule": "header", "detail": "", "n": 1})
+    return out + [{"rule": "line tag", "detail": None, "n": odd}, {"rule": "no rows", "detail": None, "n": lines}]
+
+
+def check_assets(
+    spark: SparkSession, assets: list[tuple[str, str]] | DataFrame, prefix: str = "geometry"
+) -> DataFrame:
+    """Violations of many (path, format) pairs, files or folders, in one table by one scan.
+
+    Executors list the assets. Text files are cut into ranges, and files and ranges are packed into tasks by their
+    bytes: a running sum over all of them says which task each belongs to. A task applies the rules of each row's
+    format. A damaged, missing or unknown asset is a violation and hides no other. The plan has the same
+    size for any number of assets.
+    """
+    if not isinstance(assets, DataFrame):
+        assets = spark.createDataFrame(assets, "path string, format string")
+    # A row for each file, written once: the sums and the checks must see the same files.
+    files = materialized(assets.select("path", "format").mapInArrow(_listed, _UNITS), "assets")
+    step = F.when(F.col("format") == "tsv", F.lit(LINE_RANGE)).otherwise(F.greatest("size", F.lit(1))).cast("long")
+    starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)), step)
+    units = files.select("*", step.alias("step"), F.explode(starts).alias("begin"))
+    units = units.select("asset", "format", "path", "size", "error", "begin", F.least(F.col("begin") + F.col("step"), "size").alias("end"))
+    units = units.withColumn("cost", F.col("end") - F.col("begin") + OPEN_COST)
+    total = units.agg(F.sum("cost")).first()[0] or 0
+    packed = with_running(units, ["path", "begin", "asset", "format"], name="before", weight="cost")
+    task = (F.col("before") / TASK_BYTES).cast("int")
+    spread = packed.repartitionById(total // TASK_BYTES + 1, task)
+
+    def inspect(batches):
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                rows += [{"subject": row["path"], **found} for found in _inspected(row, prefix)]
+            yield _found_batch(rows)
+
+    found = spread.select("format", "path", "size", "error", "begin", "end").mapInArrow(inspect, _FOUND)
+    # The ranges of a text file meet here; any other violation is a row of its own.
+    counted = found.groupBy("subject", "rule", "detail").agg(F.sum("n").alias("n"))
+    told = F.when(F.col("rule") == "line tag", F.col("n") > 0).when(F.col("rule") == "no rows", F.col("n") == 0).otherwise(True)
+    detail = F.when(F.col("rule").isin("line tag", "no rows"), F.col("n").cast("string")).otherwise(F.col("detail"))
+    return counted.filter(told).select("subject", "rule", detail.alias("detail"))
+
+
+def _inspected(row: dict, prefix: str) -> list[dict]:
+    fmt, path = row["format"], row["path"]
+    if row["error"] is not None:
+        return [{"rule": "contents", "detail": row["error"], "n": 1}]
+    try:
+        if fmt == "tsv":
+            return line_facts(row)
+        if fmt in ("fgb", "fgb/zip"):
+            problems = head_problems(path)
+        elif fmt in ("geoparquet", "geoparquet/native", "parquet"):
+            problems = footer_problems(path, fmt)
+        elif fmt.startswith("arrows"):
+            problems = stream_problems(path, fmt, prefix)
+        else:
+            problems = [("format", fmt)]
+        if row["size"] > SIZE_LIMIT:
+            problems.append(("size", str(row["size"])))
+    except (pa.ArrowException, OSError, EOFError, ValueError) as error:
+        # One damaged file must not hide the state of the others.
+        problems = [("contents", str(error))]
+    return [{"rule": rule, "detail": detail, "n": 1} for rule, detail in problems]
+
+
 def check_table(df: DataFrame) -> list[tuple[str, str]]:
     """Rules on a table's schema: geometry there, last, and stored as its tag says."""
     if GEOMETRY not in df.columns:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.types import GEOMETRY, GeometryTag, tagged
 from ..operators.ordering import position_in_partition
+from .shared import data_paths
 
 # Fixed value: the only header line.
 HEADER = "geometry"
@@ -30,7 +31,7 @@ def read_wkt_tsv(
     running number in the split), which sorts as the lines stand without reading a file
     in one task.
     """
-    lines = spark.read.text(path)
+    lines = spark.read.text(data_paths(path))
     file, block = F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block")
     columns = [F.col("value"), file, block]
     if keep_order:
@@ -92,9 +93,14 @@ def read_delimited_wkt(
     )
 
 
-def wkt_lists(spark: SparkSession, mapping: dict[str, list[str | None]]) -> DataFrame:
-    """Named lists of WKT as rows (name, pos, wkt); nulls stay rows."""
-    lists = spark.createDataFrame(list(mapping.items()), "name string, items array<string>")
+def wkt_lists(spark: SparkSession, mapping: dict[str, list[str | None]] | DataFrame) -> DataFrame:
+    """Named lists of WKT as rows (name, pos, wkt); nulls stay rows.
+
+    A mapping, or a table with columns name and items.
+    """
+    lists = mapping
+    if not isinstance(mapping, DataFrame):
+        lists = spark.createDataFrame(list(mapping.items()), "name string, items array<string>")
     return lists.select("name", F.posexplode("items").alias("pos", "wkt"))
 
 
