@@ -6,8 +6,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 #: Bytes of text that one round of array work takes at most, a longer document alone.
 ROUND_BYTES = 1 << 20
@@ -117,30 +115,3 @@ def joined_hashes(words: np.ndarray, n: int) -> np.ndarray:
         total *= np.uint64(0xD6E8FEB86659FD93)
         total += words[i : len(words) - n + 1 + i]
     return mixed(total + np.uint64(n))
-
-
-def packed(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values).tobytes()
-
-
-def by_bucket(key: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """The order that sorts by bucket, then key, and where each bucket begins in it."""
-    # The top bits choose the bucket, so one sort serves both.
-    order = np.argsort(key, kind="stable")
-    cuts = bucket_cuts(buckets)
-    return order, np.searchsorted(key[order], cuts)
-
-
-def bucket_cuts(buckets: int) -> np.ndarray:
-    """First key of each of some equal ranges of 64-bit keys, and none after the last."""
-    return np.array([((i << 64) + buckets - 1) // buckets for i in range(buckets)], np.uint64)
-
-
-def whole_partitions(df: DataFrame) -> int:
-    """Partitions for an exchange: the session's own setting."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def with_row_key(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Only id and text, under names of their own."""
-    return df.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))

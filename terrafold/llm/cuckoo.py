@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.shared import fresh_path
+from .mixing import free_name
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 SLOTS = 4
@@ -236,11 +237,16 @@ def _apply_moves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """The rows of ``docs`` that stay, with all their columns, whatever these are called.
+
+    Of rows with equal text (A-Z lower-cased, null as empty) the one with the largest id, a null id being the
+    smallest; of rows that repeat it, one. No rows give no rows.
+    """
     rows = digest_rows(docs, id_col, text_col)
     kept = live_index(rows).select("_digest", F.col("_keep").alias("_kept_id"))
-    both = docs.withColumn("_digest_here", digest_column(F.col(text_col)))
-    same = (both["_digest_here"] == kept["_digest"]) & both[id_col].cast("long").eqNullSafe(kept["_kept_id"])
+    here = free_name(docs, "_digest_here")
+    both = docs.withColumn(here, digest_column(F.col(text_col)))
+    same = (both[here] == kept["_digest"]) & both[id_col].cast("long").eqNullSafe(kept["_kept_id"])
     stay = both.join(kept, same, "left_semi")
     # Repeated rows share digest and id; one of each is enough.
-    return stay.dropDuplicates(["_digest_here", id_col]).select(*docs.columns)
+    return stay.dropDuplicates([here, id_col]).select(*docs.columns)

@@ -62,6 +62,13 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], budget: float, limi
     )
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores before it as it takes to be no column of a table."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def mix(
     docs: DataFrame,
     quality: DataFrame | None = None,
@@ -134,14 +141,16 @@ def mix(
 def mixed_documents(docs: DataFrame, quality: DataFrame | None = None, **options) -> DataFrame:
     """The rows of ``docs`` the mix takes words of, with size, target and taken beside their columns.
 
-    A column of ``docs`` with one of those names gives way. Rows that share id and text come out as
-    one row with all their words.
+    A column of ``docs`` with one of those names gives way, all others stay. Rows that share id and text come out as
+    one row with all their words. Null ids share one draw; null and empty texts have no words, so they are not in the
+    mix. No rows give no rows.
     """
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     plan = mix(docs, quality, **options).filter("taken > 0")
-    plan = plan.groupBy(F.col(id_col).alias("_id"), F.col("text_key").alias("_key"), "size", "target").agg(
+    own, key, text_key = (free_name(docs, n) for n in ("_mix_id", "_mix_key", "_text_key"))
+    plan = plan.groupBy(F.col(id_col).alias(own), F.col("text_key").alias(key), "size", "target").agg(
         F.sum("taken").alias("taken")
     )
-    rows = docs.drop("size", "target", "taken").withColumn("_text_key", F.xxhash64(text_col))
-    hit = rows[id_col].eqNullSafe(plan["_id"]) & (rows["_text_key"] == plan["_key"])
-    return rows.join(plan, hit).dropDuplicates([id_col, "_text_key"]).drop("_id", "_key", "_text_key")
+    rows = docs.drop("size", "target", "taken").withColumn(text_key, F.xxhash64(text_col))
+    hit = rows[id_col].eqNullSafe(plan[own]) & (rows[text_key] == plan[key])
+    return rows.join(plan, hit).dropDuplicates([id_col, text_key]).drop(own, key, text_key)
