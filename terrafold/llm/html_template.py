@@ -4,14 +4,16 @@ Every page is parsed into text blocks, each with the hashes of the element subtr
 Spark counts the subtrees per host; blocks inside a subtree that recurs across many pages of their
 host are deleted. Elements whose tag, role or name says that they are no article (menus, footers, forms,
 adverts, reader comments) go on any host, as a host with few pages has nothing to count; a class or
-id says so only by all its words, and never of what holds an article or most of the page's words.
+id says so only by all its words, and never of what holds an article.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,16 +22,14 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import fresh_path
 
-#: A subtree is a template if it is on so many pages of its host that differ in their text, be the
-#: host large or small.
+#: A subtree is a template only if it is on so many pages of its host that differ in their text; large hosts ask for more.
 TEMPLATE_PAGES = 4
 #: The pages of a host are dealt out to so many parts when subtrees and templates meet.
 SALTS = 16
 
-_TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""",
-    re.DOTALL,
-)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_REST = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
+_SPECIAL = re.compile("""[>"']""")
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?|"[^"]*"|'[^']*'""")
 _TELLING = re.compile("class|id|role|hidden|style", re.IGNORECASE)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -54,7 +54,7 @@ _SAME = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-_BARE = frozenset("head nav footer aside form button select datalist dialog menu audio video map".split())
+_BARE = frozenset("head nav footer aside button select datalist dialog menu audio video map".split())
 _BARE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form toolbar".split())
 _BARE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies "
@@ -67,6 +67,10 @@ _SURE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored cookie cookies consent gdpr popup newsletter "
     "comment comments commentlist disqus respond replies".split()
 )
+#: Of these, what names reader comments, menus and sidebars, be they most of a page's words.
+_ALWAYS_WORDS = frozenset(
+    "comment comments commentlist disqus respond replies menu nav navbar navigation sidebar sidenav breadcrumb breadcrumbs".split()
+)
 #: What may stand beside them in a name; with other words (has-sidebar, share-prices) a name says nothing.
 _PLAIN_WORDS = frozenset(
     "area bar bottom box btn button buttons desktop footer form global header icon icons item items left link links list main "
@@ -75,7 +79,7 @@ _PLAIN_WORDS = frozenset(
 
 
 class _Node:
-    __slots__ = ("bare", "depth", "digest", "inline", "inside", "main", "named", "parent", "parts", "tag", "under", "words")
+    __slots__ = ("bare", "barred", "depth", "digest", "inline", "inside", "main", "named", "parent", "parts", "place", "tag", "under", "words")
 
     def __init__(self, tag: str, parent: _Node | None, attributes: dict[str, str], bare: bool, inline: bool = False) -> None:
         self.tag, self.parent, self.bare, self.inline = tag, parent, bare, inline
@@ -89,13 +93,8 @@ class _Node:
         self.words = 0
         #: Plain elements of the same tag that are open within an inline one.
         self.depth = self.digest = 0
-
-    def path(self) -> list[_Node]:
-        out, at = [], self
-        while at is not None:
-            out.append(at)
-            at = at.parent
-        return out
+        #: Whether it or one around it is bare, names counted; its number among the subtrees that may be templates.
+        self.barred, self.place = False, -1
 
 
 def _hash(text: str) -> int:
@@ -133,14 +132,18 @@ def _is_bare(tag: str, attributes: dict[str, str], inside: bool) -> bool:
 
 
 def _is_named(tag: str, attributes: dict[str, str]) -> int:
-    """1 if a class or the id, by all its words, names something that is no part of an article, 2 if surely."""
+    """Whether a class or the id, by all its words, names something that is no part of an article.
+
+    1 if so, 2 if no article is called that, 3 if it also is none where it is most of the page.
+    """
     found = 0
     if tag in ("html", "body") or _is_main(tag, attributes):
         return found
     for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
         words = [w for w in re.split(r"[^a-z0-9]+", name) if w and not w[0].isdigit()]
         if any(w in _BARE_WORDS for w in words) and all(w in _BARE_WORDS or w in _PLAIN_WORDS for w in words):
-            found = max(found, 2 if any(w in _SURE_WORDS for w in words) else 1)
+            sure = any(w in _SURE_WORDS for w in words)
+            found = max(found, 3 if any(w in _ALWAYS_WORDS for w in words) else 2 if sure else 1)
     return found
 
 
@@ -149,11 +152,12 @@ def _is_main(tag: str, attributes: dict[str, str]) -> bool:
 
 
 def _bar_named(nodes: list[_Node], flushed: list[list[tuple[str, _Node]]]) -> None:
-    """Names bar elements, unless they hold a main element or most of the page's words.
+    """Forms are bare, and names bar elements, unless they hold a main element.
 
-    Adverts and comments can be most of the words, if there is an article beside them.
+    Names of comments, menus and sidebars bar whatever their size, others at most half of the page's
+    words. Adverts can be most of the words, if there is an article beside them.
     """
-    if not any(n.named for n in nodes):
+    if not any(n.named or n.tag == "form" for n in nodes):
         return
     for item in nodes[1:]:
         # A node stands after its parent.
@@ -161,6 +165,9 @@ def _bar_named(nodes: list[_Node], flushed: list[list[tuple[str, _Node]]]) -> No
     for item in reversed(nodes):
         if item.main and not item.under and item.parent is not None:
             item.parent.main = True
+    for item in nodes[1:]:
+        item.bare = item.bare or item.tag == "form" and not item.main
+        item.under = item.bare or item.parent.under
     article = 0
     for pieces in flushed:
         for text, item in pieces:
@@ -174,30 +181,70 @@ def _bar_named(nodes: list[_Node], flushed: list[list[tuple[str, _Node]]]) -> No
     for item in nodes:
         if item.named and not item.main:
             beside = article > item.words * item.inside
-            item.bare = 2 * item.words <= nodes[0].words or item.named == 2 and beside
+            item.bare = item.bare or item.named == 3 or 2 * item.words <= nodes[0].words or item.named == 2 and beside
 
 
-def _split_block(pieces: list[tuple[str, _Node]]) -> list[tuple[str, list[_Node], bool]]:
+def _split_block(pieces: list[tuple[str, _Node]]) -> list[tuple[str, _Node, bool]]:
     """The text of a block without its bare inline nodes, then the text of those."""
     out = []
-    barred = {n: any(x.bare for x in n.path()) for n in {n: None for _, n in pieces}}
     for bare in (False, True):
-        own = [(t, n) for t, n in pieces if barred[n] == bare]
+        own = [(t, n) for t, n in pieces if n.barred == bare]
         words = " ".join("".join(t for t, _ in own).split())
         if words:
             at = next(n for t, n in own if t.strip())
             while at.inline and not bare:
                 at = at.parent
-            out.append((words, at.path(), bare))
+            out.append((words, at, bare))
     return out
 
 
-def parse(page: str) -> list[tuple[str, list[_Node], bool]]:
-    """(text, enclosing nodes, bare) of each block, in page order; digests are set."""
+class _Ends:
+    """Where tags end: at the next > outside of quotes, or where no such is left, at the next > at all.
+
+    A tag whose quotes never close is looked at once; from then on the answers of all later ones come from a
+    table made in one pass, so that no page takes time with the square of its length.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self.places: list[int] | None = None
+
+    def __call__(self, at: int) -> int:
+        """The place after the end of a tag whose name ends at ``at``; -1 if it never ends."""
+        if self.places is None:
+            found = _REST.match(self.page, at)
+            if found:
+                return found.end()
+            self._look_ahead()
+        i = bisect.bisect_left(self.places, at)
+        end = self.outside[i]
+        return end if end >= 0 else self.page.find(">", at) + 1 or -1
+
+    def _look_ahead(self) -> None:
+        """For every quote and >, where a tag ends that is outside of quotes before it."""
+        self.places = [m.start() for m in _SPECIAL.finditer(self.page)]
+        n = len(self.places)
+        self.outside = [-1] * (n + 1)
+        # The next place after each quote's partner.
+        partner = {'"': -1, "'": -1}
+        for i in range(n - 1, -1, -1):
+            char = self.page[self.places[i]]
+            if char == ">":
+                self.outside[i] = self.places[i] + 1
+            else:
+                if partner[char] >= 0:
+                    self.outside[i] = self.outside[partner[char] + 1]
+                partner[char] = i
+
+
+def parse(page: str) -> tuple[list[tuple[str, _Node, bool]], list[_Node]]:
+    """(text, enclosing node, bare) of each block, in page order, and all nodes; digests are set."""
     root = _Node("#root", None, {}, False)
     node, nodes, flushed = root, [root], []
     # An inline node does not end its block, so a block's pieces can be of several nodes.
     text: list[tuple[str, _Node]] = []
+    #: Open nodes of each tag, so that an end or a sibling without any is not looked for.
+    opened: Counter[str] = Counter()
 
     def flush() -> None:
         if text:
@@ -207,44 +254,76 @@ def parse(page: str) -> list[tuple[str, list[_Node], bool]]:
                 flushed.append(text.copy())
             text.clear()
 
-    def close(to: _Node) -> None:
+    def leave(to: _Node) -> None:
         nonlocal node
+        while node is not to:
+            opened[node.tag] -= 1
+            node = node.parent
+
+    def close(to: _Node) -> None:
         flush()
-        node = to
+        leave(to)
+
+    def enter(tag: str, attributes: dict[str, str], bare: bool, inline: bool = False) -> None:
+        nonlocal node
+        node = _Node(tag, node, attributes, bare, inline)
+        node.parent.parts.append(node)
+        nodes.append(node)
+        opened[tag] += 1
 
+    ends_of = _Ends(page)
+    last = page.rfind(">")
     at, size = 0, len(page)
     while at < size:
-        found = _TOKEN.search(page, at)
-        if found is None:
-            text.append((html.unescape(page[at:]), node))
+        start = page.find("<", at)
+        if start > last:
+            # No tag that begins here can end; a comment need not.
+            start = page.find("<!--", start)
+        if start < 0:
+            start = size
+        if start > at:
+            text.append((html.unescape(page[at:start]), node))
+        at = start
+        if at == size:
             break
-        if found.start() > at:
-            text.append((html.unescape(page[at : found.start()]), node))
-        at = found.end()
-        tag = found[2] or found[5]
-        if not tag:
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            at = end + 3 if end >= 0 else size
+            continue
+        if page[at + 1 : at + 2] in ("!", "?"):
+            at = page.find(">", at) + 1
             continue
-        tag, rest = tag.lower(), found[3] or found[6] or ""
-        if found[1] or found[4]:
+        found = _TAG.match(page, at)
+        if found is None:
+            text.append(("<", node))
+            at += 1
+            continue
+        tag, begin = found[2].lower(), found.end()
+        at = ends_of(begin)
+        rest = page[begin : at - 1]
+        if found[1]:
+            if not opened[tag]:
+                if tag == "p" or tag in _VOID:
+                    # A stray end is at most the end of a block.
+                    flush()
+                continue
             if tag in _INLINE:
                 same = _open_inline(node, tag)
                 if same is not None and same.depth:
                     same.depth -= 1
                 elif same is not None:
-                    node = same.parent
+                    leave(same.parent)
                 continue
             if tag == "p" or tag in _VOID:
-                # A stray end is at most the end of a block.
                 flush()
             up = node
-            while up is not None and up.tag != tag:
+            while up.tag != tag:
                 up = up.parent
-            if up is not None and up.parent is not None:
-                close(up.parent)
+            close(up.parent)
             continue
         if tag in _RAW:
             if not rest.endswith("/"):
-                end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(page, at)
+                end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
                 at = end.end() if end else size
             continue
         if tag == "br":
@@ -258,69 +337,84 @@ def parse(page: str) -> list[tuple[str, list[_Node], bool]]:
         if tag in _INLINE:
             bare = _is_bare(tag, attributes, node.inside)
             if bare or attributes and _is_named(tag, attributes):
-                node = _Node(tag, node, attributes, bare, True)
-                node.parent.parts.append(node)
-                nodes.append(node)
-            elif (same := _open_inline(node, tag)) is not None:
+                enter(tag, attributes, bare, True)
+            elif opened[tag] and (same := _open_inline(node, tag)) is not None:
                 same.depth += 1
             continue
         flush()
-        if tag in _CLOSES_P:
+        if tag in _CLOSES_P and opened["p"]:
             up = node
             while up is not None and up.tag not in ("p", "article", "main", "div", "section", "td", "th", "li", "body"):
                 up = up.parent
             if up is not None and up.tag == "p":
                 close(up.parent)
-        if tag in _SAME:
+        if tag in _SAME and any(opened[t] for t in _SAME[tag][0]):
             ends, stops = _SAME[tag]
-            up, last = node, None
+            up, outer = node, None
             while up is not None and up.tag not in stops:
                 if up.tag in ends:
-                    last = up
+                    outer = up
                 up = up.parent
-            if last is not None:
-                close(last.parent)
-        node = _Node(tag, node, attributes, _is_bare(tag, attributes, node.inside))
-        node.parent.parts.append(node)
-        nodes.append(node)
+            if outer is not None:
+                close(outer.parent)
+        enter(tag, attributes, _is_bare(tag, attributes, node.inside))
     flush()
     _bar_named(nodes, flushed)
+    for item in nodes:
+        item.barred = item.bare or item.parent is not None and item.parent.barred
     blocks = [block for pieces in flushed for block in _split_block(pieces)]
     # A node stands after its parent, so children are done first.
     for item in reversed(nodes):
         parts = "\x00".join(p if isinstance(p, str) else str(p.digest) for p in item.parts)
         item.digest = _hash(f"{item.tag}\x01{parts}")
-    return blocks
+    return blocks, nodes
+
 
+def _subtrees(blocks: list[tuple[str, _Node, bool]], nodes: list[_Node]) -> tuple[list[int], list[int]]:
+    """Digests of the subtrees around blocks that may be templates, and for each the next one around it.
 
-_BLOCK = pa.struct([("text", pa.string()), ("path", pa.list_(pa.int64()))])
+    The page, its article and the article's running text are no templates. Numbers are set in the nodes: their own, or that of
+    the next subtree around them.
+    """
+    around: set[_Node] = set()
+    for _, at, _ in blocks:
+        while at is not None and at not in around:
+            around.add(at)
+            at = at.parent
+    digests, ups = [], []
+    for item in nodes:
+        if item.parent is None:
+            continue
+        item.place = item.parent.place
+        running = item.inside and item.tag in _TEXT
+        if item in around and item.tag not in ("html", "body", "main", "article") and not running:
+            ups.append(item.place)
+            item.place = len(digests)
+            digests.append(item.digest)
+    return digests, ups
+
+
+_BLOCK = pa.struct([("text", pa.string()), ("node", pa.int32())])
 _PARSED = (
-    "_id long, _url string, body long, form long, trees array<long>, "
-    "blocks array<struct<text: string, path: array<long>>>"
+    "_id long, _url string, body long, form long, trees array<long>, digests array<long>, ups array<int>, "
+    "blocks array<struct<text: string, node: int>>"
 )
 
 
 def parse_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks that may be article text, the subtrees of all blocks, and hashes of the page's text and of its subtrees."""
+    """Blocks that may be article text, the subtrees around them, and hashes of the page's text and of its subtrees."""
     for batch in batches:
-        bodies, forms, trees, rows = [], [], [], []
+        bodies, forms, trees, digests, ups, rows = [], [], [], [], [], []
         for page in batch.column("_html"):
-            blocks = parse(page.as_py() or "")
-            seen: set[int] = set()
-            kept = []
-            for text, path, bare in blocks:
-                # The page, its article and the article's running text are no templates.
-                places = [
-                    n.digest for n in path
-                    if n.parent is not None and n.tag not in ("html", "body", "main", "article") and not (n.inside and n.tag in _TEXT)
-                ]
-                seen.update(places)
-                if not bare:
-                    kept.append({"text": text, "path": places})
+            blocks, nodes = parse(page.as_py() or "")
+            own, above = _subtrees(blocks, nodes)
+            kept = [{"text": text, "node": at.place} for text, at, bare in blocks if not bare]
             words = "\n".join(b["text"] for b in kept)
             bodies.append(_hash(words))
-            trees.append(sorted(seen))
+            trees.append(sorted(set(own)))
             forms.append(_hash(str(trees[-1])))
+            digests.append(own)
+            ups.append(above)
             rows.append(kept)
         yield pa.RecordBatch.from_arrays(
             [
@@ -329,9 +423,30 @@ def parse_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(bodies, pa.int64()),
                 pa.array(forms, pa.int64()),
                 pa.array(trees, pa.list_(pa.int64())),
+                pa.array(digests, pa.list_(pa.int64())),
+                pa.array(ups, pa.list_(pa.int32())),
                 pa.array(rows, pa.list_(_BLOCK)),
             ],
-            ["_id", "_url", "body", "form", "trees", "blocks"],
+            ["_id", "_url", "body", "form", "trees", "digests", "ups", "blocks"],
+        )
+
+
+def without_templates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The text of the blocks that no template holds, and how many went; a subtree's bar goes down to those in it."""
+    for batch in batches:
+        texts, gone = [], []
+        columns = [batch.column(c).to_pylist() for c in ("digests", "ups", "blocks", "templates")]
+        for digests, ups, blocks, templates in zip(*columns, strict=True):
+            known = set(templates or ())
+            barred: list[bool] = []
+            for digest, up in zip(digests, ups, strict=True):
+                barred.append(digest in known or up >= 0 and barred[up])
+            kept = [b["text"] for b in blocks if b["node"] < 0 or not barred[b["node"]]]
+            texts.append("\n\n".join(kept))
+            gone.append(len(blocks) - len(kept))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("_id"), batch.column("_url"), pa.array(texts, pa.string()), pa.array(gone, pa.int64())],
+            ["_id", "_url", "text", "gone"],
         )
 
 
@@ -342,10 +457,13 @@ def host_of(url: Column) -> Column:
 def host_templates(pages: DataFrame, least: int = TEMPLATE_PAGES) -> DataFrame:
     """(host, form, salt, templates): the recurring subtrees of the pages of a host with equal subtrees.
 
-    Pages of equal text count once, by the smallest of their forms. All joins are on exploded keys: a
-    row holds the subtrees of one page at most, and a subtree or form of many pages is salted.
+    A template is on at least ``least`` pages, and on as many as the cube root of the pages of its host: few of
+    a large host share a heading or a byline by chance. Pages of equal text count once, by the
+    smallest of their forms. All joins are on exploded keys: a row holds the subtrees of one page at most,
+    and a subtree or form of many pages is salted.
     """
     counted = pages.groupBy("host", "body").agg(F.min("form").alias("form")).groupBy("host", "form").agg(F.count("*").alias("n"))
+    hosts = counted.groupBy("host").agg(F.ceil(F.cbrt(F.sum("n")) - 1e-9).alias("enough"))
     trees = pages.select("host", "form", F.explode("trees").alias("tree")).distinct().withColumn("salt", F.col("form") % SALTS)
     # A subtree's rows merge before the shuffle; it has as many salts as pages at most.
     places = (
@@ -353,8 +471,8 @@ def host_templates(pages: DataFrame, least: int = TEMPLATE_PAGES) -> DataFrame:
         .groupBy("host", "tree")
         .agg(F.sum("n").alias("n"), F.collect_set("salt").alias("salts"))
         .filter(F.col("n") >= least)
-        .select("host", "tree", F.explode("salts").alias("salt"))
     )
+    places = places.join(hosts, "host").filter(F.col("n") >= F.col("enough")).select("host", "tree", F.explode("salts").alias("salt"))
     found = trees.join(places, ["host", "tree", "salt"]).groupBy("host", "form").agg(F.collect_list("tree").alias("templates"))
     salts = pages.select("host", "form", "salt").distinct()
     return salts.join(found, ["host", "form"])
@@ -372,7 +490,8 @@ def main_text(
 
     The text is all that is no template of the host and no menu, form and so on, in or beside article
     and main elements. Null and empty pages, and pages of templates alone, have the empty text.
-    Pages without url share the empty host. Repeated rows are extracted each.
+    Pages without url share the empty host. Repeated rows are extracted each. Long pages, deep nesting and unclosed
+    quotes take time in proportion to their length.
     """
     spark = pages.sparkSession
     rows = pages.select(F.col(id_col).cast("long").alias("_id"), F.col(url_col).alias("_url"), F.col(html_col).alias("_html"))
@@ -383,13 +502,12 @@ def main_text(
     parsed.select("host", "body", "form", "salt", "trees").write.parquet(path)
     templates = host_templates(spark.read.parquet(path), least)
     joined = parsed.drop("trees", "body").join(templates, ["host", "form", "salt"], "left")
-    none = F.array().cast("array<bigint>")
-    kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["path"], F.coalesce("templates", none)))
-    text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n")
-    return joined.select(
+    rest = joined.select("_id", "_url", "digests", "ups", "blocks", "templates")
+    found = rest.mapInArrow(without_templates, "_id long, _url string, text string, gone long")
+    return found.select(
         F.col("_id").alias(id_col),
         F.col("_url").alias(url_col),
-        text.alias("text"),
-        F.length(text).cast("long").alias("n_chars"),
-        (F.size("blocks") - F.size(kept)).cast("long").alias("n_template_blocks"),
+        "text",
+        F.length("text").cast("long").alias("n_chars"),
+        F.col("gone").alias("n_template_blocks"),
     )

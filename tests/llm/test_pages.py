@@ -1,7 +1,9 @@
 import base64
 import hashlib
 import html
+import random
 import re
+import time
 import zipfile
 
 import pyarrow as pa
@@ -111,6 +113,87 @@ def test_templates_do_not_depend_on_the_size_of_the_host(spark):
     assert {r.page_id: (r.text, r.n_template_blocks) for r in got} == want
 
 
+COMMENTS = " ".join(["so true"] * 30)
+ALWAYS_PAGES = {
+    f'<div class="post"><p>one</p></div><div class="comments">{COMMENTS}</div>': "one",
+    f'<p>one</p><div class="comment-list"><p>{COMMENTS}</p></div>': "one",
+    f'<p>one</p><div id="sidebar">{COMMENTS}</div><ul class="nav-menu"><li>{COMMENTS}</li></ul>': "one",
+    f'<div class="comments">{COMMENTS}</div>': "",
+    '<form id="aspnetForm"><div class="sidebar">x</div><article><p>one</p></article><input></form>': "one",
+    "<form><p>x</p><article hidden>y</article></form><p>one</p>": "one",
+    "<article><p>one</p><form><p>x</p></form></article>": "one",
+}
+
+
+def test_comments_go_whatever_their_size_and_forms_keep_articles():
+    for page, want in ALWAYS_PAGES.items():
+        batch = pa.RecordBatch.from_pydict({"_id": [1], "_url": ["http://h/"], "_html": [page]})
+        (out,) = html_template.parse_pages(iter([batch]))
+        assert "\n\n".join(b["text"] for b in out.column("blocks")[0].as_py()) == want
+
+
+def test_few_pages_of_a_large_host_share_by_chance(spark):
+    shared = "<h2>References</h2><p>He was born in Rome.</p>"
+    rows = [(i, "http://big.example/p", f"<body><div><p>All offers</p></div><div>{shared if i < 4 else ''}<p>Text {i}</p></div></body>") for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_template.main_text(pages).collect()}
+    assert got == {i: ("References\n\nHe was born in Rome.\n\n" if i < 4 else "") + f"Text {i}" for i in range(400)}
+
+
+def test_templates_are_counted_as_plainly(spark):
+    """Subtrees of every page counted in plain Python, page by page."""
+    rng, pages = random.Random(3), []
+    for i in range(300):
+        host = rng.choice(["a", "a", "a", "b", "c"])
+        parts = [f"<div><p>{rng.choice('uvw')}{rng.randint(0, rng.choice([3, 30, 300]))}</p><span>{rng.randint(0, 9)}</span></div>" for _ in range(rng.randint(0, 5))]
+        pages.append((i, f"http://{host}.example/", f"<body>{''.join(parts)}<section><p>own {rng.randint(0, 250)}</p></section></body>"))
+    parsed, bodies, seen = [], {}, {}
+    for key, url, page in pages:
+        blocks, nodes = html_template.parse(page)
+        digests, ups = html_template._subtrees(blocks, nodes)
+        body = "\n".join(t for t, _, bare in blocks if not bare)
+        parsed.append((key, url, blocks, digests, ups))
+        bodies.setdefault(url, {}).setdefault(body, set()).add(tuple(sorted(set(digests))))
+    for url, found in bodies.items():
+        for forms in found.values():
+            # Pages with one text count by one form; here equal texts have equal forms.
+            assert len(forms) == 1
+            for digest in next(iter(forms)):
+                seen[url, digest] = seen.get((url, digest), 0) + 1
+    want = {}
+    for key, url, blocks, digests, ups in parsed:
+        kept = []
+        for text, at, bare in blocks:
+            place, gone = at.place, bare
+            while place >= 0:
+                gone = gone or seen[url, digests[place]] >= max(4, len(bodies[url]) ** (1 / 3) - 1e-9)
+                place = ups[place]
+            if not gone:
+                kept.append(text)
+        want[key] = "\n\n".join(kept)
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_template.main_text(df).collect()} == want
+    assert len(set(want.values())) > 100
+
+
+HEAVY_PAGES = [
+    '<a b=" ' * 80_000, '<a b=" ' * 80_000 + ">", "<div>" * 100_000 + "x", "<div>" * 50_000 + "</p></li></b>" * 50_000,
+    "<div>" * 30_000 + "<li>x</li>" * 30_000, "<!" * 200_000, "<a " * 200_000, "<a b=\"'>" * 60_000, "<ul>" * 50_000, "<div><p>w</p>" * 40_000,
+]
+
+
+def test_heavy_pages_take_linear_time():
+    for page in HEAVY_PAGES:
+        batch = pa.RecordBatch.from_pydict({"_id": [1], "_url": ["http://h/"], "_html": [page]})
+        start = time.process_time()
+        (out,) = html_template.parse_pages(iter([batch]))
+        columns = [out.column(c) for c in ("_id", "_url", "digests", "ups", "blocks")]
+        none = pa.array([None], pa.list_(pa.int64()))
+        (kept,) = html_template.without_templates(iter([pa.RecordBatch.from_arrays([*columns, none], ["_id", "_url", "digests", "ups", "blocks", "templates"])]))
+        assert time.process_time() - start < 30
+        assert len(kept.column("text")[0].as_py()) <= len(page)
+
+
 def rows_of(df):
     return sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in df.collect()), key=str)
 
