@@ -25,6 +25,8 @@ from ..sources.shared import fresh_path, open_fs
 
 #: Bytes after which a task begins another package, bytes of one range read, gzip level.
 PACKAGE_BYTES, RANGE_BYTES, LEVEL = 256 << 20, 4 << 20, 1
+#: Parts that the rows of one payload are dealt to.
+SALTS = 16
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 _DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -146,8 +148,9 @@ def write_packages(
     )
     # Only digests that occur twice travel; one that a third of all rows share is one row of these.
     groups = rows.filter(F.col("_size") >= least).groupBy("_hex").agg(F.max("_id").alias("_top"), F.count("*").alias("_n"))
-    groups = groups.filter("_n > 1").select("_hex", "_top")
-    joined = rows.join(groups, "_hex", "left")
+    groups = groups.filter("_n > 1").select("_hex", "_top", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    # A payload of very many rows meets its digest in as many tasks as there are salts.
+    joined = rows.withColumn("_salt", F.pmod(F.xxhash64("_id", "_url"), F.lit(SALTS)).cast("int")).join(groups, ["_hex", "_salt"], "left")
     revisits = F.col("_top").isNotNull() & ~F.col("_id").eqNullSafe(F.col("_top"))
     records = joined.select(
         F.coalesce(F.col("_id").cast("string"), F.lit("null")).alias("_key"),
@@ -331,8 +334,11 @@ def read_packages(manifest: DataFrame, *, with_payload: bool = True) -> DataFram
     by_file = members.groupBy("path").agg(F.to_json(archives).alias("archives"), indexes.alias("indexes"))
     wanted = by_file.select("path", "archives", F.explode("indexes").alias("i")).select("path", "archives", "i.begin", "i.size")
     places = wanted.mapInArrow(read_places, _PLACES)
-    chunk = F.expr(f"begin div {8 * RANGE_BYTES}")
-    spread = places.withColumn("chunk", chunk).repartition("path", "chunk").sortWithinPartitions("path", "begin").drop("chunk")
+    chunk = F.expr(f"begin div {4 * RANGE_BYTES}")
+    # The index is far smaller than what it lists, so the packages' bytes say how many tasks read.
+    total = manifest.agg(F.sum("bytes")).first()[0] or 0
+    tasks = 1 + total // (4 * RANGE_BYTES)
+    spread = places.withColumn("chunk", chunk).repartition(tasks, "path", "chunk").sortWithinPartitions("path", "begin").drop("chunk")
     return spread.mapInArrow(record_reader(with_payload), _RECORDS)
 
 
