@@ -98,10 +98,12 @@ class FeatureSource(DataSource):
 
 
 def feature_rows(
-    spark: SparkSession, paths: str | list[str], feature_per_line: bool = False, range_bytes: int = RANGE_BYTES
+    spark: SparkSession, paths: str | list[str], feature_per_line: bool = False, range_bytes: int = RANGE_BYTES, exact: bool = True
 ) -> DataFrame:
     """(path, at, feature): the text of every feature, with the byte it begins at in its file.
 
+    Without ``exact`` the scan of Spark reads lines, which is faster, and ``at`` is where a line's split begins.
+
     Files are read by ranges, whether they have a feature a line or are one collection; a
     collection with each feature on a line of its own is read by lines if ``feature_per_line`` says so, and
     the lines around its features, which are no JSON by themselves, are left out. Archives are streamed, one per
@@ -118,7 +120,13 @@ def feature_rows(
         # A folder named like a file of lines: its parts may have any name.
         lines = sized(paths, ("",))
     if lines:
-        text = text_lines(spark, lines, range_bytes)
+        if exact:
+            text = text_lines(spark, lines, range_bytes)
+        else:
+            scanned = spark.read.text([p for p, _ in lines])
+            text = scanned.select(
+                F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), F.col("value").alias("line")
+            )
         feature = F.regexp_replace("line", r"\s*,?\s*$", "")
         kept = F.trim("line") != ""
         if feature_per_line:
@@ -191,10 +199,10 @@ def read_geojson(
 ) -> DataFrame:
     """Features as (properties, geometry); properties stay JSON text.
 
-    A damaged record is an error that names its place; ``split_geojson`` sets such records aside
-    instead. ``rebalance`` evens out the features, so a huge archive holds up only its scan.
+    A damaged record is an error that names its place, of a line the split it is in; ``split_geojson`` sets such
+    records aside instead. ``rebalance`` evens out the features, so a huge archive holds up only its scan.
     """
-    features = feature_rows(spark, paths, feature_per_line, range_bytes)
+    features = feature_rows(spark, paths, feature_per_line, range_bytes, exact=False)
     if rebalance:
         features = features.hint("rebalance")
     rows = judged(features, kind, dims)
