@@ -1,4 +1,8 @@
-"""From raw documents to a training mix: five stages, each one operator over all rows it gets."""
+"""From raw documents to a training mix: five stages, each one operator over all rows it gets.
+
+Every stage takes tables of any length, empty ones included, whole texts of any length, and further columns of any name;
+all but the last return the columns they got.
+"""
 
 from __future__ import annotations
 
@@ -13,27 +17,45 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without text in any learned language go; all others stay, whatever their label."""
+    """Documents in no learned language go: without a letter, or explained by none better than by single letters.
+
+    Learned from the rows of ``docs`` outside the held-out fold that have a language; others stay whatever their
+    label says. Null texts go; repeated rows and null ids are judged each; a table without labels keeps nothing.
+    """
     return cross_parse.in_a_language(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the largest doc_id stays."""
+    """Of equal texts (A-Z lower-cased, null as empty) the row with the largest doc_id stays, a null id being the smallest.
+
+    Of rows that repeat text and id one stays.
+    """
     return cuckoo.keep_one(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of similar texts, the row with the smallest doc_id stays."""
+    """Of each component of similar texts, the row with the smallest doc_id stays.
+
+    Rows without id stay, as do texts without words, which are similar to nothing; rows that repeat the
+    smallest id stay together.
+    """
     return prefix_tree.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with too many words under benchmark windows go."""
+    """Documents with too many words under benchmark windows go; null and empty texts have none.
+
+    Rows are told apart by id and text. Without benchmark items all stay.
+    """
     return decontaminate.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents the mix takes words of, with how many."""
+    """The documents the mix takes words of, with size, target and taken in place of columns so called.
+
+    Rows that share id and text become one with all their words; texts without words are not in the mix. Null
+    sources are one source, labels of one id count as the best of them.
+    """
     quality = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     return mixing.mixed_documents(docs, quality)
 
