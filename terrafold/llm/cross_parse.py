@@ -23,6 +23,8 @@ SAMPLE_DOCS, SAMPLE_BYTES = 96, 384
 #: A document is parsed in pieces of so many bytes, all of them at once; a phrase ends with its piece.
 PIECE = 256
 UNKNOWN = "und"
+#: Bits of phrases over bits of single symbols from which a text counts as being in no language.
+REJECT = 1.6
 _BREAK = 1 << 30
 
 
@@ -79,6 +81,8 @@ def parse_tables(texts: dict[str, bytes]) -> dict:
     moves, starts, base = [], [], 0
     for text in texts.values():
         go, n = automaton(text)
+        if base + (n + 1) * width > _BREAK:
+            raise ValueError(f"The tables of {len(texts)} languages do not fit; take less of each")
         # A symbol the text lacks is a phrase alone: from its state, n, every symbol begins anew.
         first = np.full(width, base + n * width, np.int64)
         for c, to in go[0].items():
@@ -99,6 +103,7 @@ def parse_tables(texts: dict[str, bytes]) -> dict:
         "symbol": number[table],
         "pad": width - 1,
         "bits": bits,
+        "letter_bits": np.array([letter_bits(text) for text in texts.values()]),
     }
 
 
@@ -126,6 +131,22 @@ def phrase_counts(model: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndar
     return (total[:, first[1:]] - total[:, first[:-1]]).T
 
 
+def letter_bits(text: bytes) -> float:
+    """Bits a symbol takes where only the symbols' frequencies are known."""
+    counts = np.bincount(np.frombuffer(text, np.uint8), minlength=1)
+    shares = counts[counts > 0] / max(1, counts.sum())
+    return float(-(shares * np.log2(shares)).sum())
+
+
+def repeated_blanks(model: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many blanks of each row follow a blank; training texts have none, so each ends a phrase."""
+    blank = symbols()[data] == 32
+    again = np.zeros(len(data) + 1, np.int64)
+    if len(data):
+        np.cumsum(blank[1:] & blank[:-1], out=again[2:])
+    return again[offsets[1:]] - again[np.minimum(offsets[:-1] + 1, offsets[1:])]
+
+
 def has_letter(text: bytes) -> bool:
     return any(c.isalpha() for c in text.decode("utf-8", "replace"))
 
@@ -161,8 +182,15 @@ def training_texts(docs: DataFrame, held_out: Column, id_col: str, text_col: str
     return out
 
 
-def predictor(texts: dict[str, bytes], spark: SparkSession) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
-    """A function from a column of texts to their languages and scores."""
+def predictor(
+    texts: dict[str, bytes], spark: SparkSession, reject: bool = False
+) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+    """A function from a column of texts to their languages and scores.
+
+    With ``reject`` a text is in no language if the best one's phrases take REJECT times the bits that its symbols
+    would take one by one: the language then explains nothing of it. Blanks after blanks do not count, nor does the phrase
+    that the text's end cuts off.
+    """
     shared = spark.sparkContext.broadcast({"texts": texts})
 
     def predict(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -184,7 +212,13 @@ def predictor(texts: dict[str, bytes], spark: SparkSession) -> Callable[[pa.Arra
                 letters[:] = False
                 estimate = np.ones((len(sizes), 1))
             else:
-                estimate = phrase_counts(model, data, offsets) * model["bits"] / np.maximum(sizes, 1)[:, None]
+                phrases = phrase_counts(model, data, offsets)
+                estimate = phrases * model["bits"] / np.maximum(sizes, 1)[:, None]
+                if reject:
+                    first = np.argmin(estimate, 1)
+                    again = repeated_blanks(model, data, offsets)
+                    whole = phrases[np.arange(len(sizes)), first] - 1 - again
+                    letters &= whole * model["bits"][first] < REJECT * model["letter_bits"][first] * np.maximum(sizes - again, 1)
             order = np.argsort(estimate, 1, kind="stable")
             low = np.take_along_axis(estimate, order[:, :2], 1)
             lead = 1 - low[:, 0] / np.maximum(low[:, 1], 1e-9) if low.shape[1] > 1 else np.ones(len(sizes))
@@ -229,9 +263,14 @@ def identify(
 
 
 def in_a_language(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that are in one of the learned languages; only ``und`` goes."""
+    """The rows of ``docs`` that are in one of the learned languages, with all their columns.
+
+    Null texts go, as do texts without any letter and those that the nearest language explains no better than
+    single letters do: random characters, or another script. A text of a phrase or two stays. Rows are judged
+    each by itself, so repeated rows and ids change nothing; a table without labels keeps no row, no rows give none.
+    """
     texts = training_texts(docs, default_fold(id_col), id_col, text_col, lang_col)
-    predict = predictor(texts, docs.sparkSession)
+    predict = predictor(texts, docs.sparkSession, reject=True)
 
     @F.arrow_udf(T.StringType())
     def language(column: pa.Array) -> pa.Array:
