@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -20,17 +21,18 @@ from pyspark.sql import functions as F
 from .shared import list_files, materialized, open_fs
 
 RANGE_BYTES = 32 << 20
-#: Tasks that the ranges are dealt to at most; a task takes its ranges one after the other.
-MOST_TASKS = 1 << 14
-#: Members of one Arrow batch, and bytes that are read at once beyond a range.
-_ROWS, _MORE = 2000, 1 << 20
+#: Bytes that make a task worth its start, tasks that small ranges are dealt to all the same, and the most
+#: tasks; a task takes its ranges one after the other.
+TASK_BYTES, FEW_TASKS, MOST_TASKS = 4 << 20, 32, 1 << 14
+#: Members of one Arrow batch, and bytes that are read at once beyond a range: few at first, then more.
+_ROWS, _LITTLE, _MORE = 2000, 1 << 12, 1 << 20
 _QUOTE, _BACKSLASH, _COMMA = 34, 92, 44
 _DELTA = np.zeros(256, np.int8)
 _DELTA[[91, 123]], _DELTA[[93, 125]] = 1, -1
 
 
 def byte_ranges(spark: SparkSession, listed: list[tuple[str, int]], size: int) -> DataFrame:
-    """(path, size, number, begin, end) of all files, dealt to a task for each range of bytes; an empty file has one range."""
+    """(path, size, number, begin, end) of all files, dealt to tasks; an empty file has one range."""
     files = spark.createDataFrame(listed, "path string, size bigint")
     starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(size).cast("long"))
     ranges = files.select("path", "size", F.posexplode(starts).alias("number", "begin"))
@@ -39,8 +41,19 @@ def byte_ranges(spark: SparkSession, listed: list[tuple[str, int]], size: int) -
 
 
 def _tasks(listed: list[tuple[str, int]], size: int) -> int:
-    """As many tasks as the files have ranges of bytes; small files share theirs."""
-    return min(MOST_TASKS, 1 + sum(n for _, n in listed) // size)
+    """A task for each range of bytes, or for several small ones: tasks follow the bytes, not the ranges."""
+    total = sum(n for _, n in listed)
+    return min(MOST_TASKS, 1 + total // size, max(FEW_TASKS, 1 + total // TASK_BYTES))
+
+
+def _opened(batch: pa.RecordBatch) -> Iterator[tuple[dict, pa.NativeFile]]:
+    """The ranges of a batch in the order of their files, each with its file; one file is open at a time."""
+    rows = sorted(batch.to_pylist(), key=lambda row: (row["path"], row["begin"]))
+    for path, ranges in groupby(rows, key=lambda row: row["path"]):
+        files, place = open_fs(path)
+        with files.open_input_file(place) as raw:
+            for row in ranges:
+                yield row, raw
 
 
 def read_range(raw: pa.NativeFile, begin: int, end: int) -> np.ndarray:
@@ -108,11 +121,9 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For both states a range may begin in: how deep it goes on, and the least depth on the way."""
     for batch in batches:
         rows = []
-        for row in batch.to_pylist():
-            files, place = open_fs(row["path"])
-            with files.open_input_file(place) as raw:
-                escaped = escapes_before(raw, row["begin"])
-                data = read_range(raw, row["begin"], row["end"])
+        for row, raw in _opened(batch):
+            escaped = escapes_before(raw, row["begin"])
+            data = read_range(raw, row["begin"], row["end"])
             scans = [Scan(data, inside, 0, escaped) for inside in (0, 1)]
             lows = [int(s.depth.min()) if len(s.depth) else 0 for s in scans]
             rows.append(
@@ -192,27 +203,25 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Keys of the outermost object, and where it closes (without a key)."""
     for batch in batches:
         rows = []
-        for row in batch.to_pylist():
-            files, place = open_fs(row["path"])
-            with files.open_input_file(place) as raw:
-                data = read_range(raw, row["begin"], row["end"])
-                scan = Scan(data, row["in_string"], row["depth"], row["escaped"])
-                begins = ((scan.byte == 123) | (scan.byte == _COMMA)) & (scan.depth == 1)
-                for at in scan.at[begins].tolist():
-                    text = _Text(raw, row["begin"] + at + 1)
-                    start = text.skip(0)
-                    if text.data[start : start + 1] != b'"':
-                        continue
-                    key, start = text.value(start)
-                    start = text.skip(start, b" \t\r\n:")
-                    scalar = None
-                    if text.data[start : start + 1] not in (b"{", b"["):
-                        scalar = json.dumps(text.value(start)[0])
-                    rows.append(
-                        {"path": row["path"], "at": row["begin"] + at, "key": key, "value_at": text.at + start, "scalar": scalar}
-                    )
-                for at in scan.at[(scan.depth == 0) & (scan.delta < 0)].tolist():
-                    rows.append({"path": row["path"], "at": row["begin"] + at, "key": None, "value_at": None, "scalar": None})
+        for row, raw in _opened(batch):
+            data = read_range(raw, row["begin"], row["end"])
+            scan = Scan(data, row["in_string"], row["depth"], row["escaped"])
+            begins = ((scan.byte == 123) | (scan.byte == _COMMA)) & (scan.depth == 1)
+            for at in scan.at[begins].tolist():
+                text = _Text(raw, row["begin"] + at + 1)
+                start = text.skip(0)
+                if text.data[start : start + 1] != b'"':
+                    continue
+                key, start = text.value(start)
+                start = text.skip(start, b" \t\r\n:")
+                scalar = None
+                if text.data[start : start + 1] not in (b"{", b"["):
+                    scalar = json.dumps(text.value(start)[0])
+                rows.append(
+                    {"path": row["path"], "at": row["begin"] + at, "key": key, "value_at": text.at + start, "scalar": scalar}
+                )
+            for at in scan.at[(scan.depth == 0) & (scan.delta < 0)].tolist():
+                rows.append({"path": row["path"], "at": row["begin"] + at, "key": None, "value_at": None, "scalar": None})
         yield _as_batch(rows, _PAIRS)
 
 
@@ -231,17 +240,15 @@ _MEMBERS = "path string, at bigint, member string"
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = []
     for batch in batches:
-        for row in batch.to_pylist():
-            files, place = open_fs(row["path"])
-            with files.open_input_file(place) as raw:
-                rows = []
-                for at, text in _members_of(raw, row):
-                    rows.append({"path": row["path"], "at": at, "member": text})
-                    if len(rows) == _ROWS:
-                        yield _as_batch(rows, _MEMBERS)
-                        rows = []
-                yield _as_batch(rows, _MEMBERS)
+        for row, raw in _opened(batch):
+            for at, text in _members_of(raw, row):
+                rows.append({"path": row["path"], "at": at, "member": text})
+                if len(rows) == _ROWS:
+                    yield _as_batch(rows, _MEMBERS)
+                    rows = []
+    yield _as_batch(rows, _MEMBERS)
 
 
 def _members_of(raw: pa.NativeFile, row: dict) -> Iterator[tuple[int, str]]:
@@ -260,10 +267,10 @@ def _members_of(raw: pa.NativeFile, row: dict) -> Iterator[tuple[int, str]]:
         return
     # The last member may end in a later range.
     start = int(at[-1]) + 1
-    text, end = [data[start:].tobytes()], row["end"]
+    text, end, step = [data[start:].tobytes()], row["end"], _LITTLE
     inside, depth, escaped = scan.inside_after, scan.depth_after, escaped_after(data, row["escaped"])
     while end < row["until"]:
-        more = read_range(raw, end, min(row["until"], end + _MORE))
+        more = read_range(raw, end, min(row["until"], end + step))
         if not len(more):
             break
         scan = Scan(more, inside, depth, escaped)
@@ -273,7 +280,7 @@ def _members_of(raw: pa.NativeFile, row: dict) -> Iterator[tuple[int, str]]:
             break
         text.append(more.tobytes())
         inside, depth, escaped = scan.inside_after, scan.depth_after, escaped_after(more, escaped)
-        end += len(more)
+        end, step = end + len(more), min(_MORE, step * 4)
     yield from _member(b"".join(text), row["begin"] + start)
 
 
@@ -330,10 +337,10 @@ def lines_of(row: dict) -> Iterator[tuple[int, bytes]]:
     with files.open_input_file(place) as raw:
         begin, end = row["begin"], row["end"]
         first = max(0, begin - 1)
-        data = read_range(raw, first, end).tobytes()
+        data, step = read_range(raw, first, end).tobytes(), _LITTLE
         while data and not data.endswith(b"\n"):
             raw.seek(first + len(data))
-            more = raw.read(_MORE)
+            more, step = raw.read(step), min(_MORE, step * 4)
             if not more:
                 break
             cut = more.find(b"\n")

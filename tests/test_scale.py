@@ -200,6 +200,30 @@ def test_members_in_any_ranges(spark, tmp_path, size):
         assert all(json.loads(r.last) == json.loads(raw)["last"] for r in own)
 
 
+def test_small_ranges_share_tasks(spark):
+    dealt = json_ranges.byte_ranges(spark, [("a", 1 << 20), ("b", 5)], 100)
+    assert dealt.rdd.getNumPartitions() == json_ranges.FEW_TASKS
+    assert dealt.agg(F.count("*"), F.sum(F.col("end") - F.col("begin"))).first()[:] == (10487, (1 << 20) + 5)
+    # Tasks grow with the bytes; large ranges have one each.
+    assert json_ranges._tasks([("a", 1 << 32)], 20_000) == 1 + (1 << 32) // json_ranges.TASK_BYTES
+    assert json_ranges._tasks([("a", 1 << 32)], 32 << 20) == 129
+
+
+def test_members_far_beyond_their_range(spark, tmp_path, monkeypatch):
+    members = [{"t": '\\"],é' * n} for n in (30, 5000, 1, 40_000)]
+    (tmp_path / "far.json").write_text(json.dumps({"features": members, "last": 1}))
+    read = []
+    whole = json_ranges.read_range
+    monkeypatch.setattr(json_ranges, "read_range", lambda raw, begin, end: read.append(end - begin) or whole(raw, begin, end))
+    with pa.OSFile(str(tmp_path / "far.json")) as raw:
+        rows = [{"begin": 13, "end": 20, "in_string": 0, "depth": 1, "escaped": 0, "value_at": 13, "until": raw.size() - 11}]
+        (_, text), = json_ranges._members_of(raw, rows[0])
+    # A short member costs no long read.
+    assert json.loads(text) == members[0] and sum(read) < 10_000
+    found = json_ranges.json_members(spark, list_files(str(tmp_path), ("json",)), "features", 64).orderBy("at").collect()
+    assert [json.loads(r.member) for r in found] == members
+
+
 def test_torn_and_other_documents_are_errors(spark, tmp_path):
     (tmp_path / "torn.json").write_text('{"features": [{"a": "b"}, {"a"')
     with pytest.raises(Exception, match="ends before it is closed"):
