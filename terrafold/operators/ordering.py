@@ -174,6 +174,16 @@ def with_rank(
     return with_running(df, order_by, within, name)
 
 
+def spread(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """The table in tasks of about ``rows`` rows, dealt by ``keys``; one that is not larger stays as it is.
+
+    For small rows that become many or wide ones: however few pieces a scan can be cut into, what a
+    task then sorts or groups stays bounded. A unique key deals evenly and needs no sort, as rows dealt in turn would.
+    """
+    tasks = -(-df.count() // rows)
+    return df.repartition(tasks, *keys) if tasks > 1 else df
+
+
 def first_appearance(df: DataFrame, keys: list[str], ordinal: str) -> DataFrame:
     """Groups with the lowest ordinal of each, for ordering them as they first occur."""
     return df.groupBy(*keys).agg(F.min(ordinal).alias(ordinal))

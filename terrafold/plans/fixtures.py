@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.coords import NAN, coord_struct, make_box
 from ..functions.types import GeometryTag, tagged
+from ..operators.ordering import spread
 from ..operators.vertices import line_pieces
 from ..sources.shared import list_files, materialized, open_fs
 from .validate import FEATURE_MAGIC
@@ -19,6 +20,8 @@ from .catalog import SUFFIXES
 
 CRS84 = {"crs": "OGC:CRS84", "crs_type": "authority_code"}
 PIECE = 64
+#: Parts whose assets, eight or so each, one task lists.
+PARTS_PER_TASK = 50_000
 REPO_BASE = "https://example.org/raw"
 RELEASE_BASE = "https://example.org/releases"
 REF = "v1"
@@ -142,7 +145,8 @@ def manifests(spark: SparkSession, sf: str) -> DataFrame:
     file = F.struct(name.alias("name"), nothing.alias("format"), skip.alias("skip_format"))
     group = F.expr("translate(lower(replace(p_brand, '#', '-')), '0123456789', 'abcdefghij')")
     location = F.when(F.col("p_size") % 2 == 0, "repo").otherwise("release")
-    return table(spark, sf, "part").select(
+    parts = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    return spread(parts, ["p_partkey"], PARTS_PER_TASK).select(
         "p_partkey",
         group.alias("group"),
         location.alias("file_location"),

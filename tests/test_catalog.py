@@ -4,8 +4,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from terrafold.operators import compare, ordering
-from terrafold.plans import catalog
+from terrafold.plans import catalog, fixtures
 
 from .samples import FILES, FILES_PER_GROUP, MANIFESTS
 
@@ -153,3 +154,20 @@ def test_selections_by_name(assets):
     sized = names.select("base", catalog.size_compression(F.col("base"), ["trails", "harbours-"]).alias("c"))
     assert {r.base.split("_")[0] for r in sized.filter("c = 'zstd'").collect()} == {"trails", "harbours-crs"}
     assert catalog.keep_keys(assets, "group", ["trails"]).count() == 9
+
+
+def test_large_manifests_are_expanded_by_many_tasks(spark, sf, monkeypatch):
+    whole = catalog.expand_manifests(fixtures.manifests(spark, sf))
+    monkeypatch.setattr(fixtures, "PARTS_PER_TASK", 20)
+    dealt = catalog.expand_manifests(fixtures.manifests(spark, sf))
+    counts = dealt.groupBy(F.spark_partition_id()).count().collect()
+    assert len(counts) >= 8 and max(r["count"] for r in counts) < whole.count() // 2
+    assert compare.tables_equal(whole, dealt)
+
+
+@pytest.mark.parametrize("name", ["asset_files", "asset_diff", "asset_listing"])
+def test_asset_queries_give_the_same_from_dealt_parts(spark, sf, monkeypatch, name):
+    run = contract.queries()[name]
+    want = run(spark, sf)
+    monkeypatch.setattr(fixtures, "PARTS_PER_TASK", 20)
+    assert compare.tables_equal(want, run(spark, sf))
