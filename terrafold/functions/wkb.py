@@ -359,11 +359,11 @@ def texts_to_wkb(texts: pa.Array, parse) -> pa.Array:
 
 def wkt_to_wkb(text: Column) -> Column:
     """For columns of mixed types and collections; typed columns parse and encode instead."""
-    from .wkt import parse_array
+    from .wkt import parse_slices
 
     @arrow_udf("binary")
     def convert(values: pa.Array) -> pa.Array:
-        return texts_to_wkb(values, parse_array)
+        return texts_to_wkb(values, parse_slices)
 
     return convert(text)
 

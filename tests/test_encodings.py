@@ -1,4 +1,5 @@
 import json
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -205,3 +206,22 @@ def test_number_text(spark):
     assert [float(t) for t in out] == values
     assert out[:4] == ["0", "-1", "10000000", "123456789012"]
     assert not np.any([t.endswith(".0") for t in out])
+
+
+def test_texts_are_parsed_a_bounded_number_of_bytes_at_a_time(monkeypatch):
+    line = "LINESTRING (" + ", ".join(f"{i}.25 {-i}" for i in range(64)) + ")"
+    texts = pa.array([line, None, "LINESTRING EMPTY", *[line] * 9000])
+    want = wkt.parse_array(texts, "linestring", "xy")
+    tracemalloc.start()
+    assert wkt.parse_slices(texts, "linestring", "xy").equals(want)
+    # Working arrays of the whole batch take some 500 MB.
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+    monkeypatch.setattr(wkt, "PARSE_BYTES", 20)
+    few = pa.array([None, None, "POINT EMPTY", "POINT (1 2)", None, "POINT (3000000000.5 4000000000.5)"] * 2).slice(1)
+    assert repr(wkt.parse_slices(few, "point", "xy").to_pylist()) == repr(wkt.parse_array(few, "point", "xy").to_pylist())
+    assert wkt.parse_slices(few.slice(0, 0), "point", "xy").type == wkt.parse_array(few, "point", "xy").type
+    seen = []
+    monkeypatch.setattr(wkt, "parse_array", lambda values, kind, dims, f=wkt.parse_array: seen.append(len(values)) or f(values, kind, dims))
+    wkt.parse_slices(few, "point", "xy")
+    assert sum(seen) == 11 and max(seen) < 5
