@@ -160,7 +160,8 @@ def _features(spark, sf) -> DataFrame:
     names = fixtures.table(spark, sf, "part").select(F.col("p_partkey").alias("fid"), fixtures.awkward_note().alias("note"))
     body = F.struct(F.lit("Polygon").alias("type"), F.col(GEOMETRY).alias("coordinates"))
     feature = F.struct(F.lit("Feature").alias("type"), F.struct("fid", "note").alias("properties"), body.alias("geometry"))
-    return shapes.join(names, "fid").select("fid", F.to_json(feature).alias("feature"))
+    # Notes are far larger than the files they are made from suggest: no side is one to broadcast.
+    return shapes.join(names.hint("merge"), "fid").select("fid", F.to_json(feature).alias("feature"))
 
 
 @query
