@@ -10,6 +10,8 @@ members that begin in it, and reads on past its end for the last one.
 from __future__ import annotations
 
 import json
+import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -141,6 +143,15 @@ def _as_batch(rows: list[dict], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist(rows, pa.schema([(n, kinds[k]) for n, k in fields]))
 
 
+def _of_tuples(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    """``_as_batch`` column by column, for many rows."""
+    if not rows:
+        return _as_batch([], schema)
+    kinds = [pa.string() if part.endswith(" string") else pa.int64() for part in schema.split(", ")]
+    names = [part.split()[0] for part in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+
 def scan_states(spark: SparkSession, listed: list[tuple[str, int]], range_bytes: int) -> DataFrame:
     """Every range with its true state: in_string, depth, escaped, and the least depth it reaches."""
     found = byte_ranges(spark, listed, range_bytes).mapInArrow(_summaries, _SUMMARY)
@@ -367,5 +378,53 @@ def text_lines(spark: SparkSession, listed: list[tuple[str, int]], range_bytes:
     return byte_ranges(spark, listed, range_bytes).mapInArrow(_lines, _LINES)
 
 
+def _first_mark(marks: list[re.Pattern], line: bytes) -> int:
+    return next((i for i, mark in enumerate(marks) if mark.fullmatch(line)), -1)
+
+
+def numbered_lines(
+    spark: SparkSession, listed: list[tuple[str, int]], marks: dict[str, bytes], range_bytes: int = RANGE_BYTES
+) -> DataFrame:
+    """(path, at, line, mark, …): every line, the first of ``marks`` that is its pattern, and how many lines have each mark before it.
+
+    ``marks`` gives patterns of whole lines by name; the counts are columns of these names, over all files in the order
+    of their paths. Each range is scanned once to count, which is written as a row for each range; with prefix sums over
+    these a second scan numbers the lines where they stand. No line is sorted or sent anywhere.
+    """
+    names, patterns = list(marks), [re.compile(m, re.DOTALL) for m in marks.values()]
+    counts_schema = "path string, number int, begin bigint, end bigint, " + ", ".join(f"{n} bigint" for n in names)
+    lines_schema = "path string, at bigint, line string, mark string, " + ", ".join(f"{n} bigint" for n in names)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                found = Counter(_first_mark(patterns, line) for _, line in lines_of(row))
+                rows.append({**row, **{n: found[i] for i, n in enumerate(names)}})
+            yield _as_batch(rows, counts_schema)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                before, rows = [row[n] for n in names], []
+                for at, line in lines_of(row):
+                    mark = _first_mark(patterns, line)
+                    rows.append((row["path"], at, line.decode("utf-8", "replace"), names[mark] if mark >= 0 else None, *before))
+                    if mark >= 0:
+                        before[mark] += 1
+                    if len(rows) == _ROWS:
+                        yield _of_tuples(rows, lines_schema)
+                        rows = []
+                yield _of_tuples(rows, lines_schema)
+
+    counted = byte_ranges(spark, listed, range_bytes).mapInArrow(count, counts_schema)
+    counted = materialized(counted, "line-counts")
+    # One short row for each range of a file.
+    earlier = Window.orderBy("path", "number").rowsBetween(Window.unboundedPreceding, -1)
+    sums = {n: F.coalesce(F.sum(n).over(earlier), F.lit(0)) for n in names}
+    placed = counted.withColumns(sums).repartition(_tasks(listed, range_bytes), "path", "number")
+    return placed.mapInArrow(number, lines_schema)
+
+
 def sized(paths: str | list[str], suffixes: tuple[str, ...]) -> list[tuple[str, int]]:
     return [f for one in ([paths] if isinstance(paths, str) else paths) for f in list_files(one, suffixes)]

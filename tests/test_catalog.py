@@ -177,3 +177,24 @@ def test_listings_broadcast_their_tags_and_no_lines(spark, listed):
     plan = catalog.listing_lines(listed)._jdf.queryExecution().executedPlan().toString()
     build = [b for b in re.findall(r"BroadcastExchange.*?(?=BroadcastExchange|$)", plan, re.S)]
     assert len(build) == 1 and "collect_list" not in build[0].split("Scan parquet")[0]
+
+
+@pytest.mark.parametrize("size", [90, 32 << 20])
+def test_object_in_parts_is_numbered_without_sorting_its_lines(spark, tmp_path, size):
+    groups = ['a"],"files":[', "b\\", "{c", "dé"]
+    rows = [(g, f'n"{g}-{i}', "tsv", f"u{i}", i, 0) for g in groups for i in range(60)]
+    listed = spark.createDataFrame(rows, "group string, name string, format string, url string, file_pos int, format_pos int")
+    path = f"{tmp_path}/object.json"
+    whole = catalog.manifest_object_lines(listed, 'v"9', groups)
+    order = ["group_pos", "step", "file_pos", "format_pos"]
+    # Parts that may end anywhere, one of them empty.
+    texts = [r.line for r in whole.orderBy(*order).collect()]
+    (tmp_path / "object.json").mkdir()
+    for i, (low, high) in enumerate([(0, 1), (1, 70), (70, 70), (70, 130), (130, len(texts))]):
+        (tmp_path / "object.json" / f"part-{i:05d}.txt").write_text("".join(t + "\n" for t in texts[low:high]), encoding="utf-8")
+    assert [g["name"] for g in json.loads("".join(texts))["groups"]] == groups
+    back = catalog.read_manifest_json(spark, path, size)
+    want = [('v"9', groups.index(g), pos, g, n, f, u) for g, n, f, u, pos, _ in rows]
+    assert sorted(tuple(r) for r in back.collect()) == sorted(want)
+    plan = back._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan.split("MapInArrow")[0] and "Sort" not in plan
