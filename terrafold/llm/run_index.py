@@ -233,152 +233,234 @@ class RunIndex:
     def __init__(self, texts: list[bytes]) -> None:
         lens = np.array([len(t) for t in texts])
         n = int(lens.sum()) + len(texts)
-        symbols = np.zeros(n + LENGTH, np.int64)
         ends = np.cumsum(lens + 1)
-        inside = np.ones(n, bool)
-        inside[ends - 1] = False
-        symbols[:n][inside] = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64) + 1
-        order, context, half = self._sorted(symbols, n)
-        text = np.repeat(np.arange(len(texts)), lens + 1)
-        before = np.where(order > 0, symbols[order - 1], 0)
+        data = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
+        #: Symbols of bytes: 0 is a text's end, the last one stands for all bytes that no text has.
+        seen = np.bincount(data, minlength=256)
+        seen[0] -= len(texts)
+        self.symbols = int(np.count_nonzero(seen)) + 2
+        self.code = np.full(256, self.symbols - 1, np.int64)
+        self.code[seen > 0] = np.arange(1, self.symbols - 1)
+        symbols = np.zeros(n + LENGTH, np.int64)
+        symbols[:n] = self.code[data]
+        symbols[ends - 1] = 0
+        order, context, rank, have = self._sorted(symbols, n)
+        before = symbols[order - 1]
         new = np.ones(n, bool)
         new[1:] = (before[1:] != before[:-1]) | (context[1:] != context[:-1])
         start = np.flatnonzero(new)
+        at = order[start]
+        self.runs = runs = len(start)
         #: Preceding symbol of each run, and the text sampled at its first row.
         self.head = before[start]
-        self.sample = text[order[start]]
-        runs = len(start)
-        size = np.diff(np.append(start, n))
-        # First run of the rows that begin with each symbol.
-        counts = np.bincount(symbols[:n], minlength=258)
-        base = np.concatenate([[0], np.cumsum(counts)])
-        # Runs by head, and the run to which the first row of each is mapped.
-        by_head = np.argsort(self.head, kind="stable")
-        ahead = np.concatenate([[0], np.cumsum(size[by_head])])[:-1]
-        first_of = np.searchsorted(self.head[by_head], np.arange(258))
-        ahead = ahead - ahead[np.minimum(first_of[self.head[by_head]], runs - 1)]
-        self.key = self.head[by_head] * (runs + 1) + by_head
-        self.to = np.append(np.searchsorted(start, base[self.head[by_head]] + ahead, "right") - 1, 0)
-        self.symbol_end = np.searchsorted(start, base[1:])
-        self.key_end = np.searchsorted(self.head[by_head], np.arange(258), "right")
-        self.runs = runs
+        self.sample = np.repeat(np.arange(len(texts)), lens + 1)[at]
+        # Strings of LENGTH by number, and the run where each begins.
+        string = context[start]
+        first = np.append(np.flatnonzero(np.append(True, string[1:] != string[:-1])), runs)
+        number = np.empty(n, np.int64)
+        number[order] = context
+        del order, context, before, new, start, string
+        # A run's head and the string after it begin where the rows of the first run with that head in an
+        # interval are mapped, and end where those of the last one are.
+        mapped = number[at - 1]
+        self.to, self.after = first[mapped], first[mapped + 1]
+        del number, mapped, first
         # The runs that share all but the last byte with each run: what is left when it is dropped.
-        at = order[start]
-        two = np.stack([half[at], half[at + LENGTH - 1 - self.HALF]])
-        fresh = np.append(True, (two[:, 1:] != two[:, :-1]).any(0))
+        fresh = np.ones(runs + 1, bool)
+        fresh[1:-1] = False
+        for part in (rank[at], rank[at + LENGTH - 1 - have]):
+            fresh[1:-1] |= part[1:] != part[:-1]
+        del rank, part
         change = np.flatnonzero(fresh)
-        group = np.cumsum(fresh) - 1
-        self.wider_from = change[group]
-        self.wider_to = np.append(change[1:], runs)[group]
-
-    #: Symbols of the ranks that strings of LENGTH are put together from.
-    HALF = 28
-
-    def _sorted(self, symbols: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Rows by their first LENGTH symbols, then position; the class of each row; ranks of HALF symbols."""
-        # Seven symbols in one number, then ranks of twice the length from pairs of ranks.
-        key = np.zeros(n + LENGTH - 6, np.int64)
-        for i in range(7):
-            key = key * 257 + symbols[i : i + len(key)]
-        rank, have = np.unique(key, return_inverse=True)[1], 7
-        while have < self.HALF:
-            key = rank[: len(rank) - have] * (int(rank.max()) + 1) + rank[have:]
-            rank, have = np.unique(key, return_inverse=True)[1], 2 * have
-        # A string that reaches over a text's end is as unique as the end itself.
-        key = rank[:n] * (int(rank.max()) + 1) + rank[LENGTH - have : LENGTH - have + n]
-        order = np.argsort(key, kind="stable")
-        return order, key[order], rank
-
-    def _bound(self, symbol: np.ndarray, run: np.ndarray) -> np.ndarray:
-        """Where the rows of a symbol before some run go: the run that begins there."""
-        at = np.searchsorted(self.key, symbol * (self.runs + 1) + run)
-        return np.where(at < self.key_end[symbol], self.to[at], self.symbol_end[symbol])
+        group = np.cumsum(fresh[:-1]) - 1
+        self.wider_from, self.wider_to = change[group], change[group + 1]
+        del change, group
+        # The runs of each string of SEED bytes, where a match begins.
+        seeds = self._seeds(symbols)[at]
+        del symbols, at
+        seed_at = np.flatnonzero(np.append(True, seeds[1:] != seeds[:-1]))
+        self.seeds, self.seed_at = seeds[seed_at], np.append(seed_at, runs)
+        del seeds
+        # Runs by head, for the next and the last run of some head.
+        by_head = np.argsort(self.head.astype(np.uint16), kind="stable")
+        self.by_head = np.append(by_head, 0)
+        self.key = np.append(self.head[by_head] * (runs + 1) + by_head, self.symbols * (runs + 1))
+
+    #: Bytes of a string that is looked up whole; strings that are streamed in one go.
+    SEED, PIECE = 6, 128
+
+    def _seeds(self, symbols: np.ndarray) -> np.ndarray:
+        """The strings of SEED symbols as numbers."""
+        key = np.zeros(max(0, len(symbols) - self.SEED + 1), np.int64)
+        for i in range(self.SEED):
+            key *= self.symbols
+            key += symbols[i : i + len(key)]
+        return key
+
+    def _sorted(self, symbols: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        """Rows by their first LENGTH symbols, then position; each row's string by number; ranks of how many symbols."""
+        width, bits = len(symbols).bit_length(), (self.symbols - 1).bit_length()
+        # As many symbols as go into one number beside the position, then ranks of twice the length from pairs of ranks.
+        have = min(LENGTH // 2, (63 - width) // bits)
+        key = np.zeros(len(symbols), np.int64)
+        for i in range(have):
+            key <<= bits
+            key[: len(symbols) - i] |= symbols[i:]
+        order, number = self._numbered(key, width, have * bits)
+        while True:
+            rank = np.empty(len(symbols), np.int64)
+            rank[order] = number
+            shift = min(have, LENGTH - have)
+            key = rank << width
+            # Beyond the last symbol there are only ends, which have rank 0.
+            key[: len(symbols) - shift] |= rank[shift:]
+            if have + shift == LENGTH:
+                # A string that reaches over a text's end is as unique as the end itself.
+                return *self._numbered(key[:n], width, 2 * width), rank, have
+            order, number = self._numbered(key, width, 2 * width)
+            have += shift
+
+    @staticmethod
+    def _numbered(key: np.ndarray, width: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Positions by key, then position; the key of each by number."""
+        if bits + width < 64:
+            # With the position in it, numbers are sorted instead of positions by number.
+            key = key << width
+            key |= np.arange(len(key))
+            key.sort()
+            order = key & ((1 << width) - 1)
+            key >>= width
+        else:
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+        number = np.zeros(len(key), np.int64)
+        np.cumsum(key[1:] != key[:-1], out=number[1:])
+        return order, number
 
     def statistics(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Of each text, for every string of LENGTH bytes in it, the first indexed text that has it.
+        """Of each text, for every string of LENGTH bytes in it, the first indexed text that has it, or -1."""
+        found, place = self.streamed(texts)
+        return np.split(found, place[1:-1]) if len(texts) else []
 
-        All texts are streamed side by side from their last byte to their first. The matching
-        length grows by one a step up to LENGTH, and stays there by giving up the last byte.
+    def streamed(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The statistics of all texts in one array, and where each text's begin.
+
+        Pieces of the texts are streamed side by side from their last byte to their first. The
+        matching length grows by one a step up to LENGTH, and stays there by giving up the last byte.
         """
-        lens = np.array([len(t) for t in texts])
-        data = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64) + 1
-        begin = np.concatenate([[0], np.cumsum(lens)])[:-1]
-        order = np.argsort(-lens, kind="stable")
-        low, high = np.zeros(len(texts), np.int64), np.full(len(texts), self.runs, np.int64)
+        lens = np.array([len(t) for t in texts], np.int64)
+        symbols = self.code[np.frombuffer(b"".join(texts), np.uint8)]
         windows = np.maximum(lens - LENGTH + 1, 0)
-        place = np.concatenate([[0], np.cumsum(windows)])
+        place = np.append(0, np.cumsum(windows))
         found = np.full(place[-1], -1, np.int64)
-        matched = np.zeros(len(texts), np.int64)
-        for step in range(int(lens.max(initial=0))):
-            active = order[: np.searchsorted(-lens[order], -step)]
-            full = active[matched[active] == LENGTH]
-            run = low[full]
-            low[full], high[full] = self.wider_from[run], self.wider_to[run]
-            matched[full] -= 1
-            position = lens[active] - 1 - step
-            symbol = data[begin[active] + position]
-            a, b = self._bound(symbol, low[active]), self._bound(symbol, high[active])
-            # A byte that leads nowhere ends the match; it starts again with the next one.
-            lost = a >= b
-            low[active], high[active] = np.where(lost, 0, a), np.where(lost, self.runs, b)
-            matched[active] = np.where(lost, 0, matched[active] + 1)
-            done = matched[active] == LENGTH
-            whole = active[done]
-            found[place[whole] + position[done]] = self.sample[low[whole]]
-        return np.split(found, place[1:-1]) if len(texts) else []
+        # Pieces share LENGTH - 1 bytes with the next, so that each string is in one of them.
+        pieces = -(-windows // self.PIECE)
+        text = np.repeat(np.arange(len(texts)), pieces)
+        skip = (np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * self.PIECE
+        size = np.minimum(windows[text] - skip, self.PIECE) + LENGTH - 1
+        begin, into = (np.cumsum(lens) - lens)[text] + skip, place[text] + skip
+        while len(size):
+            begin, into, size = self._stream(symbols, begin, into, size, found)
+        return found, place
+
+    def _stream(self, symbols: np.ndarray, begin: np.ndarray, into: np.ndarray, size: np.ndarray, found: np.ndarray) -> np.ndarray:
+        """One pass over pieces of symbols; of those whose match ended, what may still be found."""
+        pieces = np.stack([begin, into, size])[:, np.argsort(-size, kind="stable")]
+        seed = self._seeds(symbols)[pieces[0] + pieces[2] - self.SEED]
+        known = np.minimum(np.searchsorted(self.seeds, seed), len(self.seeds) - 1)
+        low, high = self.seed_at[known], self.seed_at[known + 1]
+        lost, short = self.seeds[known] != seed, pieces[2] - 1
+        again, matched = [], self.SEED
+        for step in range(self.SEED, int(size.max()) + 1):
+            if lost.any():
+                # No string with the whole match and the byte before it is found; the next one ends a byte earlier.
+                again.append(np.stack([pieces[0], pieces[1], short])[:, lost & (short >= LENGTH)])
+                pieces, low, high = pieces[:, ~lost], low[~lost], high[~lost]
+            live = int(np.searchsorted(-pieces[2], -step))
+            if not live:
+                break
+            pieces, low, high = pieces[:, :live], low[:live], high[:live]
+            if matched == LENGTH:
+                low, high, matched = self.wider_from[low], self.wider_to[low], matched - 1
+            begin, into, size = pieces
+            low, high, lost = self._extended(symbols[begin + size - 1 - step], low, high)
+            short = size - step + matched - 1
+            matched += 1
+            if matched == LENGTH:
+                found[into + size - 1 - step] = np.where(lost, -1, self.sample[low])
+        return np.concatenate(again, axis=1) if again else pieces[:, :0]
+
+    def _extended(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The intervals of strings with a symbol before them, and whether there are none."""
+        first, last = low, high - 1
+        lost = np.zeros(len(low), bool)
+        # Late in a match, most intervals begin and end with runs of the symbol; the others look for such runs.
+        other = np.flatnonzero(self.head[first] != symbol)
+        if len(other):
+            goal = symbol[other] * (self.runs + 1)
+            at = np.searchsorted(self.key, goal + low[other])
+            lost[other] = self.key[at] >= goal + high[other]
+            first = first.copy()
+            first[other] = self.by_head[at]
+        other = np.flatnonzero(self.head[last] != symbol)
+        if len(other):
+            at = np.searchsorted(self.key, symbol[other] * (self.runs + 1) + high[other]) - 1
+            last[other] = self.by_head[at]
+        return self.to[first], self.after[last], lost
+
+
+def first_documents(texts: list[bytes], values: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each distinct text, the first document of its windows, in runs: bounds of its runs, first windows, documents."""
+    order = np.argsort(values, kind="stable")
+    sizes = np.cumsum([len(texts[k]) for k in order.tolist()])
+    edges = np.flatnonzero(values[order][1:] != values[order][:-1]) + 1
+    bounds = np.zeros((2, len(texts)), np.int64)
+    places, docs = [], []
+    begin = total = 0
+    # Values share no windows, so a bucket is indexed a few of them at a time.
+    for edge in [*edges.tolist(), len(order)]:
+        if edge < len(order) and sizes[edge - 1] - (sizes[begin - 1] if begin else 0) < ROUND_INDEX:
+            continue
+        members = order[begin:edge]
+        members = members[np.argsort(firsts[members], kind="stable")]
+        begin = edge
+        ordered = [texts[k] for k in members.tolist()]
+        hits, place = RunIndex(ordered).streamed(ordered)
+        first = firsts[members[hits]]
+        new = np.append(True, first[1:] != first[:-1])
+        new[place[:-1]] = True
+        cuts = np.flatnonzero(new)
+        bounds[:, members] = np.searchsorted(cuts, [place[:-1], place[1:]]) + total
+        places.append((cuts - np.repeat(place[:-1], np.diff(np.searchsorted(cuts, place)))).astype(np.uint32))
+        docs.append(first[cuts])
+        total += len(cuts)
+    return bounds, np.concatenate(places), np.concatenate(docs)
 
 
 def index_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For every segment of a bucket, the first document of each of its windows, in runs."""
     for bucket, rows in _grouped(batches, "bucket"):
-        values = np.concatenate([np.frombuffer(r["vals"], np.uint64) for r in rows])
-        firsts = np.concatenate([np.frombuffer(r["firsts"], np.int64) for r in rows])
-        texts: list[bytes] = []
-        counts = []
+        numbers: dict[bytes, int] = {}
+        which, counts = [], []
         for r in rows:
             lens = np.frombuffer(r["lens"], np.uint32).astype(np.int64)
             data = zstandard.ZstdDecompressor().decompress(r["data"], max_output_size=max(1, int(lens.sum())))
-            cuts = np.concatenate([[0], np.cumsum(lens)]).tolist()
-            texts += [data[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            cuts = np.append(0, np.cumsum(lens)).tolist()
+            which += [numbers.setdefault(data[a:b], len(numbers)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             counts.append(len(lens))
-        runs: list = [None] * len(texts)
-        order = np.argsort(values, kind="stable")
-        sizes = np.cumsum([len(texts[k]) for k in order])
-        edges = np.flatnonzero(np.append(True, values[order][1:] != values[order][:-1]))
-        begin = 0
-        # Values share no windows, so a bucket is indexed a few of them at a time.
-        for edge in [*edges[1:].tolist(), len(order)]:
-            if edge < len(order) and sizes[edge - 1] - (sizes[begin - 1] if begin else 0) < ROUND_INDEX:
-                continue
-            members = order[begin:edge]
-            begin = edge
-            distinct: dict[bytes, int] = {}
-            for k in members.tolist():
-                text = texts[k]
-                distinct[text] = min(int(firsts[k]), distinct.get(text, 1 << 63))
-            ordered = sorted(distinct, key=distinct.get)
-            docs = np.array([distinct[t] for t in ordered], np.int64)
-            found = RunIndex(ordered).statistics(ordered)
-            known = {}
-            for text, hit in zip(ordered, found, strict=True):
-                first = docs[hit]
-                cut = np.flatnonzero(np.append(True, first[1:] != first[:-1]))
-                known[text] = (cut.astype(np.uint32), first[cut])
-            for k in members.tolist():
-                runs[k] = known[texts[k]]
+        segment = np.array(which)
+        values = np.zeros(len(numbers), np.uint64)
+        values[segment] = np.concatenate([np.frombuffer(r["vals"], np.uint64) for r in rows])
+        firsts = np.full(len(numbers), (1 << 63) - 1, np.int64)
+        np.minimum.at(firsts, segment, np.concatenate([np.frombuffer(r["firsts"], np.int64) for r in rows]))
+        bounds, places, docs = first_documents(list(numbers), values, firsts)
         at, out = 0, []
         for r, n in zip(rows, counts, strict=True):
-            own = runs[at : at + n]
+            begin, end = bounds[:, segment[at : at + n]]
             at += n
-            out.append(
-                (
-                    r["block"],
-                    bucket,
-                    np.array([len(c) for c, _ in own], np.uint32).tobytes(),
-                    np.concatenate([c for c, _ in own]).tobytes(),
-                    np.concatenate([d for _, d in own]).tobytes(),
-                )
-            )
+            times = end - begin
+            own = np.arange(times.sum()) + np.repeat(begin - np.cumsum(times) + times, times)
+            out.append((r["block"], bucket, times.astype(np.uint32).tobytes(), places[own].tobytes(), docs[own].tobytes()))
         yield _out(out, _FOUND)
 
 

@@ -111,6 +111,31 @@ def test_runs_stay_few_for_copies():
     assert many <= one + 60 * 20
 
 
+def test_run_index_finds_strings_of_other_texts():
+    rng = random.Random(6)
+    body = [bytes(rng.choice(b"abc\0\xff") for _ in range(rng.randint(50, 400))) for _ in range(20)]
+    # A match that a byte ends is taken up again where it may still lead somewhere.
+    others = [b"z" + body[2][:70] + b"zz" + body[5][20:180] + body[7][:60], b"", b"a" * 49, b"z" * 60, body[1] + body[2], body[9][1:]]
+    others += [body[4][:50], (b"z" + body[6][10:62]) * 9]
+    found = run_index.RunIndex(body).statistics(others)
+    for text, hits in zip(others, found, strict=True):
+        assert hits.tolist() == [next((i for i, t in enumerate(body) if text[at : at + 50] in t), -1) for at in range(len(text) - 49)]
+    assert run_index.RunIndex(body).statistics([]) == []
+
+
+def test_run_index_streams_pieces_side_by_side(monkeypatch):
+    # One long text among many usual ones takes no steps of its own, and few bytes are searched for among all runs.
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(500)]
+    body = [" ".join(rng.choices(words, k=12)).encode()[:rng.randint(50, 76)] for _ in range(300)]
+    body.append(" ".join(rng.choices(words, k=1000)).encode())
+    index = run_index.RunIndex(body)
+    searched, searchsorted = [], run_index.np.searchsorted
+    monkeypatch.setattr(run_index.np, "searchsorted", lambda a, v, *more: searched.append(run_index.np.size(v)) or searchsorted(a, v, *more))
+    index.statistics(body)
+    assert len(searched) < 3 * (2 * 128 + 50) and sum(searched) < sum(map(len, body)) / 2
+
+
 def near_rows(df):
     return sorted(map(tuple, df.collect()), key=str)
 
